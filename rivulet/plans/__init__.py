@@ -1,0 +1,4 @@
+"""Registered queries over the given tables."""
+
+from rivulet.plans import joins, patterns, rows, windows  # noqa: F401
+from rivulet.plans.registry import QUERIES, SQL  # noqa: F401
