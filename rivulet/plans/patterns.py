@@ -72,19 +72,15 @@ def delay_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "timer_average",
-    EVENTS_SQL.replace("\n)\n", "\n),")
-    + """
-    c AS (SELECT user_id, ts, sum(cents) OVER w AS total, count(*) OVER w AS n FROM e
-      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-    nxt AS (SELECT a.user_id, a.ts, b.ts AS after FROM c a ASOF LEFT JOIN c b
-      ON a.user_id = b.user_id AND a.ts + INTERVAL 1 DAY <= b.ts),
-    chain(user_id, ts) AS (SELECT user_id, min(ts) FROM c GROUP BY user_id
+    EVENTS_SQL
+    + """, nxt AS (SELECT user_id, ts, min(ts) OVER (PARTITION BY user_id ORDER BY ts
+        RANGE BETWEEN INTERVAL 1 DAY FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM e),
+    chain(user_id, ts) AS (SELECT user_id, min(ts) FROM e GROUP BY user_id
       UNION ALL SELECT chain.user_id, nxt.after FROM chain JOIN nxt ON chain.user_id = nxt.user_id AND chain.ts = nxt.ts
-      WHERE nxt.after IS NOT NULL),
-    fired AS (SELECT user_id, ts + INTERVAL 1 DAY AS fire_ts FROM chain)
-    SELECT f.user_id, f.fire_ts, CAST(c.total AS BIGINT) AS sum, c.n AS count,
-      CAST(c.total AS DOUBLE) / c.n AS average
-    FROM fired f ASOF JOIN c ON f.user_id = c.user_id AND f.fire_ts > c.ts""",
+      WHERE nxt.after IS NOT NULL)
+    SELECT c.user_id, c.ts + INTERVAL 1 DAY AS fire_ts, CAST(sum(e.cents) AS BIGINT) AS sum, count(*) AS count,
+      CAST(sum(e.cents) AS DOUBLE) / count(*) AS average
+    FROM chain c JOIN e ON c.user_id = e.user_id AND e.ts < c.ts + INTERVAL 1 DAY GROUP BY c.user_id, c.ts""",
 )
 def timer_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timers.timer_average(
@@ -94,16 +90,15 @@ def timer_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "rising_alert",
-    EVENTS_SQL.replace("\n)\n", "\n),")
-    + """
-    v AS (SELECT user_id, ts, event_id, cents, lag(cents) OVER w AS previous FROM e
+    EVENTS_SQL
+    + """, v AS (SELECT user_id, ts, event_id, cents, lag(cents) OVER w AS previous FROM e
       WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     r AS (SELECT *, sum(CASE WHEN previous IS NULL OR cents < previous THEN 1 ELSE 0 END) OVER (
         PARTITION BY user_id ORDER BY ts, event_id) AS run FROM v),
     falls AS (SELECT user_id, run, min(ts) AS until FROM r GROUP BY user_id, run),
     rises AS (SELECT user_id, run, ts FROM r WHERE cents > previous),
-    nxt AS (SELECT a.user_id, a.run, a.ts, b.ts AS after FROM rises a ASOF LEFT JOIN rises b
-      ON a.user_id = b.user_id AND a.run = b.run AND a.ts + INTERVAL 6 HOURS <= b.ts),
+    nxt AS (SELECT *, min(ts) OVER (PARTITION BY user_id, run ORDER BY ts
+      RANGE BETWEEN INTERVAL 6 HOURS FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM rises),
     chain(user_id, run, ts) AS (SELECT user_id, run, min(ts) FROM rises GROUP BY user_id, run
       UNION ALL SELECT nxt.user_id, nxt.run, nxt.after FROM chain JOIN nxt
         ON chain.user_id = nxt.user_id AND chain.run = nxt.run AND chain.ts = nxt.ts WHERE nxt.after IS NOT NULL)
