@@ -1,0 +1,118 @@
+"""Windows on a stream that stay open for late rows."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from datetime import timedelta
+
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from rivulet.functions.time import micros
+
+TICK = 1000  # a watermark stands one millisecond before the window's end
+_OUT = "output string, window_start_us bigint, firing bigint, count bigint, ts_us bigint"
+
+
+class _Windows(StatefulProcessor):
+    """Map state per key: window start -> (count, firings).
+
+    Spark drops rows behind its own watermark, so that one is held back by
+    ``slack``; the windows go by the real one, ``slack`` ahead of it.
+    """
+
+    def __init__(self, size: int, lateness: int, slack: int, keys: list[str]):
+        self.size, self.lateness, self.slack, self.keys = size, lateness, slack, keys
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.windows = handle.getMapState("windows", "start bigint", "count bigint, firings bigint")
+
+    def _watermark(self, timerValues) -> int | None:
+        held_back = timerValues.getCurrentWatermarkInMs()
+        return None if held_back <= 0 else held_back * 1000 + self.slack
+
+    def _wake(self, us: int) -> None:
+        self.handle.registerTimer(math.ceil((us - self.slack) / 1000))
+
+    def _frame(self, key, out: list[tuple]) -> Iterator[pd.DataFrame]:
+        if out:
+            made = pd.DataFrame(out, columns=["output", "window_start_us", "firing", "count", "ts_us"])
+            made = made.astype({"firing": "Int64", "count": "Int64", "ts_us": "Int64"})
+            for position, (name, value) in enumerate(zip(self.keys, key)):
+                made.insert(position, name, [value] * len(made))
+            yield made
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = self._watermark(timerValues)
+        held: dict[int, list[int]] = {}
+        out: list[tuple] = []
+        for pdf in rows:
+            for us in pdf["_us"].tolist():
+                start = us - us % self.size
+                last = start + self.size - TICK
+                if now is not None and last + self.lateness <= now:
+                    out.append(("late", start, None, None, us))
+                    continue
+                if start not in held:
+                    kept = self.windows.containsKey((start,))
+                    held[start] = [int(n) for n in self.windows.getValue((start,))] if kept else [0, 0]
+                    if not kept:
+                        self._wake(last)
+                        self._wake(last + self.lateness)
+                held[start][0] += 1
+                if now is not None and last <= now:
+                    held[start][1] += 1
+                    out.append(("fired", start, held[start][1], held[start][0], None))
+        for start, (count, firings) in held.items():
+            self.windows.updateValue((start,), (count, firings))
+        yield from self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = self._watermark(timerValues)
+        out: list[tuple] = []
+        for (start,), (count, firings) in list(self.windows.iterator()):
+            last = start + self.size - TICK
+            if last <= now and firings == 0:
+                firings = 1
+                self.windows.updateValue((start,), (count, firings))
+                out.append(("fired", start, 1, count, None))
+            if last + self.lateness <= now:
+                self.windows.removeKey((start,))
+        yield from self._frame(key, out)
+
+    def close(self) -> None:
+        pass
+
+
+def lateness_windows(
+    df: DataFrame, keys: list[str], ts: str, size: timedelta, bound: timedelta, lateness: timedelta
+) -> DataFrame:
+    """Counts per tumbling window, given again for each late row.
+
+    ``output`` is ``fired`` (with ``firing`` 1, 2, .. and ``count``) or ``late``
+    (a row whose window is gone, with its ``ts``).
+    """
+    slack = size + lateness
+    rows = df.withWatermark(ts, f"{micros(bound + slack)} microseconds").select(
+        *keys, ts, F.unix_micros(ts).alias("_us")
+    )
+    schema = T.StructType([*(rows.schema[k] for k in keys), *T.StructType.fromDDL(_OUT).fields])
+    out = rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Windows(micros(size), micros(lateness), micros(slack), keys),
+        outputStructType=schema,
+        outputMode="append",
+        timeMode="EventTime",
+    )
+    start = F.col("window_start_us")
+    return out.select(
+        *keys,
+        "output",
+        F.timestamp_micros(start).alias("window_start"),
+        F.timestamp_micros(start + micros(size)).alias("window_end"),
+        "firing",
+        "count",
+        F.timestamp_micros("ts_us").alias("ts"),
+    )
