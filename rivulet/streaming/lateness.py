@@ -50,7 +50,9 @@ class _Windows(StatefulProcessor):
         held: dict[int, list[int]] = {}
         out: list[tuple] = []
         for pdf in rows:
-            for us in pdf["_us"].tolist():
+            if not len(pdf):
+                continue
+            for us in pdf["at_us"].tolist():
                 start = us - us % self.size
                 last = start + self.size - TICK
                 if now is not None and last + self.lateness <= now:
@@ -97,7 +99,7 @@ def lateness_windows(
     """
     slack = size + lateness
     rows = df.withWatermark(ts, f"{micros(bound + slack)} microseconds").select(
-        *keys, ts, F.unix_micros(ts).alias("_us")
+        *keys, ts, F.unix_micros(ts).alias("at_us")
     )
     schema = T.StructType([*(rows.schema[k] for k in keys), *T.StructType.fromDDL(_OUT).fields])
     out = rows.groupBy(*keys).transformWithStateInPandas(

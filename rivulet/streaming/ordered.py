@@ -60,10 +60,11 @@ class _Processor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for pdf in rows:
-            us = pdf["_us"].tolist()
-            if us:
-                self.waiting.appendList(list(zip(us, pdf["_number"].tolist(), pdf["_value"].tolist())))
-                first = min(us) if first is None else min(first, *us)
+            if not len(pdf):
+                continue
+            us = pdf["at_us"].tolist()
+            self.waiting.appendList(list(zip(us, pdf["at_number"].tolist(), pdf["at_value"].tolist())))
+            first = min(us) if first is None else min(first, *us)
         if first is not None:
             self._wake(first)
         return iter(())
@@ -109,12 +110,13 @@ class _Processor(StatefulProcessor):
 
 def run_steps(df: DataFrame, keys: list[str], ts: str, seq: str, value, steps: Steps, delay: timedelta) -> DataFrame:
     """Apply ``steps`` per key to a stream. ``seq`` and ``value`` are integers; ``value`` is a column."""
+    # Names without a leading underscore: Spark hands rows over as named tuples.
     rows = df.withWatermark(ts, f"{micros(delay)} microseconds").select(
         *keys,
         ts,
-        F.unix_micros(ts).alias("_us"),
-        F.col(seq).cast("bigint").alias("_number"),
-        value.cast("bigint").alias("_value"),
+        F.unix_micros(ts).alias("at_us"),
+        F.col(seq).cast("bigint").alias("at_number"),
+        value.cast("bigint").alias("at_value"),
     )
     fields = T.StructType.fromDDL(steps.schema).fields
     schema = T.StructType([*(rows.schema[k] for k in keys), *fields])

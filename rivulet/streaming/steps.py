@@ -279,11 +279,11 @@ def reconcile(
 ) -> DataFrame:
     """Match two streams by a key unique on each side; both become one stream with a side tag."""
     tagged = [
-        side.select(*on, F.col(at).alias("_ts"), F.lit(i).alias("_side"))
+        side.select(*on, F.col(at).alias("at_ts"), F.lit(i).alias("at_side"))
         for i, (side, at) in enumerate(((left, left_ts), (right, right_ts)))
     ]
     both = tagged[0].unionByName(tagged[1])
-    out = run_steps(both, on, "_ts", "_side", F.col("_side"), _Reconcile(micros(limit)), delay)
+    out = run_steps(both, on, "at_ts", "at_side", F.col("at_side"), _Reconcile(micros(limit)), delay)
     return out.select(
         *on,
         "status",
