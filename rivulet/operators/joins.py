@@ -8,7 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.functions.time import interval, micros, span
-from rivulet.operators.segments import DEFAULT, Order, Running, Skew, _heavy, running
+from rivulet.operators.segments import (
+    DEFAULT,
+    Order,
+    Running,
+    Skew,
+    heavy,
+    running,
+    sampled,
+)
 
 
 def union(*streams: DataFrame) -> DataFrame:
@@ -20,27 +28,35 @@ def inner_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
-    spread_by: str | None = None,
+    spread_by: tuple[str, str] | None = None,
     skew: Skew = DEFAULT,
-    salts: int = 64,
+    salts: int = 32,
 ) -> DataFrame:
-    """Equi-join. With ``spread_by``, a unique column of ``left``, hot keys are salted.
+    """Equi-join. With ``spread_by``, a unique column of each side, hot keys are salted.
 
-    Rows of a hot key on the left go to ``salts`` places by a hash of that
-    column; the right rows of these keys, and only these, are copied there.
+    Rows of a key that is hot on one side are spread there over ``salts`` places
+    by a hash of that column, and the other side's rows of this key, and only
+    these, are copied to all places. A key may be hot on both sides.
     """
     if spread_by is None or left.isStreaming or right.isStreaming:
         return left.join(right, on)
-    hot = F.broadcast(_heavy(left, F.xxhash64(*on), spread_by, skew, "_id").withColumn("_hot", F.lit(True)))
-    zero = F.lit(0)
-    salted = left.withColumn("_id", F.xxhash64(*on)).join(hot, "_id", "left")
-    salted = salted.withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(zero)
-    )
-    copied = right.withColumn("_id", F.xxhash64(*on)).join(hot, "_id", "left")
-    places = F.when(F.col("_hot"), F.sequence(zero, F.lit(salts - 1))).otherwise(F.array(zero))
-    copied = copied.withColumn("_salt", F.explode(places))
-    return salted.drop("_id", "_hot").join(copied.drop("_id", "_hot"), [*on, "_salt"]).drop("_salt")
+    sides = [left.withColumn("_id", F.xxhash64(*on)), right.withColumn("_id", F.xxhash64(*on))]
+    counts = [
+        sampled(side, unique, skew).groupBy("_id").agg(F.count(F.lit(1)).alias("n"))
+        for side, unique in zip(sides, spread_by)
+    ]
+    places = F.sequence(F.lit(0), F.lit(salts - 1))
+    for i, unique in enumerate(spread_by):
+        hot = F.broadcast(heavy(counts[i], ["_id"], skew).withColumn("_hot", F.lit(True)))
+        own = F.pmod(F.xxhash64(unique), F.lit(salts)).cast("int")
+        for side in (0, 1):
+            at = F.array(own) if side == i else places
+            flagged = sides[side].join(hot, "_id", "left")
+            sides[side] = flagged.withColumn(
+                f"_salt{i}", F.explode(F.when(F.col("_hot"), at).otherwise(F.array(F.lit(0))))
+            ).drop("_hot")
+    joined = sides[0].join(sides[1].drop("_id"), [*on, "_salt0", "_salt1"])
+    return joined.drop("_id", "_salt0", "_salt1")
 
 
 def interval_join(
@@ -52,13 +68,15 @@ def interval_join(
     lower: timedelta,
     upper: timedelta,
     inclusive: bool = True,
+    spread_by: tuple[str, str] | None = None,
+    skew: Skew = DEFAULT,
 ) -> DataFrame:
     """Pairs with equal ``on`` and right time in [left time + lower, left time + upper].
 
     Time columns must differ in name. In batch, time is cut into bins as long as
     the interval: a left row is in one bin, a right row is copied to the two that
     its partners can be in. So the join key is (on, bin), and a key's rows far
-    apart in time never meet.
+    apart in time never meet. ``spread_by`` salts hot (on, bin), as in ``inner_join``.
     """
     low, high = F.col(left_ts) + interval(lower), F.col(left_ts) + interval(upper)
     at = F.col(right_ts)
@@ -70,7 +88,7 @@ def interval_join(
     width = max(micros(upper - lower), 1)
 
     def bin_of(us: Column) -> Column:
-        return F.floor(us / F.lit(width)).cast("bigint")
+        return F.floor(us / F.lit(width)).cast("bigint")  # rounds down before 1970 too
 
     def us(name: str) -> Column:
         return F.unix_micros(F.col(name).cast("timestamp"))
@@ -78,16 +96,23 @@ def interval_join(
     binned = left.withColumn("_bin", bin_of(us(left_ts)))
     first, last = bin_of(us(right_ts) - micros(upper)), bin_of(us(right_ts) - micros(lower))
     copied = right.withColumn("_bin", F.explode(F.sequence(first, last)))
-    return binned.join(copied, [*on, "_bin"]).where(near).drop("_bin")
+    return inner_join(binned, copied, [*on, "_bin"], spread_by, skew).where(near).drop("_bin")
 
 
 def window_join(
-    left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str, size: timedelta
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    left_ts: str,
+    right_ts: str,
+    size: timedelta,
+    spread_by: tuple[str, str] | None = None,
+    skew: Skew = DEFAULT,
 ) -> DataFrame:
     """Pairs with equal ``on`` that lie in the same tumbling window."""
     one = left.withColumn("_window", F.window(left_ts, span(size)))
     two = right.withColumn("_window", F.window(right_ts, span(size)))
-    joined = one.join(two, [*on, "_window"])
+    joined = inner_join(one, two, [*on, "_window"], spread_by, skew)
     return (
         joined.withColumn("window_start", F.col("_window.start"))
         .withColumn("window_end", F.col("_window.end"))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.operators.scan import State, scan
+from rivulet.operators.scan import Rows, State, scan
 from rivulet.operators.segments import DEFAULT, Order, Skew
 
 
@@ -66,30 +65,30 @@ def run_machine(
     """Rows at which the machine gives out something: keys, ``seq`` and ``state`` after it."""
     move, gives = machine.tables()
     names, events = machine.states, machine.events
+    names_array = np.array(names, dtype=object)
     code = F.lit(len(events))
     for i, name in enumerate(events):
         code = F.when(event == name, i).otherwise(code)
     rows = df.withColumn("_event", code.cast("bigint")).withColumn("_seq", F.col(seq).cast("bigint"))
 
-    def follow(rows: pd.DataFrame, state: int) -> tuple[list[int], int]:
+    def follow(rows: Rows, state: int) -> tuple[list[int], int]:
         passed = []
         for e in rows["_event"].tolist():
             passed.append(state)
             state = int(move[state, e])
         return passed, state
 
-    def summarize(rows: pd.DataFrame) -> State:
+    def summarize(rows: Rows) -> State:
         return [follow(rows, s)[1] for s in range(len(names))]
 
     def fold(state: State, summary: State) -> State:
         return [summary[state[0]]]
 
-    def emit(rows: pd.DataFrame, state: State, last: bool) -> pd.DataFrame:
-        passed, _ = follow(rows, state[0])
-        codes = rows["_event"].to_numpy()
-        hit = gives[np.array(passed), codes]
-        after = move[np.array(passed)[hit], codes[hit]]
-        return pd.DataFrame({seq: rows["_seq"].to_numpy()[hit], "state": [names[i] for i in after]})
+    def emit(rows: Rows, state: State, last: bool) -> list[np.ndarray]:
+        passed = np.array(follow(rows, state[0])[0])
+        codes = rows["_event"]
+        hit = gives[passed, codes]
+        return [rows["_seq"][hit], names_array[move[passed[hit], codes[hit]]]]
 
     return scan(
         rows, keys, Order(seq, ts), ["_event", "_seq"], [0], summarize, fold, emit, f"`{seq}` bigint, state string", skew

@@ -17,43 +17,52 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from rivulet.operators.segments import DEFAULT, HOT, SEGMENT, Order, Skew, cut
 
+Rows = dict[str, np.ndarray]
 State = list[int]
-Summarize = Callable[[pd.DataFrame], State]
+Summarize = Callable[[Rows], State]
 Fold = Callable[[State, State], State]
-Emit = Callable[[pd.DataFrame, State, bool], pd.DataFrame]
+Emit = Callable[[Rows, State, bool], list[np.ndarray]]
 
+PIECES = [f"_s{i}" for i in range(4)]
+FLUSH = 50_000
 
-def _changes(pdf: pd.DataFrame, columns: list[str]) -> np.ndarray:
-    """True where a row's group differs from that of the row above it."""
-    new = np.zeros(len(pdf), dtype=bool)
+
+def _starts(rows: Rows, columns: list[str]) -> np.ndarray:
+    """Positions at which a group begins. Nulls are equal to nulls."""
+    size = len(rows[columns[0]])
+    new = np.zeros(size, dtype=bool)
     for name in columns:
-        here, above = pdf[name], pdf[name].shift()
-        new |= ((here != above) & ~(here.isna() & above.isna())).to_numpy()
-    if len(new):
+        here, above = rows[name][1:], rows[name][:-1]
+        new[1:] |= (here != above) & ~(pd.isna(here) & pd.isna(above))
+    if size:
         new[0] = True
-    return new
+    return np.flatnonzero(new)
 
 
-def _groups(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
+def _groups(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[Rows]:
     """Whole groups from sorted batches; only the open group is held."""
-    held: list[pd.DataFrame] = []
+    held: list[Rows] = []
+
+    def whole() -> Rows:
+        return held[0] if len(held) == 1 else {n: np.concatenate([h[n] for h in held]) for n in held[0]}
+
     for pdf in batches:
         if not len(pdf):
             continue
-        starts = np.flatnonzero(_changes(pdf, columns))
-        ends = [*starts[1:], len(pdf)]
-        for i, (a, b) in enumerate(zip(starts, ends)):
-            piece = pdf.iloc[a:b]
+        rows = {n: pdf[n].to_numpy() for n in pdf.columns}
+        starts = _starts(rows, columns)
+        for i, (a, b) in enumerate(zip(starts, [*starts[1:], len(pdf)])):
+            piece = {n: v[a:b] for n, v in rows.items()}
             if i == 0 and held:
-                pair = pd.concat([held[-1].iloc[-1:], piece.iloc[:1]])
-                if not _changes(pair, columns)[1]:
+                pair = {n: np.array([held[-1][n][-1], piece[n][0]], dtype=object) for n in columns}
+                if len(_starts(pair, columns)) == 1:
                     held.append(piece)
                     continue
             if held:
-                yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+                yield whole()
             held = [piece]
     if held:
-        yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+        yield whole()
 
 
 def scan(
@@ -68,25 +77,24 @@ def scan(
     schema: str,
     skew: Skew | None = DEFAULT,
 ) -> DataFrame:
-    """Run a keyed state over ordered rows; ``emit`` gives the output rows of a segment.
+    """Run a keyed state over ordered rows; ``emit`` gives the output columns of a segment.
 
-    ``values`` are the non-null bigint columns the functions see.
+    ``values`` are the non-null bigint columns the functions see, as arrays.
     ``summarize(rows)`` -> summary, ``fold(state, summary)`` -> next state,
-    ``emit(rows, state, last)`` -> rows of ``schema`` without the keys, which
+    ``emit(rows, state, last)`` -> one array per column of ``schema``; the keys
     are put before them. States and summaries are lists of integers.
     """
-    pieces = [f"_s{i}" for i in range(4)]
-    group = [*keys, *pieces]
+    group = [*keys, *PIECES]
     sort = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order.columns)]
     sorted_by = [f"_o{i}" for i in range(len(sort))]
     key_fields = [df.schema[k] for k in keys]
-    piece_fields = [T.StructField(p, T.LongType()) for p in pieces]
+    piece_fields = [T.StructField(p, T.LongType()) for p in PIECES]
     numbers = T.ArrayType(T.LongType())
 
     parts = cut(df, keys, order, skew)
     rows_in = parts.select(
         *keys,
-        *(F.col(SEGMENT)[f"s{i}"].alias(p) for i, p in enumerate(pieces)),
+        *(F.col(SEGMENT)[f"s{i}"].alias(p) for i, p in enumerate(PIECES)),
         *sort,
         *values,
         HOT,
@@ -97,18 +105,18 @@ def scan(
     entered = rows_in.drop(HOT)
     if skew is not None:
         hot = rows_in.where(HOT).select(*group, *sorted_by, *values)
-        hot = hot.repartition(*group).sortWithinPartitions(*group, *sorted_by)
+        hot = hot.repartition(*group).sortWithinPartitions(*group, *sorted_by).select(*group, *values)
 
         def summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for rows in _groups(batches, group):
-                head = rows.loc[:0, group].copy()
+                head = pd.DataFrame({n: rows[n][:1] for n in group})
                 head["_summary"] = [[int(v) for v in summarize(rows)]]
                 yield head
 
         reduced = hot.mapInPandas(
             summaries, T.StructType([*key_fields, *piece_fields, T.StructField("_summary", numbers)])
         )
-        along = Window.partitionBy(*keys).orderBy(*pieces)
+        along = Window.partitionBy(*keys).orderBy(*PIECES)
         reduced = reduced.withColumn("_last", F.lead(F.lit(False), 1, True).over(along))
         reduced = reduced.repartition(*keys) if keys else reduced.coalesce(1)
         reduced = reduced.sortWithinPartitions(*group)
@@ -140,28 +148,34 @@ def scan(
     used = entered.repartition(*group).sortWithinPartitions(*group, "_mark", *sorted_by)
     used = used.select(*group, *values, "_mark", "_state", "_last")
     fields = T.StructType.fromDDL(schema).fields
-    names = [f.name for f in fields]
 
     def results(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ready: list[pd.DataFrame] = []
+        owners: list[tuple] = []
+        made: list[list[np.ndarray]] = []
         size = 0
+
+        def frame() -> pd.DataFrame:
+            times = [len(m[0]) for m in made]
+            columns = {
+                k: pd.Series([o[i] for o in owners]).repeat(times).reset_index(drop=True) for i, k in enumerate(keys)
+            }
+            columns |= {f.name: np.concatenate([m[i] for m in made]) for i, f in enumerate(fields)}
+            return pd.DataFrame(columns)
+
         for rows in _groups(batches, group):
             state, last = initial, True
-            if rows["_mark"].iloc[0] == 0:
-                state, last = [int(v) for v in rows["_state"].iloc[0]], bool(rows["_last"].iloc[0])
-                rows = rows.iloc[1:].reset_index(drop=True)
-            made = emit(rows, state, last)
-            if not len(made):
-                continue
-            made = made[names].copy()
-            for position, name in enumerate(keys):
-                made.insert(position, name, [rows[name].iloc[0]] * len(made))
-            ready.append(made)
-            size += len(made)
-            if size >= 10_000:
-                yield pd.concat(ready, ignore_index=True)
-                ready, size = [], 0
-        if ready:
-            yield pd.concat(ready, ignore_index=True)
+            if rows["_mark"][0] == 0:
+                state, last = [int(v) for v in rows["_state"][0]], bool(rows["_last"][0])
+                rows = {n: v[1:] for n, v in rows.items()}
+            columns = emit(rows, state, last)
+            if len(columns[0]):
+                owners.append(tuple(rows[k][0] for k in keys))
+                made.append(columns)
+                size += len(columns[0])
+            if size >= FLUSH:
+                yield frame()
+                owners, made, size = [], [], 0
+        if made:
+            yield frame()
 
     return used.mapInPandas(results, T.StructType([*key_fields, *fields]))

@@ -58,23 +58,23 @@ class Order:
         return [self.ts, self.seq] if self.ts else [self.seq]
 
 
-def _heavy(df: DataFrame, ident: Column, seq: str, skew: Skew, name: str) -> DataFrame:
-    """Hashes seen more than ``hot_rows`` times: at most rows / hot_rows of them, 8 bytes each.
+def sampled(df: DataFrame, seq: str, skew: Skew) -> DataFrame:
+    """A fixed 1-in-n choice of rows. It decides how work is cut, never what is in a result."""
+    every = skew.sample_every
+    return df if every == 1 else df.where(F.pmod(F.xxhash64(seq), F.lit(every)) == 0)
+
+
+def heavy(counts: DataFrame, ids: list[str], skew: Skew) -> DataFrame:
+    """Ids with more than ``hot_rows`` rows, from counts ``n`` of sampled rows.
 
-    The count is taken on a fixed 1-in-n choice of rows. It only decides how the
-    work is cut, never which rows are in the result.
+    At most rows / hot_rows of them, a few longs each, so they can be broadcast.
     """
-    every = skew.sample_every
-    seen = df.select(ident.alias(name), F.col(seq).alias("_pick"))
-    if every > 1:
-        seen = seen.where(F.pmod(F.xxhash64("_pick"), F.lit(every)) == 0)
-    return seen.groupBy(name).count().where(F.col("count") > skew.hot_rows // every).select(name)
+    totals = counts.groupBy(*ids).agg(F.sum("n").alias("n"))
+    return totals.where(F.col("n") > skew.hot_rows // skew.sample_every).select(*ids)
 
 
-def _flag(df: DataFrame, ident: Column, seq: str, skew: Skew, name: str, within: DataFrame | None = None) -> DataFrame:
-    heavy = _heavy(within if within is not None else df, ident, seq, skew, f"{name}_id")
-    marked = df.withColumn(f"{name}_id", ident)
-    return marked.join(F.broadcast(heavy.withColumn(name, F.lit(True))), f"{name}_id", "left").drop(f"{name}_id")
+def integer_steps(value: Column, step: int) -> Column:
+    return F.call_function("div", value.cast("bigint"), F.lit(step).cast("bigint"))
 
 
 def cut(df: DataFrame, keys: list[str], order: Order, skew: Skew | None = DEFAULT) -> DataFrame:
@@ -87,47 +87,45 @@ def cut(df: DataFrame, keys: list[str], order: Order, skew: Skew | None = DEFAUL
         return df
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     zero = F.lit(0).cast("bigint")
-    block = (F.floor(F.col(order.seq) / (skew or DEFAULT).segment_rows)).cast("bigint")
     if skew is None:
         return (
             df.withColumn(KEY, key)
             .withColumn(SEGMENT, F.struct(*(zero.alias(f"s{i}") for i in range(4))))
             .withColumn(HOT, F.lit(False))
         )
-    hashed = F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
-    out = df
-    if keys:
-        out = _flag(out, hashed, order.seq, skew, HOT).withColumn(HOT, F.coalesce(HOT, F.lit(False)))
-    else:
-        out = out.withColumn(HOT, F.lit(True))
-    hot = F.col(HOT)
-    if order.ts is None:
-        parts = [F.when(hot, block).otherwise(zero), zero, zero, zero]
-        spare: list[str] = []
-    else:
-        us = F.unix_micros(F.col(order.ts).cast("timestamp"))
-        parts, dense, spare = [], hot, []
-        for i, step in enumerate(skew.levels[:2]):
-            grain = F.floor(us / micros(step)).cast("bigint")
-            parts.append(F.when(dense, grain).otherwise(zero))
-            name = f"_dense{i}"
-            out = _flag(out, F.xxhash64(hashed, grain), order.seq, skew, name, within=df)
-            dense = dense & F.coalesce(F.col(name), F.lit(False))
-            spare.append(name)
-        parts += [zero] * (2 - len(parts))
+    block = integer_steps(F.col(order.seq), skew.segment_rows)
+    steps = skew.levels[:2] if order.ts else ()
+    us = F.unix_micros(F.col(order.ts).cast("timestamp")) if order.ts else zero
+    ids = {"_id": F.xxhash64(*keys) if keys else zero}
+    ids |= {f"_grain{i}": integer_steps(us, micros(step)) for i, step in enumerate(steps)}
+
+    out = df.select("*", *(c.alias(n) for n, c in ids.items()))
+    if keys or steps:
+        # One pruned pass counts the sample by the finest id; coarser counts are sums of these.
+        counts = sampled(df, order.seq, skew).select(*(c.alias(n) for n, c in ids.items()))
+        counts = counts.groupBy(*ids).agg(F.count(F.lit(1)).alias("n"))
+
+    def flagged(frame: DataFrame, by: list[str], name: str) -> DataFrame:
+        found = F.broadcast(heavy(counts, by, skew).withColumn(name, F.lit(True)))
+        return frame.join(found, by, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+    out = flagged(out, ["_id"], HOT) if keys else out.withColumn(HOT, F.lit(True))
+    dense, parts, names = F.col(HOT), [], list(ids)
+    for i in range(len(steps)):
+        parts.append(F.when(dense, F.col(f"_grain{i}")).otherwise(zero))
+        out = flagged(out, names[: i + 2], f"_dense{i}")
+        dense = dense & F.col(f"_dense{i}")
+    if steps:
         parts.append(F.when(dense, us).otherwise(zero))
-        parts.append(F.when(dense, block).otherwise(zero))
+    parts.append(F.when(dense, block).otherwise(zero))
+    parts = [*parts, zero, zero, zero][:4]
     return (
         out.withColumn(KEY, key)
         .withColumn(SEGMENT, F.struct(*(p.alias(f"s{i}") for i, p in enumerate(parts))))
-        .drop(*spare)
+        .select(*df.columns, KEY, SEGMENT, HOT)
     )
 
 
-def uncut(df: DataFrame) -> DataFrame:
-    return df.drop(KEY, SEGMENT, HOT)
-
-
 @dataclass(frozen=True)
 class Running:
     """One running measure: ``kind`` is sum, count, max, min or last (non-null).

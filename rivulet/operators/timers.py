@@ -9,13 +9,12 @@ from __future__ import annotations
 from datetime import timedelta
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.functions.rows import ratio
 from rivulet.functions.time import interval, micros
-from rivulet.operators.scan import State, scan
-from rivulet.operators.segments import DEFAULT, Order, Running, Skew, cut, neighbours, running
+from rivulet.operators.scan import Rows, State, scan
+from rivulet.operators.segments import DEFAULT, Order, Skew, cut, neighbours
 
 ARM, CANCEL = 1, -1
 NEVER = -1
@@ -27,15 +26,19 @@ def delay_timers(df: DataFrame, keys: list[str], ts: str, delay: timedelta) -> D
 
 
 class _Timer:
-    """A key's timer: an arming row sets it if it is not set, a cancelling row clears it."""
+    """A key's timer: an arming row sets it if it is not set, a cancelling row clears it.
+
+    State: [due time or NEVER, sum of the rows so far, their count].
+    """
 
     def __init__(self, period: int):
         self.period = period
 
-    def _walk(self, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Times, and for each row the next arming row, the next cancelling row at or after
-        it, and the arming row that follows once a timer set by it is gone (n: none)."""
-        t, act = rows["_us"].to_numpy(), rows["_act"].to_numpy()
+    def _walk(self, rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Times; for each row the next arming and the next cancelling row at or after it, the
+        first row at or after the due time it would set, and the arming row that follows once
+        a timer set by it is gone. Row n stands for none."""
+        t, act = rows["_us"], rows["_act"]
         n = len(t)
         at = np.arange(n)
 
@@ -46,18 +49,17 @@ class _Timer:
         arm, cancel = next_at(act == ARM), next_at(act == CANCEL)
         due = np.searchsorted(t, t + self.period, side="left")
         stop = cancel[1 : n + 1]
-        after = np.where(stop < due, stop + 1, due)
-        return t, arm, cancel, arm[after]
+        return t, arm, cancel, due, arm[np.where(stop < due, stop + 1, due)]
 
-    def summarize(self, rows: pd.DataFrame) -> State:
-        """[exit if entered unset, first cancel or not, last time, then pairs (due up to, exit)].
+    def summarize(self, rows: Rows) -> State:
+        """[exit if entered unset, is there a cancel, exit after it, last time, sum, count, then
+        pairs (due time up to, exit)].
 
-        ``exit`` is the due time of the timer set at the segment's end. Only due
-        times up to one period after the first row can come in.
+        ``exit`` is the due time of the timer set at the segment's end. A timer
+        set before the segment is due at most one period after its first row.
         """
-        t, arm, cancel, following = self._walk(rows)
+        t, arm, cancel, due, following = self._walk(rows)
         n = len(t)
-        due = np.searchsorted(t, t + self.period, side="left")
         open_end = (cancel[1 : n + 1] >= n) & (due >= n)
         jump = np.where(following < n, following, np.arange(n))
         while True:
@@ -65,10 +67,8 @@ class _Timer:
             if np.array_equal(further, jump):
                 break
             jump = further
-        left = np.where(open_end[jump], t[jump] + self.period, NEVER) if n else np.array([], dtype=np.int64)
-        left = np.append(left, NEVER)
+        left = np.append(np.where(open_end[jump], t[jump] + self.period, NEVER), NEVER)
         stop = cancel[0]
-        unset = left[arm[0]]
         cancelled = left[arm[stop + 1]] if stop < n else NEVER
         near = int(np.searchsorted(t, t[0] + self.period, side="right"))
         reachable = np.unique(t[: near + 1])
@@ -76,49 +76,41 @@ class _Timer:
         exits = np.where(at > stop, cancelled, left[arm[at]])
         keep = np.append(exits[1:] != exits[:-1], True)
         pairs = np.column_stack([reachable[keep], exits[keep]]).ravel()
-        return [int(unset), int(stop < n), int(cancelled), int(t[-1]), *(int(v) for v in pairs)]
+        return [left[arm[0]], int(stop < n), cancelled, t[-1], rows["_own"].sum(), n, *pairs]
 
     def fold(self, state: State, summary: State) -> State:
-        """The due time at a segment's end from that at its start."""
-        unset, has_cancel, cancelled, end, *pairs = summary
+        """The state at a segment's end from that at its start."""
+        unset, has_cancel, cancelled, end, total, count, *pairs = summary
         due = state[0]
         if due == NEVER:
-            return [unset]
-        if due > end:
-            return [cancelled if has_cancel else due]
-        for upto, left in zip(pairs[::2], pairs[1::2]):
-            if due <= upto:
-                return [left]
-        return [cancelled if has_cancel else due]
-
-    def emit(self, rows: pd.DataFrame, state: State, last: bool) -> pd.DataFrame:
-        """Firings, with the sum and count of the rows before each."""
-        t, arm, cancel, following = self._walk(rows)
-        total, count = rows["_total"].to_numpy(), rows["_count"].to_numpy()
-        own, n = rows["_own"].to_numpy(), len(t)
-        fired: list[tuple[int, int, int]] = []
-
-        def fire(due: int, row: int) -> None:
-            if row < n:
-                fired.append((due, int(total[row] - own[row]), int(count[row] - 1)))
-            else:
-                fired.append((due, int(total[-1]), int(count[-1])))
-
+            due = unset
+        elif due > end:
+            due = cancelled if has_cancel else due
+        else:
+            due = next(left for upto, left in zip(pairs[::2], pairs[1::2]) if due <= upto)
+        return [due, state[1] + total, state[2] + count]
+
+    def emit(self, rows: Rows, state: State, last: bool) -> list[np.ndarray]:
+        """Firings: due time, and sum and count of the rows before it."""
+        t, arm, cancel, dues, following = self._walk(rows)
+        n = len(t)
+        fired: list[tuple[int, int]] = []
         due, row = state[0], 0
         if due != NEVER:
             row = int(np.searchsorted(t, due, side="left"))
             if cancel[0] < row:
                 row = int(cancel[0]) + 1
             elif row < n or last:
-                fire(due, row)
+                fired.append((due, row))
         row = int(arm[row])
         while row < n:
-            due = int(t[row]) + self.period
-            at = int(np.searchsorted(t, due, side="left"))
+            at = int(dues[row])
             if cancel[row + 1] >= at and (at < n or last):
-                fire(due, at)
+                fired.append((int(t[row]) + self.period, at))
             row = int(following[row])
-        return pd.DataFrame(fired, columns=["_due", "_sum", "_rows"])
+        due_times, rows_before = np.array(fired, dtype=np.int64).reshape(-1, 2).T
+        sums = np.append(0, np.cumsum(rows["_own"]))
+        return [due_times, state[1] + sums[rows_before], state[2] + rows_before]
 
 
 def _fire(
@@ -127,14 +119,12 @@ def _fire(
     timer = _Timer(micros(period))
     rows = df.withColumn("_own", value.cast("bigint")).withColumn("_act", act.cast("bigint"))
     rows = rows.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    order = Order(seq, ts)
-    rows = running(cut(rows, keys, order, skew), keys, order, [Running("_total", "sum", "_own"), Running("_count", "count")], skew)
     fired = scan(
         rows,
         keys,
-        order,
-        ["_us", "_act", "_own", "_total", "_count"],
-        [NEVER],
+        Order(seq, ts),
+        ["_us", "_act", "_own"],
+        [NEVER, 0, 0],
         timer.summarize,
         timer.fold,
         timer.emit,

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """The last row of each key by arrival. Map tasks already reduce to one row per key."""
-    others = [c for c in df.columns if c not in keys]
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(seq)).alias("_last"))
-    return latest.select(*keys, *(F.col("_last")[c].alias(c) for c in others)).select(*df.columns)
+    """The last row of each key by the unique ``seq``. Map tasks already reduce to one row per key.
+
+    Column by column, so that fixed-width columns are aggregated by hash.
+    """
+    others = [c for c in df.columns if c not in (*keys, seq)]
+    latest = df.groupBy(*keys).agg(F.max(seq).alias(seq), *(F.max_by(c, seq).alias(c) for c in others))
+    return latest.select(*df.columns)
 
 
 def split_upsert(batch: DataFrame, target: DataFrame, keys: list[str], seq: str) -> tuple[DataFrame, DataFrame]:

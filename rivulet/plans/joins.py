@@ -35,7 +35,7 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment")
-    return joins.inner_join(orders, customers, ["custkey"], spread_by="o_orderkey")
+    return joins.inner_join(orders, customers, ["custkey"], spread_by=("o_orderkey", "custkey"))
 
 
 def _side(spark: SparkSession, sf_dir: str, kind: str, name: str) -> DataFrame:
@@ -60,6 +60,7 @@ def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "view_ts",
         HOURS(-10),
         HOURS(5),
+        spread_by=("purchase_id", "view_id"),
     )
 
 
@@ -79,6 +80,7 @@ def interval_join_mirrored(spark: SparkSession, sf_dir: str) -> DataFrame:
         "purchase_ts",
         HOURS(-5),
         HOURS(10),
+        spread_by=("view_id", "purchase_id"),
     )
 
 
@@ -98,6 +100,7 @@ def window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "purchase_ts",
         "view_ts",
         HOURS(6),
+        spread_by=("purchase_id", "view_id"),
     )
     return joined.select("user_id", "purchase_id", "view_id", "window_start")
 
