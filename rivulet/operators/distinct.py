@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rivulet.functions.time import span
 from rivulet.operators.windows import tumbling
@@ -33,11 +33,14 @@ def bloom_size(items: int, error: float) -> tuple[int, int]:
     return bits, max(1, round(bits / items * math.log(2)))
 
 
-def bloom_positions(value: Column, bits: int, hashes: int) -> Column:
-    """Bit positions by double hashing: two 32-bit halves of an MD5 digest."""
-    digest = F.md5(value.cast("string"))
-    one, two = (F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") for at in (1, 9))
-    return F.array(*((one + i * two) % bits for i in range(hashes)))
+def bloom_positions(df: DataFrame, value: str, bits: int, hashes: int, out: str = "position") -> DataFrame:
+    """A row per bit of ``value``, by double hashing: two 32-bit parts of an MD5 digest."""
+    halves = df.withColumn("_digest", F.md5(F.col(value).cast("string")))
+    for name, at in (("_one", 1), ("_two", 9)):
+        halves = halves.withColumn(name, F.conv(F.substring("_digest", at, 8), 16, 10).cast("bigint"))
+    turns = halves.withColumn("_turn", F.explode(F.array(*(F.lit(i).cast("bigint") for i in range(hashes)))))
+    position = (F.col("_one") + F.col("_turn") * F.col("_two")) % bits
+    return turns.withColumn(out, position).drop("_digest", "_one", "_two", "_turn")
 
 
 def bloom_unique_visitors(
@@ -50,7 +53,7 @@ def bloom_unique_visitors(
     tasks merge by OR. ``visitors`` = -bits/hashes * ln(1 - set/bits).
     """
     bits, hashes = bloom_size(items, error)
-    users = df.select(F.window(ts, span(size)).alias("w"), F.explode(bloom_positions(F.col(user), bits, hashes)).alias("p"))
+    users = bloom_positions(df.select(F.window(ts, span(size)).alias("w"), user), user, bits, hashes, "p")
     maps = users.groupBy("w", F.bitmap_bucket_number("p").alias("bucket")).agg(
         F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("p"))).alias("ones")
     )

@@ -145,7 +145,9 @@ def scan(
             carried.select(*group, *nothing, *blank, F.lit(0).alias("_mark"), "_state", "_last")
         )
 
-    used = entered.repartition(*group).sortWithinPartitions(*group, "_mark", *sorted_by)
+    # A fixed number of partitions: small ones would be merged by size, though Python time is what counts.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    used = entered.repartition(tasks, *group).sortWithinPartitions(*group, "_mark", *sorted_by)
     used = used.select(*group, *values, "_mark", "_state", "_last")
     fields = T.StructType.fromDDL(schema).fields
 

@@ -176,6 +176,28 @@ def stream_rolling_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{home}/out").drop("batch_id")
 
 
+@query(
+    "stream_mean_views",
+    EVENTS_SQL
+    + """SELECT event_id, event_type, CAST(count(*) OVER w AS DOUBLE) / sum(fresh) OVER w AS mean_views
+    FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) = 1
+      THEN 1 ELSE 0 END AS fresh FROM e)
+    WINDOW w AS (PARTITION BY event_type ORDER BY event_id)""",
+)
+def stream_mean_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    home = scratch_path(spark, "mean-views")
+    data = _stream(spark, sf_dir).select("event_id", "user_id", "event_type")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        means = batch.select("event_id", "event_type", "mean_views")
+        means.write.mode("overwrite").parquet(f"{home}/out/batch_id={batch_id}")
+
+    with run.state_settings(spark):
+        writer = carried.mean_views(data, "user_id", "event_id", f"{home}/state", write, ["event_type"])
+        run.run_available(writer, f"{home}/checkpoint")
+    return spark.read.parquet(f"{home}/out").drop("batch_id")
+
+
 @query(
     "stream_dynamic_filter",
     EVENTS_SQL

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rivulet.functions.time import micros
@@ -95,6 +95,9 @@ class _Processor(StatefulProcessor):
             self._wake(later[0][0])
         if (due := steps.due(memo)) != NONE:
             self._wake(due)
+        yield from self._frame(key, out)
+
+    def _frame(self, key, out: Out) -> Iterator[pd.DataFrame]:
         if out:
             made = pd.DataFrame(out, columns=self.names).astype(self.whole)
             for position, (name, value) in enumerate(zip(self.keys, key)):
@@ -108,17 +111,88 @@ class _Processor(StatefulProcessor):
         pass
 
 
-def run_steps(df: DataFrame, keys: list[str], ts: str, seq: str, value, steps: Steps, delay: timedelta) -> DataFrame:
-    """Apply ``steps`` per key to a stream. ``seq`` and ``value`` are integers; ``value`` is a column."""
+class _ClockProcessor(_Processor):
+    """On the machine's clock: a row's time is that of its micro-batch, and it is handled at once."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.memo = handle.getValueState("memo", "numbers array<bigint>")
+        self.timer = handle.getValueState("timer", "ms bigint")
+
+    def _open(self) -> list[int]:
+        return [int(n) for n in self.memo.get()[0]] if self.memo.exists() else self.steps.start()
+
+    def _ring(self, memo: list[int], now: int) -> Out:
+        out: Out = []
+        while NONE != (due := self.steps.due(memo)) and due <= now:
+            out.extend(self.steps.alarm(memo))
+        return out
+
+    def _keep(self, memo: list[int]) -> None:
+        """Save the state, and replace the key's timer if its next alarm has changed."""
+        self.memo.update((memo,))
+        due = self.steps.due(memo)
+        wanted = None if due == NONE else math.ceil(due / 1000)
+        current = int(self.timer.get()[0]) if self.timer.exists() else None
+        if wanted == current:
+            return
+        if current is not None:
+            self.handle.deleteTimer(current)
+            self.timer.clear()
+        if wanted is not None:
+            self.handle.registerTimer(wanted)
+            self.timer.update((wanted,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs() * 1000
+        memo = self._open()
+        out = self._ring(memo, now)
+        for pdf in rows:
+            if len(pdf):
+                for number, value in sorted(zip(pdf["at_number"].tolist(), pdf["at_value"].tolist())):
+                    out.extend(self.steps.row(memo, now, number, value))
+        self._keep(memo)
+        yield from self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
+        memo = self._open()
+        out = self._ring(memo, timerValues.getCurrentProcessingTimeInMs() * 1000)
+        self._keep(memo)
+        yield from self._frame(key, out)
+
+
+def run_steps(
+    df: DataFrame,
+    keys: list[str],
+    ts: str | None,
+    seq: str,
+    value: Column,
+    steps: Steps,
+    delay: timedelta = timedelta(0),
+) -> DataFrame:
+    """Apply ``steps`` per key to a stream, in event time, or without ``ts`` on the machine's clock.
+
+    ``seq`` and ``value`` are integers.
+    """
     # Names without a leading underscore: Spark hands rows over as named tuples.
+    common = [F.col(seq).cast("bigint").alias("at_number"), value.cast("bigint").alias("at_value")]
+    fields = T.StructType.fromDDL(steps.schema).fields
+    if ts is None:
+        rows = df.select(*keys, *common)
+        schema = T.StructType([*(rows.schema[k] for k in keys), *fields])
+        return rows.groupBy(*keys).transformWithStateInPandas(
+            statefulProcessor=_ClockProcessor(steps, keys, fields),
+            outputStructType=schema,
+            outputMode="append",
+            timeMode="ProcessingTime",
+        )
     rows = df.withWatermark(ts, f"{micros(delay)} microseconds").select(
         *keys,
         ts,
         F.unix_micros(ts).alias("at_us"),
-        F.col(seq).cast("bigint").alias("at_number"),
-        value.cast("bigint").alias("at_value"),
+        *common,
     )
-    fields = T.StructType.fromDDL(steps.schema).fields
     schema = T.StructType([*(rows.schema[k] for k in keys), *fields])
     return rows.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_Processor(steps, keys, fields),

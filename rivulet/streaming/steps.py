@@ -1,4 +1,7 @@
-"""Stateful operators on streams, as steps per key, and the functions that run them."""
+"""Stateful operators on streams, as steps per key, and the functions that run them.
+
+With ``ts`` they run in event time, with ``ts=None`` on the machine's clock.
+"""
 
 from __future__ import annotations
 
@@ -26,7 +29,7 @@ class _RunningTotals(Steps):
 
 
 def running_totals(
-    df: DataFrame, keys: list[str], ts: str, seq: str, value: str, delay: timedelta = ZERO
+    df: DataFrame, keys: list[str], ts: str | None, seq: str, value: str, delay: timedelta = ZERO
 ) -> DataFrame:
     """One row per input row: sum, count, max and average so far."""
     out = run_steps(df, keys, ts, seq, F.col(value), _RunningTotals(), delay)
@@ -58,7 +61,7 @@ class _TimerAverage(Steps):
 
 
 def timer_average(
-    df: DataFrame, keys: list[str], ts: str, seq: str, value: str, period: timedelta, delay: timedelta = ZERO
+    df: DataFrame, keys: list[str], ts: str | None, seq: str, value: str, period: timedelta, delay: timedelta = ZERO
 ) -> DataFrame:
     out = run_steps(df, keys, ts, seq, F.col(value), _TimerAverage(micros(period)), delay)
     return out.select(
@@ -91,7 +94,7 @@ class _DelayTimers(Steps):
 
 
 def delay_timers(
-    df: DataFrame, keys: list[str], ts: str, seq: str, after: timedelta, delay: timedelta = ZERO
+    df: DataFrame, keys: list[str], ts: str | None, seq: str, after: timedelta, delay: timedelta = ZERO
 ) -> DataFrame:
     out = run_steps(df, keys, ts, seq, F.lit(0), _DelayTimers(micros(after)), delay)
     return out.select(*keys, F.timestamp_micros("_due").alias("fire_ts"))
@@ -126,7 +129,7 @@ class _RisingAlert(Steps):
 
 
 def rising_alert(
-    df: DataFrame, keys: list[str], ts: str, seq: str, value: str, period: timedelta, delay: timedelta = ZERO
+    df: DataFrame, keys: list[str], ts: str | None, seq: str, value: str, period: timedelta, delay: timedelta = ZERO
 ) -> DataFrame:
     out = run_steps(df, keys, ts, seq, F.col(value), _RisingAlert(micros(period)), delay)
     return out.select(*keys, F.timestamp_micros("_due").alias("fire_ts"))
@@ -151,7 +154,7 @@ class _Machine(Steps):
 
 
 def run_machine(
-    df: DataFrame, keys: list[str], ts: str, seq: str, event: Column, machine: Machine, delay: timedelta = ZERO
+    df: DataFrame, keys: list[str], ts: str | None, seq: str, event: Column, machine: Machine, delay: timedelta = ZERO
 ) -> DataFrame:
     code = F.lit(len(machine.events))
     for i, name in enumerate(machine.events):
@@ -178,7 +181,7 @@ class _Sequence(Steps):
 
 
 def strict_sequence(
-    df: DataFrame, keys: list[str], ts: str, seq: str, steps: dict[str, Column], delay: timedelta = ZERO
+    df: DataFrame, keys: list[str], ts: str | None, seq: str, steps: dict[str, Column], delay: timedelta = ZERO
 ) -> DataFrame:
     met = F.lit(0)
     for i, condition in enumerate(steps.values()):
@@ -188,7 +191,7 @@ def strict_sequence(
 
 
 def repeated(
-    df: DataFrame, keys: list[str], ts: str, seq: str, condition: Column, names: list[str], delay: timedelta = ZERO
+    df: DataFrame, keys: list[str], ts: str | None, seq: str, condition: Column, names: list[str], delay: timedelta = ZERO
 ) -> DataFrame:
     return strict_sequence(df.where(condition), keys, ts, seq, {n: F.lit(True) for n in names}, delay)
 
@@ -221,7 +224,7 @@ class _FollowedWithin(Steps):
 def followed_within(
     df: DataFrame,
     keys: list[str],
-    ts: str,
+    ts: str | None,
     seq: str,
     first: Column,
     then: Column,
