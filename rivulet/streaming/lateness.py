@@ -64,6 +64,10 @@ class _Windows(StatefulProcessor):
                     if not kept:
                         self._wake(last)
                         self._wake(last + self.lateness)
+                    elif now is not None and last <= now and held[start][1] == 0:
+                        # Due since the last micro-batch: it fires before this one's rows join it.
+                        held[start][1] = 1
+                        out.append(("fired", start, 1, held[start][0], None))
                 held[start][0] += 1
                 if now is not None and last <= now:
                     held[start][1] += 1

@@ -31,7 +31,12 @@ def rows(spark):
     return make
 
 
+def ordered(data):
+    """Tuples sorted by value, None first."""
+    return sorted(data, key=lambda row: [(v is not None, v) for v in row])
+
+
 def values(df, *columns):
     """Sorted tuples of the columns (all of them by default)."""
     picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
+    return ordered(tuple(r) for r in picked.collect())

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from conftest import ordered, values
 from rivulet.operators import machine, patterns, rolling, segments, timers
 from rivulet.operators.segments import Order, Running
 
@@ -88,13 +88,12 @@ def _by_user(events):
 @pytest.mark.parametrize("seconds", [0.5, 2, 10, 60])
 def test_timer_average(events, tiny, seconds):
     period = timedelta(seconds=seconds)
-    expected = sorted(
+    expected = ordered(
         (
             (user, *f)
             for user, rows in _by_user(events).items()
             for f in _timer_brute(rows, period, lambda p, v: "arm")
-        ),
-        key=repr,
+        )
     )
     for skew in (tiny, None):
         got = timers.timer_average(events, ["user"], "ts", "seq", "v", period, skew)
@@ -110,9 +109,7 @@ def test_rising_alert(events, tiny, seconds):
             return "cancel"
         return "arm" if v > previous else None
 
-    expected = sorted(
-        ((user, f[0]) for user, rows in _by_user(events).items() for f in _timer_brute(rows, period, act)), key=repr
-    )
+    expected = ordered((user, f[0]) for user, rows in _by_user(events).items() for f in _timer_brute(rows, period, act))
     for skew in (tiny, None):
         assert values(timers.rising_alert(events, ["user"], "ts", "seq", "v", period, skew)) == expected
 
@@ -137,4 +134,4 @@ def test_running_mean_views(events, tiny):
         users.setdefault(r.kind, set()).add(r.user)
         views[r.kind] = views.get(r.kind, 0) + 1
         expected.append((r.seq, views[r.kind] / len(users[r.kind])))
-    assert values(got, "seq", "mean_views") == sorted(expected, key=repr)
+    assert values(got, "seq", "mean_views") == ordered(expected)
