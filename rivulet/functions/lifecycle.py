@@ -1,4 +1,4 @@
-"""Row functions that need set-up and tear-down once per task."""
+"""Row functions in Python, over Arrow batches, for what column expressions cannot say."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def map_with_setup(
@@ -27,3 +27,18 @@ def map_with_setup(
             close(resource)
 
     return df.mapInPandas(run, schema)
+
+
+def scalar(fn: Callable[..., pd.Series], kind: T.DataType | str) -> Callable[..., Column]:
+    """A scalar function of columns; ``fn`` gets and gives whole Arrow batches as Series."""
+
+    return F.pandas_udf(fn, kind, F.PandasUDFType.SCALAR)
+
+
+def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
+    """Any number of rows for each row; ``fn`` gets a batch and gives the batch of its results."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (fn(pdf) for pdf in batches)
+
+    return df.mapInPandas(run, schema)

@@ -6,11 +6,14 @@ Spark merges partial accumulators, so ``merge`` has to be real.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import timedelta
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rivulet.functions.time import span
+
 Accumulator = list[int]
 
 
@@ -60,3 +63,20 @@ def user_aggregate(
     partial = partial.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(shares)))
     merged = partial.groupBy(*keys, "_share").applyInPandas(join, partial_schema)
     return merged.groupBy(*keys).applyInPandas(join, partial_schema)
+
+
+def window_fold(
+    df: DataFrame,
+    ts: str,
+    size: timedelta,
+    keys: list[str],
+    value: str,
+    create: Callable[[], Accumulator],
+    add: Callable[[Accumulator, object], Accumulator],
+    merge: Callable[[Accumulator, Accumulator], Accumulator],
+) -> DataFrame:
+    """A user's function over all values of a key's tumbling window, folded instead of collected."""
+    placed = df.withColumn("_window", F.window(ts, span(size))).select(
+        *keys, F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), value
+    )
+    return user_aggregate(placed, [*keys, "window_start", "window_end"], value, create, add, merge)

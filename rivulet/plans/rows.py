@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -9,7 +11,6 @@ from rivulet.functions import lifecycle, rows, time
 from rivulet.operators import folds, redistribute, rolling
 from rivulet.plans.registry import query
 from rivulet.plans.tables import EVENTS_SQL, events, of_type, table
-from datetime import timedelta
 
 
 @query("map_pair", EVENTS_SQL + 'SELECT item AS "left", item AS "right" FROM e')
@@ -32,6 +33,28 @@ def map_square_with_setup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("udf_scalar", EVENTS_SQL + "SELECT event_id, item * item + cents AS mixed FROM e")
+def udf_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = lifecycle.scalar(lambda item, cents: item * item + cents, "bigint")
+    return events(spark, sf_dir).select("event_id", mix("item", "cents").alias("mixed"))
+
+
+@query(
+    "udf_flat_map",
+    EVENTS_SQL + "SELECT event_id, CAST(i AS BIGINT) AS digit FROM e, unnest(range(item % 4)) AS r(i)",
+)
+def udf_flat_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows 0 .. item % 4 - 1 for each event."""
+
+    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
+        digits = [list(range(i % 4)) for i in pdf["item"]]
+        return pd.DataFrame({"event_id": pdf["event_id"], "digit": digits}).explode("digit").dropna()
+
+    return lifecycle.flat_map(
+        events(spark, sf_dir).select("event_id", "item"), spread, "event_id bigint, digit bigint"
+    )
+
+
 @query("filter_user", EVENTS_SQL + "SELECT event_id, user_id, event_type FROM e WHERE user_id = 8")
 def filter_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).where(F.col("user_id") == 8).select("event_id", "user_id", "event_type")
@@ -186,6 +209,29 @@ def user_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select("user_id", *(F.col("accumulator")[i].alias(n) for i, n in enumerate(names)))
 
 
+@query(
+    "window_fold",
+    EVENTS_SQL
+    + """SELECT event_type, date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+    count(*) AS count, max(cents) - min(cents) AS spread FROM e GROUP BY ALL""",
+)
+def window_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = folds.window_fold(
+        events(spark, sf_dir),
+        "ts",
+        timedelta(days=1),
+        ["event_type"],
+        "cents",
+        create=lambda: [],
+        add=lambda a, v: [a[0] + 1, min(a[1], v), max(a[2], v)] if a else [1, v, v],
+        merge=lambda a, b: [a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])],
+    )
+    a = F.col("accumulator")
+    return folded.select(
+        "event_type", "window_start", "window_end", a[0].alias("count"), (a[2] - a[1]).alias("spread")
+    )
+
+
 @query("redistribute_by_key", "SELECT event_id, user_id FROM events")
 def redistribute_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redistribute.by_key(events(spark, sf_dir).select("event_id", "user_id"), ["user_id"])

@@ -421,6 +421,16 @@ def stream_lateness_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fired.select("event_type", "window_start", "window_end", "firing", "count")
 
 
+@query(
+    "stream_late_tagged",
+    EVENTS_SQL + "SELECT event_id, false AS late FROM e",
+)
+def stream_late_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows tagged by the watermark of earlier micro-batches; a table read at once has none."""
+    tagged = lateness.tagged_by_watermark(_stream(spark, sf_dir), ["user_id"], "ts", "event_id", DELAY, DAY)
+    return run.drained(tagged.select("event_id", "late"), "late")
+
+
 @query("stream_upsert", EVENTS_SQL + "SELECT user_id AS k, arg_max(cents, arrival) AS v FROM e GROUP BY user_id")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last value per user through the keyed table sink."""

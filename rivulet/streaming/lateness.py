@@ -1,4 +1,4 @@
-"""Windows on a stream that stay open for late rows."""
+"""Late rows on a stream: tagged by the current watermark, or taken in by windows that stay open."""
 
 from __future__ import annotations
 
@@ -122,3 +122,58 @@ def lateness_windows(
         "count",
         F.timestamp_micros("ts_us").alias("ts"),
     )
+
+
+class _Watermark(StatefulProcessor):
+    """Gives every row back with the watermark it met; keeps nothing."""
+
+    def __init__(self, slack: int, keys: list[str]):
+        self.slack, self.keys = slack, keys
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held_back = timerValues.getCurrentWatermarkInMs()
+        now = None if held_back <= 0 else held_back * 1000 + self.slack - TICK
+        for pdf in rows:
+            if len(pdf):
+                out = pdf[[*self.keys, "at_number", "at_us"]].copy()
+                out["watermark_us"] = pd.array([now] * len(out), dtype="Int64")
+                out["late"] = False if now is None else out["at_us"] < now
+                yield out
+
+    def close(self) -> None:
+        pass
+
+
+def tagged_by_watermark(
+    df: DataFrame, keys: list[str], ts: str, seq: str, bound: timedelta, keep: timedelta
+) -> DataFrame:
+    """Rows with the ``watermark`` of the earlier micro-batches and whether they are ``late``.
+
+    Rows more than ``keep`` behind the watermark are dropped by Spark. A row
+    needs a key, any that spreads the rows will do.
+    """
+    rows = df.withWatermark(ts, f"{micros(bound + keep)} microseconds").select(
+        *keys, ts, F.unix_micros(ts).alias("at_us"), F.col(seq).cast("bigint").alias("at_number")
+    )
+    schema = T.StructType(
+        [
+            *(rows.schema[k] for k in keys),
+            *T.StructType.fromDDL("at_number bigint, at_us bigint, watermark_us bigint, late boolean").fields,
+        ]
+    )
+    out = rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Watermark(micros(keep), keys),
+        outputStructType=schema,
+        outputMode="append",
+        timeMode="EventTime",
+    )
+    return out.select(
+        *keys,
+        F.col("at_number").alias(seq),
+        F.timestamp_micros("at_us").alias(ts),
+        F.timestamp_micros("watermark_us").alias("watermark"),
+        "late",
+    )

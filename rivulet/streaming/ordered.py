@@ -5,9 +5,8 @@ handled in order of time, ties by arrival number; so results do not depend on
 how the stream was cut into micro-batches. Alarms that a key sets are rung
 between rows, and by a timer when no more rows come.
 
-State is kept in the state store per key. A key's rows of one micro-batch, and
-those the watermark has not reached, are held by one task: bound micro-batches
-at the source and keep the watermark delay short.
+Waiting rows lie in the state store in grains of time. Python holds one key's
+rows of one grain at a time, however many rows of the key wait.
 """
 
 from __future__ import annotations
@@ -47,56 +46,83 @@ class Steps:
 
 
 class _Processor(StatefulProcessor):
-    def __init__(self, steps: Steps, keys: list[str], fields: list[T.StructField]):
-        self.steps, self.keys = steps, keys
+    """Map state: (grain, part) -> waiting rows, flat. Each piece of input adds parts of its own."""
+
+    def __init__(self, steps: Steps, keys: list[str], fields: list[T.StructField], grain: int):
+        self.steps, self.keys, self.grain = steps, keys, grain
         self.names = [f.name for f in fields]
         self.whole = {f.name: "Int64" for f in fields if isinstance(f.dataType, T.LongType)}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us bigint, number bigint, value bigint")
+        self.waiting = handle.getMapState("waiting", "grain bigint, part bigint", "flat array<bigint>")
+        self.parts = handle.getValueState("parts", "used bigint")
         self.memo = handle.getValueState("memo", "numbers array<bigint>")
 
+    def _open(self) -> list[int]:
+        return [int(n) for n in self.memo.get()[0]] if self.memo.exists() else self.steps.start()
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        used = int(self.parts.get()[0]) if self.parts.exists() else 0
         first = None
         for pdf in rows:
             if not len(pdf):
                 continue
-            us = pdf["at_us"].tolist()
-            self.waiting.appendList(list(zip(us, pdf["at_number"].tolist(), pdf["at_value"].tolist())))
-            first = min(us) if first is None else min(first, *us)
+            least = int(pdf["at_us"].min())
+            first = least if first is None else min(first, least)
+            for grain, piece in pdf.groupby(pdf["at_us"] // self.grain):
+                flat = piece[["at_us", "at_number", "at_value"]].to_numpy().ravel().tolist()
+                self.waiting.updateValue((int(grain), used), (flat,))
+                used += 1
         if first is not None:
+            self.parts.update((used,))
             self._wake(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(tuple(r) for r in self.waiting.get())
-        ready = [r for r in waiting if r[0] <= now]
-        later = waiting[len(ready) :]
-        steps = self.steps
-        memo = [int(n) for n in self.memo.get()[0]] if self.memo.exists() else steps.start()
-        before = list(memo)
-        out: Out = []
-        for us, number, value in ready:
-            while NONE != (due := steps.due(memo)) and (due <= us if steps.alarm_first else due < us):
-                out.extend(steps.alarm(memo))
-            out.extend(steps.row(memo, us, number, value))
-        while NONE != (due := steps.due(memo)) and due <= now:
-            out.extend(steps.alarm(memo))
-        if ready:
-            if later:
-                self.waiting.put(later)
-            else:
-                self.waiting.clear()
-        if memo != before or not self.memo.exists():
-            self.memo.update((memo,))
-        if later:
-            self._wake(later[0][0])
-        if (due := steps.due(memo)) != NONE:
-            self._wake(due)
+        grains: dict[int, list[int]] = {}
+        for grain, part in self.waiting.keys():
+            grains.setdefault(int(grain), []).append(int(part))
+        steps, memo, woken = self.steps, self._open(), None
+        for grain in sorted(grains):
+            if grain * self.grain > now:
+                woken = grain * self.grain
+                break
+            flat = [n for part in grains[grain] for n in self.waiting.getValue((grain, part))[0]]
+            rows = sorted(zip(flat[::3], flat[1::3], flat[2::3]))
+            out: Out = []
+            later = len(rows)
+            for i, (us, number, value) in enumerate(rows):
+                if us > now:
+                    later = i
+                    break
+                while NONE != (due := steps.due(memo)) and (due <= us if steps.alarm_first else due < us):
+                    out.extend(steps.alarm(memo))
+                out.extend(steps.row(memo, us, number, value))
+            kept = [n for row in rows[later:] for n in row]
+            for part in grains[grain]:
+                self.waiting.removeKey((grain, part))
+            if kept:
+                self.waiting.updateValue((grain, grains[grain][0]), (kept,))
+                woken = kept[0]
+            yield from self._frame(key, out)
+            if kept:
+                break
+        out = self._ring(memo, now)
+        self.memo.update((memo,))
+        due = steps.due(memo)
+        for us in (woken, None if due == NONE else due):
+            if us is not None:
+                self._wake(us)
         yield from self._frame(key, out)
 
+    def _ring(self, memo: list[int], now: int) -> Out:
+        out: Out = []
+        while NONE != (due := self.steps.due(memo)) and due <= now:
+            out.extend(self.steps.alarm(memo))
+        return out
+
     def _frame(self, key, out: Out) -> Iterator[pd.DataFrame]:
         if out:
             made = pd.DataFrame(out, columns=self.names).astype(self.whole)
@@ -119,15 +145,6 @@ class _ClockProcessor(_Processor):
         self.memo = handle.getValueState("memo", "numbers array<bigint>")
         self.timer = handle.getValueState("timer", "ms bigint")
 
-    def _open(self) -> list[int]:
-        return [int(n) for n in self.memo.get()[0]] if self.memo.exists() else self.steps.start()
-
-    def _ring(self, memo: list[int], now: int) -> Out:
-        out: Out = []
-        while NONE != (due := self.steps.due(memo)) and due <= now:
-            out.extend(self.steps.alarm(memo))
-        return out
-
     def _keep(self, memo: list[int]) -> None:
         """Save the state, and replace the key's timer if its next alarm has changed."""
         self.memo.update((memo,))
@@ -170,6 +187,7 @@ def run_steps(
     value: Column,
     steps: Steps,
     delay: timedelta = timedelta(0),
+    grain: timedelta = timedelta(minutes=10),
 ) -> DataFrame:
     """Apply ``steps`` per key to a stream, in event time, or without ``ts`` on the machine's clock.
 
@@ -182,7 +200,7 @@ def run_steps(
         rows = df.select(*keys, *common)
         schema = T.StructType([*(rows.schema[k] for k in keys), *fields])
         return rows.groupBy(*keys).transformWithStateInPandas(
-            statefulProcessor=_ClockProcessor(steps, keys, fields),
+            statefulProcessor=_ClockProcessor(steps, keys, fields, micros(grain)),
             outputStructType=schema,
             outputMode="append",
             timeMode="ProcessingTime",
@@ -195,7 +213,7 @@ def run_steps(
     )
     schema = T.StructType([*(rows.schema[k] for k in keys), *fields])
     return rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Processor(steps, keys, fields),
+        statefulProcessor=_Processor(steps, keys, fields, micros(grain)),
         outputStructType=schema,
         outputMode="append",
         timeMode="EventTime",

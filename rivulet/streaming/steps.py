@@ -10,7 +10,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.functions.rows import ratio
-from rivulet.functions.time import micros
+from rivulet.functions.time import interval, micros, span
 from rivulet.operators.machine import Machine
 from rivulet.streaming.ordered import NONE, Out, Steps, run_steps
 
@@ -74,7 +74,7 @@ def timer_average(
 
 
 class _DelayTimers(Steps):
-    """memo: due times, ascending, each once."""
+    """memo: due times, ascending, each once; on the machine's clock one per micro-batch."""
 
     schema = "_due bigint"
 
@@ -96,8 +96,16 @@ class _DelayTimers(Steps):
 def delay_timers(
     df: DataFrame, keys: list[str], ts: str | None, seq: str, after: timedelta, delay: timedelta = ZERO
 ) -> DataFrame:
-    out = run_steps(df, keys, ts, seq, F.lit(0), _DelayTimers(micros(after)), delay)
-    return out.select(*keys, F.timestamp_micros("_due").alias("fire_ts"))
+    """One firing per key and due time, ``after`` each row, once the watermark has passed it.
+
+    In event time this is a group per key and due time: its row comes out when
+    the watermark, here declared on the due time, closes it.
+    """
+    if ts is None:
+        out = run_steps(df, keys, None, seq, F.lit(0), _DelayTimers(micros(after)))
+        return out.select(*keys, F.timestamp_micros("_due").alias("fire_ts"))
+    due = df.select(*keys, (F.col(ts) + interval(after)).alias("fire_ts")).withWatermark("fire_ts", span(delay + after))
+    return due.groupBy(*keys, "fire_ts").count().drop("count")
 
 
 class _RisingAlert(Steps):

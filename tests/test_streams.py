@@ -201,6 +201,24 @@ def test_late_rows_fire_windows_again(spark, tmp_path):
     assert values(out.where("output = 'late'").select(start)) == [(0,)]
 
 
+def test_rows_meet_the_watermark_of_earlier_batches(spark, tmp_path):
+    for number, batch in enumerate([[10, 20], [18, 16], [14, 30]]):
+        write_files(spark, tmp_path, [(number * 10 + i, s * 1000 + 1_000_000, "a", "x", 0) for i, s in enumerate(batch)], 1)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    raw = files.table_stream(spark, f"{tmp_path}/in", schema, files_per_trigger=1)
+    df = raw.withColumn("ts", F.timestamp_millis("ms"))
+    tagged = lateness.tagged_by_watermark(df, ["k"], "ts", "seq", 3 * SECOND, 60 * SECOND)
+    mark = EPOCH + timedelta(seconds=1016.999)
+    assert values(run.drained(tagged, "t"), "seq", "watermark", "late") == [
+        (0, None, False),
+        (1, None, False),
+        (10, mark, False),
+        (11, mark, True),
+        (20, mark, True),
+        (21, mark, False),
+    ]
+
+
 def test_machine_clock(spark, tmp_path, data):
     write_files(spark, tmp_path, data, 2)
     schema = spark.createDataFrame([], SCHEMA).schema
