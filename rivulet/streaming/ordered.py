@@ -5,8 +5,9 @@ handled in order of time, ties by arrival number; so results do not depend on
 how the stream was cut into micro-batches. Alarms that a key sets are rung
 between rows, and by a timer when no more rows come.
 
-Waiting rows lie in the state store in grains of time. Python holds one key's
-rows of one grain at a time, however many rows of the key wait.
+Waiting rows lie in the state store; of a key with many, in grains of time. So
+Python holds at most ``LOOSE`` rows of a key and those of one grain at a time,
+however many rows of the key wait.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from rivulet.functions.time import micros
 
 NONE = -1
+LOOSE = 50_000
 Out = list[tuple]
 
 
@@ -46,7 +48,10 @@ class Steps:
 
 
 class _Processor(StatefulProcessor):
-    """Map state: (grain, part) -> waiting rows, flat. Each piece of input adds parts of its own."""
+    """Map state: (grain, part) -> waiting rows, flat. Each piece of input adds parts of its own.
+
+    A key's first ``LOOSE`` waiting rows are kept whole, with no grain.
+    """
 
     def __init__(self, steps: Steps, keys: list[str], fields: list[T.StructField], grain: int):
         self.steps, self.keys, self.grain = steps, keys, grain
@@ -56,65 +61,80 @@ class _Processor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "grain bigint, part bigint", "flat array<bigint>")
-        self.parts = handle.getValueState("parts", "used bigint")
+        self.parts = handle.getValueState("parts", "used bigint, loose bigint")
         self.memo = handle.getValueState("memo", "numbers array<bigint>")
 
     def _open(self) -> list[int]:
         return [int(n) for n in self.memo.get()[0]] if self.memo.exists() else self.steps.start()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        used = int(self.parts.get()[0]) if self.parts.exists() else 0
+        used, loose = (int(n) for n in self.parts.get()) if self.parts.exists() else (0, 0)
         first = None
         for pdf in rows:
             if not len(pdf):
                 continue
             least = int(pdf["at_us"].min())
             first = least if first is None else min(first, least)
-            for grain, piece in pdf.groupby(pdf["at_us"] // self.grain):
+            if loose + len(pdf) <= LOOSE:
+                pieces = [(NONE, pdf)]
+                loose += len(pdf)
+            else:
+                pieces = pdf.groupby(pdf["at_us"] // self.grain)
+            for grain, piece in pieces:
                 flat = piece[["at_us", "at_number", "at_value"]].to_numpy().ravel().tolist()
                 self.waiting.updateValue((int(grain), used), (flat,))
                 used += 1
         if first is not None:
-            self.parts.update((used,))
+            self.parts.update((used, loose))
             self._wake(first)
         return iter(())
 
+    def _take(self, grain: int, parts: list[int]) -> list[tuple[int, int, int]]:
+        flat: list[int] = []
+        for part in parts:
+            flat.extend(self.waiting.getValue((grain, part))[0])
+            self.waiting.removeKey((grain, part))
+        return list(zip(flat[::3], flat[1::3], flat[2::3]))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        grains: dict[int, list[int]] = {}
+        parts: dict[int, list[int]] = {}
         for grain, part in self.waiting.keys():
-            grains.setdefault(int(grain), []).append(int(part))
-        steps, memo, woken = self.steps, self._open(), None
-        for grain in sorted(grains):
+            parts.setdefault(int(grain), []).append(int(part))
+        loose: dict[int, list[tuple[int, int, int]]] = {}
+        for row in self._take(NONE, parts.pop(NONE, [])):
+            loose.setdefault(row[0] // self.grain, []).append(row)
+        steps, memo, woken = self.steps, self._open(), []
+        for grain in sorted({*parts, *loose}):
             if grain * self.grain > now:
-                woken = grain * self.grain
+                woken.append(grain * self.grain)
                 break
-            flat = [n for part in grains[grain] for n in self.waiting.getValue((grain, part))[0]]
-            rows = sorted(zip(flat[::3], flat[1::3], flat[2::3]))
+            rows = sorted(self._take(grain, parts.pop(grain, [])) + loose.pop(grain, []))
             out: Out = []
-            later = len(rows)
+            ready = len(rows)
             for i, (us, number, value) in enumerate(rows):
                 if us > now:
-                    later = i
+                    ready = i
                     break
                 while NONE != (due := steps.due(memo)) and (due <= us if steps.alarm_first else due < us):
                     out.extend(steps.alarm(memo))
                 out.extend(steps.row(memo, us, number, value))
-            kept = [n for row in rows[later:] for n in row]
-            for part in grains[grain]:
-                self.waiting.removeKey((grain, part))
-            if kept:
-                self.waiting.updateValue((grain, grains[grain][0]), (kept,))
-                woken = kept[0]
+            if ready < len(rows):
+                loose[grain] = rows[ready:]
+                woken.append(rows[ready][0])
             yield from self._frame(key, out)
-            if kept:
-                break
+        left = [n for rows in loose.values() for row in rows for n in row]
+        used = int(self.parts.get()[0]) if self.parts.exists() else 0
+        if left:
+            self.waiting.updateValue((NONE, used), (left,))
+        if self.parts.exists():
+            self.parts.update((used + 1, len(left) // 3))
         out = self._ring(memo, now)
         self.memo.update((memo,))
-        due = steps.due(memo)
-        for us in (woken, None if due == NONE else due):
-            if us is not None:
-                self._wake(us)
+        if (due := steps.due(memo)) != NONE:
+            woken.append(due)
+        for us in woken:
+            self._wake(us)
         yield from self._frame(key, out)
 
     def _ring(self, memo: list[int], now: int) -> Out:

@@ -63,6 +63,23 @@ def test_timer_average(stream, table):
     assert values(got) == values(want)
 
 
+def test_rows_that_wait_in_grains(stream, table, monkeypatch):
+    """The processor is sent to the tasks, so the limit and the grain are set on what is sent."""
+    from rivulet.streaming import ordered as module
+
+    class Grains(module._Processor):
+        def __init__(self, steps, keys, fields, grain):
+            super().__init__(steps, keys, fields, 700_000)
+
+        def handleInputRows(self, key, rows, timerValues):
+            module.LOOSE = 3
+            return super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(module, "_Processor", Grains)
+    got = run.drained(steps.timer_average(stream, ["k"], "ts", "seq", "v", 7 * SECOND, DELAY), "t")
+    assert values(got) == values(timers.timer_average(table, ["k"], "ts", "seq", "v", 7 * SECOND))
+
+
 def test_rising_alert(stream, table):
     got = run.drained(steps.rising_alert(stream, ["k"], "ts", "seq", "v", 2 * SECOND, DELAY), "t")
     want = timers.rising_alert(table, ["k"], "ts", "seq", "v", 2 * SECOND)
