@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from rivulet.operators.segments import DEFAULT, HOT, SEGMENT, Order, Skew, cut
+from rivulet.operators.segments import DEFAULT, HOT, PIECES, Order, Skew, cut
 
 Rows = dict[str, np.ndarray]
 State = list[int]
@@ -23,7 +23,6 @@ Summarize = Callable[[Rows], State]
 Fold = Callable[[State, State], State]
 Emit = Callable[[Rows, State, bool], list[np.ndarray]]
 
-PIECES = [f"_s{i}" for i in range(4)]
 FLUSH = 50_000
 
 
@@ -94,7 +93,7 @@ def scan(
     parts = cut(df, keys, order, skew)
     rows_in = parts.select(
         *keys,
-        *(F.col(SEGMENT)[f"s{i}"].alias(p) for i, p in enumerate(PIECES)),
+        *PIECES,
         *sort,
         *values,
         HOT,

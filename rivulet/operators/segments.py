@@ -2,10 +2,11 @@
 
 A window function over ``PARTITION BY key ORDER BY time`` sorts a whole key in
 one task. Here a key with more than ``Skew.hot_rows`` rows is cut along its
-order into segments; a segment is sorted by one task, and what a segment needs
-from the others (totals before it, a few rows after it) comes from a table with
-one row per segment. Keys below the limit stay in one piece and cost nothing
-extra but the count that finds the hot ones.
+order into segments; a segment is sorted by one task. What a segment needs from
+the others (totals before it, a few rows after it) is made from a small table
+per segment and put among its rows as extra rows, so nothing is joined to the
+rows. Keys below the limit stay in one piece and cost nothing extra but the
+count that finds the hot ones.
 
 Where a row falls depends on the row alone, so a lost executor's work can be
 redone at any time and gives the same segments.
@@ -20,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.functions.time import micros
 
-KEY, SEGMENT, HOT = "_key", "_segment", "_hot"
+PIECES = ("_s0", "_s1", "_s2", "_s3")  # a segment's number, compared piece by piece
+HOT, MARK = "_hot", "_segment_row"
 
 
 @dataclass(frozen=True)
@@ -78,21 +80,16 @@ def integer_steps(value: Column, step: int) -> Column:
 
 
 def cut(df: DataFrame, keys: list[str], order: Order, skew: Skew | None = DEFAULT) -> DataFrame:
-    """Add ``_key``, ``_segment`` (ascending along the order) and ``_hot``.
+    """Add the segment's ``PIECES``, ascending along the order, and ``_hot``.
 
     Without keys the whole input is one hot key. A frame that is already cut,
     which must be by the same keys and order, is taken as it is.
     """
-    if SEGMENT in df.columns:
+    if HOT in df.columns:
         return df
-    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     zero = F.lit(0).cast("bigint")
     if skew is None:
-        return (
-            df.withColumn(KEY, key)
-            .withColumn(SEGMENT, F.struct(*(zero.alias(f"s{i}") for i in range(4))))
-            .withColumn(HOT, F.lit(False))
-        )
+        return df.select("*", *(zero.alias(p) for p in PIECES), F.lit(False).alias(HOT))
     block = integer_steps(F.col(order.seq), skew.segment_rows)
     steps = skew.levels[:2] if order.ts else ()
     us = F.unix_micros(F.col(order.ts).cast("timestamp")) if order.ts else zero
@@ -119,11 +116,7 @@ def cut(df: DataFrame, keys: list[str], order: Order, skew: Skew | None = DEFAUL
         parts.append(F.when(dense, us).otherwise(zero))
     parts.append(F.when(dense, block).otherwise(zero))
     parts = [*parts, zero, zero, zero][:4]
-    return (
-        out.withColumn(KEY, key)
-        .withColumn(SEGMENT, F.struct(*(p.alias(f"s{i}") for i, p in enumerate(parts))))
-        .select(*df.columns, KEY, SEGMENT, HOT)
-    )
+    return out.select(*df.columns, *(c.alias(p) for c, p in zip(parts, PIECES)), HOT)
 
 
 @dataclass(frozen=True)
@@ -141,19 +134,16 @@ class Running:
 
 
 _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "last": F.max}
-_LOCAL = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "last": F.max}
 
 
-def _joined(kind: str, a: Column, b: Column) -> Column:
-    if kind == "count":
-        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-    both = {
-        "sum": lambda: a + b,
-        "max": lambda: F.greatest(a, b),
-        "last": lambda: F.when(a > b, a).otherwise(b),
-        "min": lambda: F.least(a, b),
-    }[kind]()
-    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
+def _input(measure: Running, order: Order) -> Column:
+    """A row's own contribution; contributions and totals merge alike."""
+    value = F.col(measure.column) if isinstance(measure.column, str) else measure.column
+    if measure.kind == "count":
+        return F.lit(1).cast("bigint") if value is None else value.isNotNull().cast("bigint")
+    if measure.kind == "last":
+        return F.when(value.isNotNull(), F.struct(*order.columns, value.alias("value")))
+    return value
 
 
 def running(
@@ -161,43 +151,27 @@ def running(
 ) -> DataFrame:
     """Every row with running measures over its key.
 
-    One shuffle by (key, segment); the totals of the hot keys' earlier segments
-    are joined to it on the same partitioning.
+    One shuffle by (key, segment). A hot key's segment starts with a row that
+    holds the totals of the segments before it.
     """
+    inputs = [f"_in{i}" for i in range(len(measures))]
+    merge = [_MERGE[m.kind] for m in measures]
+    group = [*keys, *PIECES]
     parts = cut(df, keys, order, skew)
-    for i, m in enumerate(measures):
-        value = F.lit(1) if m.column is None else (F.col(m.column) if isinstance(m.column, str) else m.column)
-        if m.kind == "last":
-            value = F.when(value.isNotNull(), F.struct(*order.columns, value.alias("value")))
-        parts = parts.withColumn(f"_in{i}", value)
-    local = Window.partitionBy(KEY, SEGMENT).orderBy(*order.columns)
-    frame = {
-        False: local.rowsBetween(Window.unboundedPreceding, 0),
-        True: local.rowsBetween(Window.unboundedPreceding, -1),
-    }
-    out = parts.select(
-        "*", *(_LOCAL[m.kind](f"_in{i}").over(frame[m.before]).alias(f"_local{i}") for i, m in enumerate(measures))
-    )
+    rows = parts.select("*", *(_input(m, order).alias(n) for m, n in zip(measures, inputs)), F.lit(1).alias(MARK))
     if skew is not None:
-        totals = (
-            parts.where(HOT)
-            .groupBy(KEY, SEGMENT)
-            .agg(*(_LOCAL[m.kind](f"_in{i}").alias(f"_total{i}") for i, m in enumerate(measures)))
-        )
-        earlier = Window.partitionBy(KEY).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.select(
-            KEY,
-            SEGMENT,
-            *(_MERGE[m.kind](f"_total{i}").over(earlier).alias(f"_carry{i}") for i, m in enumerate(measures)),
-        )
-        out = out.join(carried, [KEY, SEGMENT], "left")
+        totals = rows.where(HOT).groupBy(*group).agg(*(f(n).alias(n) for f, n in zip(merge, inputs)))
+        earlier = Window.partitionBy(*keys).orderBy(*PIECES).rowsBetween(Window.unboundedPreceding, -1)
+        carried = totals.select(*group, *(f(n).over(earlier).alias(n) for f, n in zip(merge, inputs)))
+        rows = rows.unionByName(carried.withColumn(MARK, F.lit(0)), allowMissingColumns=True)
+    local = Window.partitionBy(*group).orderBy(MARK, *order.columns)
     results = []
-    for i, m in enumerate(measures):
-        value = F.col(f"_local{i}")
-        if skew is not None:
-            value = _joined(m.kind, F.col(f"_carry{i}"), value)
+    for m, f, n in zip(measures, merge, inputs):
+        value = f(n).over(local.rowsBetween(Window.unboundedPreceding, -1 if m.before else 0))
+        if m.kind == "count":
+            value = F.coalesce(value, F.lit(0).cast("bigint"))
         results.append((value["value"] if m.kind == "last" else value).alias(m.name))
-    return out.select(*df.columns, *results)
+    return rows.select(*df.columns, MARK, *results).where(F.col(MARK) == 1).drop(MARK)
 
 
 def neighbours(
@@ -210,40 +184,36 @@ def neighbours(
     """Every row with columns of the rows ``offset`` places after it (before it, if negative).
 
     ``wanted`` maps an output name to (column, offset); the offsets have one sign.
-    A segment gets the rows it misses from the heads of the following segments.
+    A hot key's segment ends with copies of the first rows that follow it.
     """
     after = next(iter(wanted.values()))[1] > 0
     reach = max(abs(offset) for _, offset in wanted.values())
-    sort = [F.col(c).asc() if after else F.col(c).desc() for c in order.columns]
-    by_segment = F.col(SEGMENT).asc() if after else F.col(SEGMENT).desc()
-    sources = list(dict.fromkeys(column for column, _ in wanted.values()))
 
+    def along(columns: list[str]) -> list[Column]:
+        return [F.col(c).asc() if after else F.col(c).desc() for c in columns]
+
+    group = [*keys, *PIECES]
+    sources = [c for c in dict.fromkeys(column for column, _ in wanted.values()) if c not in keys]
     parts = cut(df, keys, order, skew)
-    local = Window.partitionBy(KEY, SEGMENT).orderBy(*sort)
-    out = parts.select(
-        "*",
-        *(F.lead(column, abs(offset)).over(local).alias(name) for name, (column, offset) in wanted.items()),
-        *(F.lead(F.lit(1), k).over(local).alias(f"_has{k}") for k in range(1, reach + 1)),
-    )
+    rows = parts.withColumn(MARK, F.lit(0))
     if skew is not None:
+        within = Window.partitionBy(*group).orderBy(*along(order.columns))
         heads = (
             parts.where(HOT)
-            .select(KEY, SEGMENT, F.struct(*sources).alias("_row"), F.row_number().over(local).alias("_rank"))
+            .select(*group, F.struct(*sources, F.lit(0)).alias("_row"), F.row_number().over(within).alias("_rank"))
             .where(F.col("_rank") <= reach)
         )
-        along = Window.partitionBy(KEY).orderBy(by_segment, "_rank")
+        next_rows = Window.partitionBy(*keys).orderBy(*along(list(PIECES)), "_rank")
         heads = heads.select(
-            KEY, SEGMENT, "_rank", F.array(*(F.lead("_row", k).over(along) for k in range(reach))).alias("_rows")
+            *group, "_rank", F.array(*(F.lead("_row", k).over(next_rows) for k in range(reach))).alias("_rows")
         ).where(F.col("_rank") == 1)
-        nearest = Window.partitionBy(KEY).orderBy(by_segment)
-        halo = heads.select(KEY, SEGMENT, F.lead("_rows", 1).over(nearest).alias("_halo"))
-        out = out.join(halo, [KEY, SEGMENT], "left")
-    left = sum((F.col(f"_has{k}").isNotNull().cast("int") for k in range(1, reach + 1)), F.lit(0))
-    results = []
-    for name, (column, offset) in wanted.items():
-        value = F.col(name)
-        if skew is not None:
-            beyond = F.try_element_at("_halo", F.lit(abs(offset)) - left)[column]
-            value = F.when(F.col(f"_has{abs(offset)}").isNotNull(), value).otherwise(beyond)
-        results.append(value.alias(name))
-    return out.select(*(F.col(c) for c in df.columns), *results)
+        next_segment = Window.partitionBy(*keys).orderBy(*along(list(PIECES)))
+        copies = heads.select(*group, F.lead("_rows", 1).over(next_segment).alias("_rows"))
+        copies = copies.select(*group, F.posexplode("_rows").alias("_at", "_row")).where(F.col("_row").isNotNull())
+        copies = copies.select(
+            *group, *(F.col("_row")[c].alias(c) for c in sources), (F.col("_at") + 1).alias(MARK)
+        )
+        rows = rows.unionByName(copies, allowMissingColumns=True)
+    local = Window.partitionBy(*group).orderBy(MARK, *along(order.columns))
+    found = (F.lead(column, abs(offset)).over(local).alias(name) for name, (column, offset) in wanted.items())
+    return rows.select(*df.columns, MARK, *found).where(F.col(MARK) == 0).drop(MARK)

@@ -28,10 +28,9 @@ def events(spark):
 
 def test_the_hot_key_is_cut(events, tiny):
     parts = segments.cut(events, ["user"], Order("seq", "ts"), tiny)
-    sizes = parts.where("user = 'hot'").groupBy("_segment").count()
+    sizes = parts.where("user = 'hot'").groupBy(*segments.PIECES).count()
     assert sizes.count() > 10
     assert sizes.agg(F.max("count")).first()[0] <= tiny.hot_rows
-    assert values(parts.where("user = 'u1'").select("_segment").distinct()) != []
 
 
 @pytest.mark.parametrize("ts", [None, "ts"])
