@@ -1,4 +1,4 @@
 """Operators for training-data pipelines. Nothing outside this folder imports it but the entry module."""
 
-from rivulet.llm import queries_decontamination, queries_mixing, queries_quality, queries_secrets, queries_windows  # noqa: F401
+from rivulet.llm import queries_decontamination, queries_mixing, queries_quality, queries_secrets, queries_suffix_tree, queries_windows  # noqa: F401
 from rivulet.llm.registry import QUERIES, SQL  # noqa: F401

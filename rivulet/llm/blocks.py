@@ -129,17 +129,26 @@ class Deal:
         """(bucket, the columns' values one after the other); every column is a number per digest."""
         dealt = [c[self.order] for c in columns]
         for b in np.flatnonzero(np.diff(self.cuts)).tolist():
-            yield b, b"".join(c[self.cuts[b] : self.cuts[b + 1]].tobytes() for c in dealt)
+            yield b, squeezed(b"".join(c[self.cuts[b] : self.cuts[b + 1]].tobytes() for c in dealt))
 
     def gathered(self, answers: dict[int, bytes], kind: type) -> np.ndarray:
         """The answers in the order of the digests."""
         out = np.zeros(len(self.bucket), kind)
         for b in np.flatnonzero(np.diff(self.cuts)).tolist():
-            out[self.order[self.cuts[b] : self.cuts[b + 1]]] = np.frombuffer(answers[b], kind)
+            out[self.order[self.cuts[b] : self.cuts[b + 1]]] = np.frombuffer(opened(answers[b]), kind)
         return out
 
 
+def squeezed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def opened(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def columns(payload: bytes, kinds: list[type]) -> list[np.ndarray]:
+    payload = opened(payload)
     size = len(payload) // sum(np.dtype(k).itemsize for k in kinds)
     out, at = [], 0
     for k in kinds:
@@ -181,19 +190,30 @@ def with_answers(blocks: DataFrame, run: Callable[[Block, dict], pa.Table], sche
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(grouped, schema)
 
 
-def answered(questions: DataFrame, kinds: list[type], answer: Callable[..., list[np.ndarray]], number: int) -> DataFrame:
-    """Each bucket's answers, written once. ``answer`` gets the columns of all blocks' digests in a bucket, then the block that each came
-    from, and returns one array of answers."""
+def answered(
+    questions: DataFrame, kinds: list[type], answer: Callable[..., np.ndarray], number: int,
+    summary: Callable[..., list[int]] | None = None,
+) -> tuple[DataFrame, list[list[int]]]:
+    """Each bucket's answers, written once, and the buckets' summaries (a few numbers each).
+
+    ``answer`` and ``summary`` get the columns of all blocks' digests in a bucket, then the block that each came from;
+    ``answer`` returns one number per digest.
+    """
 
     def group(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("block")
         parts = [columns(p, kinds) for p in rows.column("payload").to_pylist()]
         sizes = [len(p[0]) for p in parts]
         joined = [np.concatenate(c) for c in zip(*parts)]
-        out = answer(*joined, np.repeat(np.arange(len(parts)), sizes))
-        cuts = np.cumsum(sizes)[:-1]
-        return pa.table(
-            {"block": rows.column("block"), "bucket": rows.column("bucket"), "payload": pa.array([x.tobytes() for x in np.split(out, cuts)], pa.binary())}
-        )
-
-    return stored(questions.groupBy("bucket").applyInArrow(group, ANSWERED).withColumn("question", F.lit(number)), f"answers-{number}")
+        asker = np.repeat(np.arange(len(parts)), sizes)
+        out = np.split(answer(*joined, asker), np.cumsum(sizes)[:-1])
+        block, bucket = rows.column("block").to_pylist(), rows.column("bucket").to_pylist()
+        payload = [squeezed(x.tobytes()) for x in out]
+        if summary:
+            block, bucket = [*block, -1], [*bucket, bucket[0]]
+            payload.append(squeezed(np.array(summary(*joined, asker), np.int64).tobytes()))
+        return pa.table({"block": pa.array(block, pa.int64()), "bucket": pa.array(bucket, pa.int32()), "payload": pa.array(payload, pa.binary())})
+
+    done = stored(questions.groupBy("bucket").applyInArrow(group, ANSWERED).withColumn("question", F.lit(number)), f"answers-{number}")
+    sums = [np.frombuffer(opened(bytes(r.payload)), np.int64).tolist() for r in done.where("block < 0").collect()] if summary else []
+    return done.where("block >= 0"), sums

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from rivulet.llm.blocks import Block, Deal, Rolling, answered, asked, packed, partitions, with_answers
-from rivulet.llm.common import stored
+from rivulet.llm.blocks import Block, Deal, Rolling, answered, asked, packed, with_answers
+from rivulet.llm.common import partitions
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 _NONE = np.zeros(0, np.int64)
@@ -196,7 +196,7 @@ def deduplicated(docs: DataFrame, depth: Depth = Depth(), id_col: str = "doc_id"
         gone = at[(ids > least[inverse]) | elsewhere[inverse]] if len(at) else at
         return _result(block, s, np.concatenate([s.windows(done)[0], gone]).astype(np.int64))
 
-    one = answered(asked(blocks, ask_first), [np.uint64], _in_two_blocks, 1)
-    two = answered(asked(blocks, ask_rest, one), [np.uint64, np.uint64, np.int64], _rest, 2)
-    three = answered(asked(blocks, ask_windows, one.unionByName(two)), [np.uint64, np.int64], _smaller, 3)
+    one, _ = answered(asked(blocks, ask_first), [np.uint64], _in_two_blocks, 1)
+    two, _ = answered(asked(blocks, ask_rest, one), [np.uint64, np.uint64, np.int64], _rest, 2)
+    three, _ = answered(asked(blocks, ask_windows, one.unionByName(two)), [np.uint64, np.int64], _smaller, 3)
     return with_answers(blocks, result, SCHEMA, one.unionByName(two).unionByName(three))
