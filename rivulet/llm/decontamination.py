@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from rivulet.llm.common import id_and_text
 
@@ -194,37 +194,75 @@ class Patterns:
         return (start, min(stop, right), int(cost[j])) if stop > start else None
 
 
+def _searched(texts: list[bytes], patterns: Patterns) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray]:
+    """What the texts hold, and where each begins: a zero byte parts them, so that nothing runs from one into the next."""
+    starts = np.concatenate([[0], np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))]).astype(np.int64)
+    data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+    return patterns.search(data, starts), starts
+
+
+def _in_blocks(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a batch in lists of about ``most`` bytes, each with the row that it begins at."""
+    at, texts, size = 0, [], 0
+    for i, text in enumerate(batch.column(column)):
+        texts.append(text.as_py().encode())
+        size += len(texts[-1])
+        if size >= most:
+            yield at, texts
+            at, texts, size = i + 1, [], 0
+    if texts:
+        yield at, texts
+
+
 def _matches(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], budget: Budget) -> Iterator[pa.RecordBatch]:
     patterns = Patterns(items, budget)
-
-    def run(ids: list, texts: list[bytes]) -> pa.RecordBatch:
-        lens = np.array([len(t) for t in texts], np.int64)
-        starts = np.concatenate([[0], np.cumsum(lens + 1)])  # a line feed after each text
-        data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-        # a zero byte parts the texts, so no gram and no white space runs from one into the next
-        data = data.copy()
-        data[starts[1:] - 1] = 0
+    names, kinds = ["doc_id", "item_id", "start", "stop", "edits"], [pa.int64()] * 4 + [pa.int32()]
+    for batch in batches:
         rows = []
-        for k, item, a, b, cost in patterns.search(data, starts):
-            text, base = texts[k], int(starts[k])
-            point = lambda p: len(text[: p - base].decode(errors="ignore"))
-            rows.append((ids[k], item, point(a), point(min(b, base + len(text))), cost))
+        for at, texts in _in_blocks(batch, 1, budget.block_bytes):
+            found, starts = _searched(texts, patterns)
+            for k, item, a, b, cost in found:
+                text, base = texts[k], int(starts[k])
+                point = lambda p: len(text[: p - base].decode(errors="ignore"))
+                rows.append((batch.column(0)[at + k].as_py(), item, point(a), point(min(b, base + len(text))), cost))
         columns = list(zip(*rows)) or [()] * 5
-        kinds = [pa.int64()] * 4 + [pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "item_id", "start", "stop", "edits"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
 
+def _untouched(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], budget: Budget) -> Iterator[pa.RecordBatch]:
+    patterns = Patterns(items, budget)
     for batch in batches:
-        ids, texts, size = [], [], 0
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data = text.as_py().encode()
-            ids.append(i)
-            texts.append(data)
-            size += len(data)
-            if size >= budget.block_bytes:
-                yield run(ids, texts)
-                ids, texts, size = [], [], 0
-        if ids:
-            yield run(ids, texts)
+        clean = np.ones(len(batch), bool)
+        for at, texts in _in_blocks(batch, 1, budget.block_bytes):
+            clean[[at + f[0] for f in _searched(texts, patterns)[0]]] = False
+        yield batch.filter(pa.array(clean)).select([0])
+
+
+def _passes(benchmark: DataFrame, item_col: str, text_col: str, most_items: int, most_bytes: int) -> list[list[tuple[int, str]]]:
+    """The items in lists of bounded size."""
+    items = id_and_text(benchmark, item_col, text_col).where(F.length("text") > 0).distinct()
+    passes: list[list[tuple[int, str]]] = []
+    size = most_bytes
+    for row in items.orderBy("id", "text").toLocalIterator():
+        if size >= most_bytes or len(passes[-1]) >= most_items:
+            passes.append([])
+            size = 0
+        passes[-1].append((row.id, row.text))
+        size += len(row.text)
+    return passes
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, budget: Budget = Budget(), text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", items_per_pass: int = 50_000, pass_bytes: int = 16 << 20,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text repeats no passage of the benchmark (see ``contamination``)."""
+    for some in _passes(benchmark, item_col, item_text_col, items_per_pass, pass_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(some)
+        rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+        schema = T.StructType([T.StructField("row", docs.schema)])
+        docs = rows.mapInArrow(lambda batches, sent=sent: _untouched(batches, sent.value, budget), schema).select("row.*")
+    return docs
 
 
 def contamination(
@@ -255,17 +293,8 @@ def contamination(
     """
     spark = docs.sparkSession
     left = id_and_text(docs, id_col, text_col)
-    items = id_and_text(benchmark, item_col, item_text_col).where(F.length("text") > 0).distinct()
-    passes: list[list[tuple[int, str]]] = []
-    size = pass_bytes
-    for row in items.orderBy("id", "text").toLocalIterator():
-        if size >= pass_bytes or len(passes[-1]) >= items_per_pass:
-            passes.append([])
-            size = 0
-        passes[-1].append((row.id, row.text))
-        size += len(row.text)
     found = None
-    for some in passes:
+    for some in _passes(benchmark, item_col, item_text_col, items_per_pass, pass_bytes):
         sent = spark.sparkContext.broadcast(some)
         part = left.mapInArrow(lambda batches, sent=sent: _matches(batches, sent.value, budget), SCHEMA)
         found = part if found is None else found.unionByName(part)
@@ -276,8 +305,6 @@ def contamination(
 
 def _merged(found: DataFrame) -> DataFrame:
     """Overlapping places of one item in one document become one."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("doc_id", "item_id").orderBy("start", "stop", "edits")
     reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return (

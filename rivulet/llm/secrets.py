@@ -244,8 +244,8 @@ def digest(scanned: DataFrame, rules: Sequence[Rule] = BASE + MORE) -> DataFrame
     )
 
 
-def redacted(scanned: DataFrame, mark: str = "[SECRET]") -> Column:
-    """The text with every span, overlapping ones as one, replaced by the mark."""
+def redacted(mark: str = "[SECRET]") -> Column:
+    """The text of a scan with every span, overlapping ones as one, replaced by the mark."""
     seen = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
