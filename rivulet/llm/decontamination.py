@@ -114,7 +114,7 @@ class Patterns:
         lo, hi = np.searchsorted(self.hashes, g[spots], "left"), np.searchsorted(self.hashes, g[spots], "right")
         many = hi - lo
         spots, lo, many = spots[many > 0], lo[many > 0], many[many > 0]
-        index = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        index = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
         at = np.repeat(spots, many)
         owner, place = self.owners[index], self.places[index]
         edits, least = np.array(self.edits)[owner], np.array(self.least)[owner]

@@ -100,7 +100,7 @@ class Sets:
             d = doc[at]
             many = np.searchsorted(d, d, "right") - np.arange(len(at)) - 1  # partners that follow
             left = np.repeat(np.arange(len(at)), many)
-            right = left + 1 + np.arange(len(left)) - np.repeat(np.concatenate([[0], np.cumsum(many)[:-1]]), many)
+            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many)
             out_doc.append(d[left])
             out_key.append(mix(value[at][left] * _COMBINED + value[at][right]))
         return np.concatenate(out_doc), np.concatenate(out_key)

@@ -90,7 +90,7 @@ class Suffixes:
     def windows(self, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Every window of the heads: where it begins, and its document's id."""
         many = self.high[heads] - self.low[heads] + 1
-        before = np.concatenate([[0], np.cumsum(many)[:-1]]).astype(np.int64)
+        before = np.cumsum(many) - many
         at = np.arange(many.sum()) - np.repeat(before, many) + np.repeat(self.low[heads], many)
         return at, np.repeat(self.id[heads], many)
 
