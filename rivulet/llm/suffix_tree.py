@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,10 +25,11 @@ GAINS = [np.uint32, np.uint8, np.float32]
 
 @dataclass(frozen=True)
 class Tree:
-    """Contexts of one and two words need ``least`` occurrences in training; they stay if they gain more than ``gain`` nats, each
-    training token left out in turn. ``weight``: how many observations the shorter context counts for."""
+    """Contexts of one and two words need the probability ``share`` among the training tokens, and two occurrences; they stay if
+    they gain more than ``gain`` nats, each training token left out in turn. ``weight``: how many observations the shorter
+    context counts for."""
 
-    least: tuple[int, int] = (20, 4)
+    share: tuple[float, float] = (1e-6, 1e-7)
     weight: float = 4.0
     gain: float = 3.0
     folds: int = 5
@@ -43,6 +45,10 @@ class Totals:
     distinct: int
     texts: int
 
+    def least(self, share: float) -> int:
+        """The occurrences that a context of that probability has."""
+        return max(2, math.ceil(share * self.tokens))
+
 
 def _low(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """40 bits of a digest; the bits above have chosen the bucket."""
@@ -98,7 +104,7 @@ class Tokens:
     @cached_property
     def one(self) -> np.ndarray:
         """Tokens whose former word is frequent enough to be a context."""
-        return np.flatnonzero(self.seen[self.before] >= self.tree.least[0])
+        return np.flatnonzero(self.seen[self.before] >= self.totals.least(self.tree.share[0]))
 
     @cached_property
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +135,7 @@ class Tokens:
 
     @cached_property
     def two(self) -> np.ndarray:
-        return np.flatnonzero(self.context >= self.tree.least[1])
+        return np.flatnonzero(self.context >= self.totals.least(self.tree.share[1]))
 
     @cached_property
     def contexts(self) -> np.ndarray:
@@ -225,7 +231,8 @@ def scored(docs: DataFrame, tree: Tree = Tree(), id_col: str = "doc_id", text_co
     """The log10 probability of every whole text, by a suffix tree learned from the texts outside the held-out fold.
 
     Tokens are lower-case words (A-Z), and one end per text. The root gives (c + 0.5) / (N + 0.5 (V + 1)), where all unknown words
-    share one probability. A context of one word (or the beginning) needs 20 occurrences, one of two words 4. A context stays if, on the
+    share one probability. A context of one word (or the beginning) needs a probability of one in a
+    million tokens, one of two words a tenth of that, and both two occurrences. A context stays if, on the
     training tokens and each left out in turn, its smoothed next-symbol distribution beats that of the context one word shorter by 3
     nats; a context that stays keeps its suffixes for smoothing: P(x|s) = (c(sx) + m P(x|shorter s)) / (c(s) + m). A token is scored
     in its longest context that stays.
