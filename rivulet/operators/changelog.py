@@ -46,10 +46,11 @@ def rolling_changelog(
 
 
 def changelog_between(previous: DataFrame, current: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Changes that turn one snapshot of a keyed result into the next."""
+    """Changes that turn one snapshot of a keyed result into the next. Null keys are equal."""
     old = previous.select(*keys, F.struct(*values).alias("_old"))
-    new = current.select(*keys, F.struct(*values).alias("_new"))
-    both = old.join(new, keys, "full")
+    new = current.select(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)), F.struct(*values).alias("_new"))
+    both = old.join(new, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)], "full")
+    both = both.select(*(F.coalesce(k, f"_key_{i}").alias(k) for i, k in enumerate(keys)), "_old", "_new")
     gone, came = F.col("_new").isNull(), F.col("_old").isNull()
 
     def change(kind: str, side: str) -> Column:

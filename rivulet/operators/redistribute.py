@@ -25,7 +25,7 @@ def copied(df: DataFrame, consumers: int, out: str = "consumer") -> DataFrame:
 
 
 def with_parallelism(df: DataFrame, partitions: int) -> DataFrame:
-    """Fewer partitions without a shuffle, or more with one."""
+    """At most so many partitions, without a shuffle. ``rebalanced`` makes more."""
     return df.coalesce(partitions)
 
 

@@ -15,14 +15,20 @@ def latest_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return latest.select(*df.columns)
 
 
+def _matches(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A semi or anti join in which null keys are equal."""
+    other = right.select(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return left.join(other, same, how)
+
+
 def split_upsert(batch: DataFrame, target: DataFrame, keys: list[str], seq: str) -> tuple[DataFrame, DataFrame]:
     """(updates, inserts) of a batch against a target: last write per key, then by presence."""
     latest = latest_per_key(batch, keys, seq)
-    present = target.select(*keys)
-    return latest.join(present, keys, "left_semi"), latest.join(present, keys, "left_anti")
+    return _matches(latest, target, keys, "left_semi"), _matches(latest, target, keys, "left_anti")
 
 
 def upserted(target: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The target after the batch: its rows of untouched keys and the batch's last rows."""
     latest = latest_per_key(batch, keys, seq).select(*target.columns)
-    return target.join(latest.select(*keys), keys, "left_anti").select(*target.columns).unionByName(latest)
+    return _matches(target, latest, keys, "left_anti").select(*target.columns).unionByName(latest)

@@ -1,7 +1,6 @@
 """Streaming twins: the same tables read as file streams until they are used up.
 
-A stream does not know that its input has ended, so it gives what the watermark
-(the latest event time less the delay) has made final.
+When the tables are used up the streams are ended, so they give what the batch queries give.
 """
 
 from __future__ import annotations
@@ -23,9 +22,6 @@ from rivulet.sources import files, modulo as modulo_source
 from rivulet.streaming import carried, jobs, lateness, run, steps
 
 DAY, DELAY = timedelta(days=1), timedelta(hours=2)
-MARK_SQL = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 HOURS FROM events)"
-# Events that the watermark has passed, under the name the batch queries use.
-READY_SQL = EVENTS_SQL.replace("FROM events", f"FROM events WHERE ts <= {MARK_SQL}")
 
 
 def _stream(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
@@ -36,22 +32,23 @@ def _stream(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
 @query(
     "stream_tumbling_counts",
     EVENTS_SQL
-    + f"SELECT * FROM (SELECT user_id, {DAILY_SQL}, count(*) AS count FROM e GROUP BY ALL) WHERE window_end <= {MARK_SQL}",
+    + f"SELECT user_id, {DAILY_SQL}, count(*) AS count FROM e GROUP BY ALL",
 )
 def stream_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = jobs.tumbling_counts(_stream(spark, sf_dir), "ts", DAY, DELAY, ["user_id"])
-    return run.drained(counts, "tumbling")
+    end = run.Ending(spark)
+    counts = jobs.tumbling_counts(end.after(_stream(spark, sf_dir)), "ts", DAY, DELAY, ["user_id"])
+    return run.drained(counts, "tumbling", end=end)
 
 
 @query(
     "stream_sliding_global",
     EVENTS_SQL
-    + f"""SELECT * FROM (SELECT {SLIDING_SQL}, count(*) AS count FROM e, range(4) AS r(s) GROUP BY ALL)
-    WHERE window_end <= {MARK_SQL}""",
+    + f"SELECT {SLIDING_SQL}, count(*) AS count FROM e, range(4) AS r(s) GROUP BY ALL",
 )
 def stream_sliding_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = jobs.sliding_counts(_stream(spark, sf_dir), "ts", DAY, timedelta(hours=6), DELAY, [])
-    return run.drained(counts, "sliding")
+    end = run.Ending(spark)
+    counts = jobs.sliding_counts(end.after(_stream(spark, sf_dir)), "ts", DAY, timedelta(hours=6), DELAY, [])
+    return run.drained(counts, "sliding", end=end)
 
 
 @query(
@@ -61,33 +58,35 @@ def stream_sliding_global(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY count DESC, item) AS rank FROM (
         SELECT item, {SLIDING_SQL}, count(*) AS count
         FROM e, range(4) AS r(s) WHERE event_type = 'view' GROUP BY ALL))
-    WHERE rank <= 3 AND window_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 HOURS FROM e
-      WHERE event_type = 'view')""",
+    WHERE rank <= 3""",
 )
 def stream_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.hot_items(_stream(spark, sf_dir, "view"), "item", "ts", DAY, timedelta(hours=6), DELAY)
+    end = run.Ending(spark)
+    return jobs.hot_items(
+        end.after(_stream(spark, sf_dir, "view")), "item", "ts", DAY, timedelta(hours=6), DELAY, end=end
+    )
 
 
 @query(
     "stream_uv_exact",
     EVENTS_SQL
-    + f"""SELECT * FROM (SELECT {DAILY_SQL}, count(DISTINCT user_id) AS visitors FROM e GROUP BY ALL)
-    WHERE window_end <= {MARK_SQL}""",
+    + f"SELECT {DAILY_SQL}, count(DISTINCT user_id) AS visitors FROM e GROUP BY ALL",
 )
 def stream_uv_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run.drained(jobs.unique_visitors(_stream(spark, sf_dir), "ts", "user_id", DAY, DELAY), "visitors")
+    end = run.Ending(spark)
+    visitors = jobs.unique_visitors(end.after(_stream(spark, sf_dir)), "ts", "user_id", DAY, DELAY)
+    return run.drained(visitors, "visitors", end=end)
 
 
 @query(
     "stream_union_counts",
     EVENTS_SQL
-    + f"""SELECT * FROM (SELECT {DAILY_SQL}, count(*) AS count FROM e WHERE event_type IN ('click', 'view') GROUP BY ALL)
-    WHERE window_end <= (SELECT min(m) FROM (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 HOURS AS m FROM e
-      WHERE event_type IN ('click', 'view') GROUP BY event_type))""",
+    + f"SELECT {DAILY_SQL}, count(*) AS count FROM e WHERE event_type IN ('click', 'view') GROUP BY ALL",
 )
 def stream_union_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = [_stream(spark, sf_dir, kind).select("ts") for kind in ("click", "view")]
-    return run.drained(jobs.union_counts(both, "ts", DAY, DELAY), "union")
+    end = run.Ending(spark)
+    both = [end.after(_stream(spark, sf_dir, kind).select("ts")) for kind in ("click", "view")]
+    return run.drained(jobs.union_counts(both, "ts", DAY, DELAY), "union", end=end)
 
 
 def _side(spark: SparkSession, sf_dir: str, kind: str, name: str) -> DataFrame:
@@ -223,20 +222,21 @@ def stream_dynamic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_running_totals",
-    READY_SQL
+    EVENTS_SQL
     + """SELECT event_id, user_id, CAST(sum(cents) OVER w AS BIGINT) AS sum, count(*) OVER w AS count,
     max(cents) OVER w AS max, CAST(sum(cents) OVER w AS DOUBLE) / count(*) OVER w AS average
     FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = steps.running_totals(_stream(spark, sf_dir), ["user_id"], "ts", "event_id", "cents", DELAY)
-    return run.drained(totals, "totals")
+    end = run.Ending(spark)
+    totals = steps.running_totals(end.after(_stream(spark, sf_dir)), ["user_id"], "ts", "event_id", "cents", DELAY)
+    return run.drained(totals, "totals", end=end)
 
 
 @query(
     "stream_timer_average",
-    READY_SQL
-    + f""", nxt AS (SELECT user_id, ts, min(ts) OVER (PARTITION BY user_id ORDER BY ts
+    EVENTS_SQL
+    + """, nxt AS (SELECT user_id, ts, min(ts) OVER (PARTITION BY user_id ORDER BY ts
         RANGE BETWEEN INTERVAL 1 DAY FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM e),
     chain(user_id, ts) AS (SELECT user_id, min(ts) FROM e GROUP BY user_id
       UNION ALL SELECT chain.user_id, nxt.after FROM chain JOIN nxt ON chain.user_id = nxt.user_id AND chain.ts = nxt.ts
@@ -244,29 +244,32 @@ def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT c.user_id, c.ts + INTERVAL 1 DAY AS fire_ts, CAST(sum(e.cents) AS BIGINT) AS sum, count(*) AS count,
       CAST(sum(e.cents) AS DOUBLE) / count(*) AS average
     FROM chain c JOIN e ON c.user_id = e.user_id AND e.ts < c.ts + INTERVAL 1 DAY
-    WHERE c.ts + INTERVAL 1 DAY <= {MARK_SQL} GROUP BY c.user_id, c.ts""",
+    GROUP BY c.user_id, c.ts""",
 )
 def stream_timer_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fired = steps.timer_average(_stream(spark, sf_dir), ["user_id"], "ts", "event_id", "cents", DAY, DELAY)
-    return run.drained(fired, "timer-average")
+    end = run.Ending(spark)
+    data = end.after(_stream(spark, sf_dir))
+    fired = steps.timer_average(data, ["user_id"], "ts", "event_id", "cents", DAY, DELAY)
+    return run.drained(fired, "timer-average", end=end)
 
 
 @query(
     "stream_delay_timers",
-    READY_SQL
-    + f"SELECT DISTINCT user_id, ts + INTERVAL 5 HOURS AS fire_ts FROM e WHERE ts + INTERVAL 5 HOURS <= {MARK_SQL}",
+    EVENTS_SQL
+    + "SELECT DISTINCT user_id, ts + INTERVAL 5 HOURS AS fire_ts FROM e",
 )
 def stream_delay_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = run.Ending(spark)
     fired = steps.delay_timers(
-        _stream(spark, sf_dir), ["user_id"], "ts", "event_id", timedelta(hours=5), DELAY
+        end.after(_stream(spark, sf_dir)), ["user_id"], "ts", "event_id", timedelta(hours=5), DELAY
     )
-    return run.drained(fired, "delay-timers")
+    return run.drained(fired, "delay-timers", end=end)
 
 
 @query(
     "stream_rising_alert",
-    READY_SQL
-    + f""", v AS (SELECT user_id, ts, event_id, cents, lag(cents) OVER w AS previous FROM e
+    EVENTS_SQL
+    + """, v AS (SELECT user_id, ts, event_id, cents, lag(cents) OVER w AS previous FROM e
       WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     r AS (SELECT *, sum(CASE WHEN previous IS NULL OR cents < previous THEN 1 ELSE 0 END) OVER (
         PARTITION BY user_id ORDER BY ts, event_id) AS run FROM v),
@@ -279,16 +282,17 @@ def stream_delay_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
         ON chain.user_id = nxt.user_id AND chain.run = nxt.run AND chain.ts = nxt.ts WHERE nxt.after IS NOT NULL)
     SELECT c.user_id, c.ts + INTERVAL 6 HOURS AS fire_ts FROM chain c
     LEFT JOIN falls f ON c.user_id = f.user_id AND f.run = c.run + 1
-    WHERE (f.until IS NULL OR c.ts + INTERVAL 6 HOURS <= f.until) AND c.ts + INTERVAL 6 HOURS <= {MARK_SQL}""",
+    WHERE (f.until IS NULL OR c.ts + INTERVAL 6 HOURS <= f.until)""",
 )
 def stream_rising_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    end = run.Ending(spark)
     fired = steps.rising_alert(
-        _stream(spark, sf_dir), ["user_id"], "ts", "event_id", "cents", timedelta(hours=6), DELAY
+        end.after(_stream(spark, sf_dir)), ["user_id"], "ts", "event_id", "cents", timedelta(hours=6), DELAY
     )
-    return run.drained(fired, "rising-alert")
+    return run.drained(fired, "rising-alert", end=end)
 
 
-STRICT_SQL = READY_SQL + """, near AS (SELECT *, lead(event_type, 1) OVER w AS type2, lead(event_type, 2) OVER w AS type3,
+STRICT_SQL = EVENTS_SQL + """, near AS (SELECT *, lead(event_type, 1) OVER w AS type2, lead(event_type, 2) OVER w AS type3,
   lead(ts, 1) OVER w AS ts2, lead(ts, 2) OVER w AS ts3, lead(event_id, 2) OVER w AS id3 FROM e
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 matched AS (SELECT * FROM near WHERE event_type = 'error' AND type2 = 'error' AND type3 = 'error')
@@ -298,49 +302,47 @@ matched AS (SELECT * FROM near WHERE event_type = 'error' AND type2 = 'error' AN
 @query("stream_fails_strict", STRICT_SQL + "SELECT user_id, ts AS first_ts, ts2 AS second_ts, ts3 AS third_ts FROM matched")
 def stream_fails_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     fail = {name: of_type("error") for name in ("first", "second", "third")}
-    matches = steps.strict_sequence(_stream(spark, sf_dir), ["user_id"], "ts", "event_id", fail, DELAY)
-    return run.drained(matches, "fails-strict")
+    end = run.Ending(spark)
+    matches = steps.strict_sequence(end.after(_stream(spark, sf_dir)), ["user_id"], "ts", "event_id", fail, DELAY)
+    return run.drained(matches, "fails-strict", end=end)
 
 
 @query(
     "stream_fails_times",
-    EVENTS_SQL.replace(
-        "FROM events",
-        """FROM events WHERE event_type = 'error' AND ts <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 HOURS
-        FROM events WHERE event_type = 'error')""",
-    )
+    EVENTS_SQL
     + """SELECT * FROM (SELECT user_id, ts AS first_ts, lead(ts, 1) OVER w AS second_ts, lead(ts, 2) OVER w AS third_ts
-    FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE third_ts IS NOT NULL""",
+    FROM e WHERE event_type = 'error' WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE third_ts IS NOT NULL""",
 )
 def stream_fails_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["first", "second", "third"]
-    matches = steps.repeated(
-        _stream(spark, sf_dir), ["user_id"], "ts", "event_id", of_type("error"), names, DELAY
-    )
-    return run.drained(matches, "fails-times")
+    end = run.Ending(spark)
+    errors = end.after(_stream(spark, sf_dir, "error"))
+    matches = steps.repeated(errors, ["user_id"], "ts", "event_id", F.lit(True), names, DELAY)
+    return run.drained(matches, "fails-times", end=end)
 
 
 @query("stream_fails_machine", STRICT_SQL + "SELECT user_id, id3 AS event_id, 'S2' AS state FROM matched")
 def stream_fails_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.when(of_type("error"), "fail").otherwise("success")
+    end = run.Ending(spark)
     alerts = steps.run_machine(
-        _stream(spark, sf_dir), ["user_id"], "ts", "event_id", event, machine.LOGIN_FAILURES, DELAY
+        end.after(_stream(spark, sf_dir)), ["user_id"], "ts", "event_id", event, machine.LOGIN_FAILURES, DELAY
     )
-    return run.drained(alerts, "fails-machine")
+    return run.drained(alerts, "fails-machine", end=end)
 
 
-PAY_SQL = READY_SQL + f""", near AS (SELECT *, lead(ts) OVER w AS ts2, lead(event_type) OVER w AS type2,
+PAY_SQL = EVENTS_SQL + """, near AS (SELECT *, lead(ts) OVER w AS ts2, lead(event_type) OVER w AS type2,
   coalesce(lead(ts) OVER w < ts + INTERVAL 12 HOURS, false) AS in_time FROM e
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 paid AS (SELECT user_id, ts AS first_ts, CASE WHEN in_time THEN ts2 END AS then_ts,
   CASE WHEN in_time THEN 'match' ELSE 'timeout' END AS output
-  FROM near WHERE event_type = 'signup' AND (in_time AND type2 = 'purchase' OR NOT in_time AND ts + INTERVAL 12 HOURS <= {MARK_SQL}))
+  FROM near WHERE event_type = 'signup' AND (NOT in_time OR type2 = 'purchase'))
 """
 
 
-def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _payments(spark: SparkSession, sf_dir: str, end: run.Ending) -> DataFrame:
     return steps.followed_within(
-        _stream(spark, sf_dir),
+        end.after(_stream(spark, sf_dir)),
         ["user_id"],
         "ts",
         "event_id",
@@ -353,7 +355,8 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_pay_within", PAY_SQL + "SELECT * FROM paid")
 def stream_pay_within(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run.drained(_payments(spark, sf_dir), "pay-within")
+    end = run.Ending(spark)
+    return run.drained(_payments(spark, sf_dir, end), "pay-within", end=end)
 
 
 @query(
@@ -367,9 +370,10 @@ def stream_two_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     def into(name: str):
         return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{home}/{name}/batch_id={batch_id}")
 
-    tagged = _payments(spark, sf_dir).withColumn("output", F.when(F.col("output") == "match", "main").otherwise("side"))
+    end = run.Ending(spark)
+    tagged = _payments(spark, sf_dir, end).withColumn("output", F.when(F.col("output") == "match", "main").otherwise("side"))
     with run.state_settings(spark):
-        run.run_available(two_outputs(tagged, into("main"), into("side")), f"{home}/checkpoint")
+        run.run_available(two_outputs(tagged, into("main"), into("side")), f"{home}/checkpoint", end)
     parts = [spark.read.parquet(f"{home}/{name}").withColumn("sink", F.lit(name)) for name in ("main", "side")]
     return parts[0].unionByName(parts[1]).select("sink", "user_id", "first_ts")
 
@@ -379,14 +383,12 @@ def stream_two_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     EVENTS_SQL
     + """, s AS (SELECT user_id, min(ts) AS signup_ts FROM e WHERE event_type = 'signup' GROUP BY ALL),
     p AS (SELECT user_id, max(ts) AS purchase_ts FROM e WHERE event_type = 'purchase' GROUP BY ALL),
-    m AS (SELECT date_trunc('milliseconds', max(greatest(coalesce(signup_ts, purchase_ts), coalesce(purchase_ts, signup_ts))))
-      - INTERVAL 2 HOURS AS mark FROM s FULL JOIN p USING (user_id)),
     j AS (SELECT user_id, signup_ts, purchase_ts,
       coalesce(signup_ts <= purchase_ts + INTERVAL 700 HOURS AND purchase_ts <= signup_ts + INTERVAL 700 HOURS, false) AS ok
       FROM s FULL JOIN p USING (user_id))
-    SELECT user_id, 'matched' AS status, signup_ts, purchase_ts FROM j, m WHERE ok AND greatest(signup_ts, purchase_ts) <= mark
-    UNION ALL SELECT user_id, 'no_right', signup_ts, NULL FROM j, m WHERE NOT ok AND signup_ts + INTERVAL 700 HOURS <= mark
-    UNION ALL SELECT user_id, 'no_left', NULL, purchase_ts FROM j, m WHERE NOT ok AND purchase_ts + INTERVAL 700 HOURS <= mark""",
+    SELECT user_id, 'matched' AS status, signup_ts, purchase_ts FROM j WHERE ok
+    UNION ALL SELECT user_id, 'no_right', signup_ts, NULL FROM j WHERE NOT ok AND signup_ts IS NOT NULL
+    UNION ALL SELECT user_id, 'no_left', NULL, purchase_ts FROM j WHERE NOT ok AND purchase_ts IS NOT NULL""",
 )
 def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First sign-up against last purchase of a user, at most 700 hours apart."""
@@ -394,30 +396,31 @@ def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     lasts = events(spark, sf_dir).where(of_type("purchase")).groupBy("user_id").agg(F.max("event_id").alias("event_id"))
     signups = _stream(spark, sf_dir, "signup").join(firsts, ["user_id", "event_id"], "left_semi")
     purchases = _stream(spark, sf_dir, "purchase").join(lasts, ["user_id", "event_id"], "left_semi")
+    end = run.Ending(spark)
     matched = steps.reconcile(
-        signups.select("user_id", F.col("ts").alias("signup_ts")),
-        purchases.select("user_id", F.col("ts").alias("purchase_ts")),
+        end.after(signups.select("user_id", "ts")).withColumnRenamed("ts", "signup_ts"),
+        end.after(purchases.select("user_id", "ts")).withColumnRenamed("ts", "purchase_ts"),
         ["user_id"],
         "signup_ts",
         "purchase_ts",
         timedelta(hours=700),
         DELAY,
     )
-    return run.drained(matched, "reconcile")
+    return run.drained(matched, "reconcile", end=end)
 
 
 @query(
     "stream_lateness_windows",
     EVENTS_SQL
-    + f"""SELECT * FROM (SELECT event_type, {DAILY_SQL}, CAST(1 AS BIGINT) AS firing, count(*) AS count FROM e GROUP BY ALL)
-    WHERE window_end - INTERVAL 1 MILLISECOND <= {MARK_SQL}""",
+    + f"SELECT event_type, {DAILY_SQL}, CAST(1 AS BIGINT) AS firing, count(*) AS count FROM e GROUP BY ALL",
 )
 def stream_lateness_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Firings of daily windows kept six hours for late rows; a table read at once has no late rows."""
+    end = run.Ending(spark)
     fired = lateness.lateness_windows(
-        _stream(spark, sf_dir), ["event_type"], "ts", DAY, DELAY, timedelta(hours=6)
+        end.after(_stream(spark, sf_dir)), ["event_type"], "ts", DAY, DELAY, timedelta(hours=6)
     )
-    (fired,) = outputs(run.drained(fired, "lateness"), "fired")
+    (fired,) = outputs(run.drained(fired, "lateness", end=end), "fired")
     return fired.select("event_type", "window_start", "window_end", "firing", "count")
 
 

@@ -17,9 +17,12 @@ def _reader(spark: SparkSession, stream: bool, files_per_trigger: int | None):
 def table_stream(
     spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Parquet files as they come. ``files_per_trigger`` bounds a micro-batch."""
+    """Parquet files as they come. ``files_per_trigger`` bounds a micro-batch. ``glob``: tables of ``path``, files or folders of files.
+
+    A path with a pattern is not taken for the base of partition columns, so it may be a single file.
+    """
     reader = _reader(spark, True, files_per_trigger).schema(schema)
-    return (reader.option("pathGlobFilter", glob) if glob else reader).parquet(path)
+    return reader.parquet(f"{path}/[{glob[0]}]{glob[1:]}" if glob else path)
 
 
 def text_lines(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rivulet.functions.time import span
 from rivulet.operators import distinct, joins, ranking, windows
-from rivulet.streaming.run import drained
+from rivulet.streaming.run import Ending, drained
 
 
 def watermarked(df: DataFrame, ts: str, delay: timedelta = timedelta(0)) -> DataFrame:
@@ -27,7 +27,14 @@ def sliding_counts(
 
 
 def hot_items(
-    df: DataFrame, item: str, ts: str, size: timedelta, slide: timedelta, delay: timedelta, n: int = 3
+    df: DataFrame,
+    item: str,
+    ts: str,
+    size: timedelta,
+    slide: timedelta,
+    delay: timedelta,
+    n: int = 3,
+    end: Ending | None = None,
 ) -> DataFrame:
     """Top items of the windows that have closed.
 
@@ -39,6 +46,7 @@ def hot_items(
         counts,
         "hot-items",
         each=lambda batch: ranking.top_n(batch, n, ["window_start", "window_end"], tie=item),
+        end=end,
     )
 
 

@@ -426,3 +426,15 @@ def test_user_aggregate_merges(spark):
     )
     expected = [(k, [sum(range(k, 1000, 3)), len(range(k, 1000, 3))]) for k in range(3)]
     assert values(folded) == expected
+
+
+def test_null_keys_of_snapshots_are_equal(spark):
+    a = spark.createDataFrame([(None, 1), (1, 2)], "k bigint, n bigint")
+    b = spark.createDataFrame([(None, 5), (2, 3)], "k bigint, n bigint")
+    assert changelog.changelog_between(a, a, ["k"], ["n"]).collect() == []
+    changes = {tuple(r) for r in changelog.changelog_between(a, b, ["k"], ["n"]).collect()}
+    assert changes == {(None, "-U", 1), (None, "+U", 5), (1, "-D", 2), (2, "+I", 3)}
+    batch = b.withColumn("seq", F.lit(1))
+    assert {tuple(r) for r in upsert.upserted(a, batch, ["k"], "seq").collect()} == {(None, 5), (1, 2), (2, 3)}
+    updates, inserts = upsert.split_upsert(batch, a, ["k"], "seq")
+    assert [r.k for r in updates.collect()] == [None] and [r.k for r in inserts.collect()] == [2]

@@ -312,3 +312,16 @@ def test_a_stopped_stream_goes_on_where_it_was(spark, tmp_path, data):
     table = spark.createDataFrame(data, SCHEMA).withColumn("ts", F.timestamp_millis("ms"))
     want = windows.tumbling(table, "ts", 5 * SECOND, ["k"])
     assert values(spark.read.parquet(f"{tmp_path}/out")) == values(want)
+
+
+def test_table_of_several_files_as_a_stream(spark, tmp_path):
+    whole = spark.range(30).withColumn("ts", F.timestamp_seconds(F.col("id") * 60))
+    whole.repartition(3).write.parquet(f"{tmp_path}/many.parquet")
+    single = spark.createDataFrame(whole.toPandas(), whole.schema).toPandas()
+    single.to_parquet(f"{tmp_path}/one.parquet", coerce_timestamps="us")
+    for name in ("many", "one"):
+        end = run.Ending(spark)
+        stream = end.after(files.table_stream(spark, str(tmp_path), whole.schema, glob=f"{name}.parquet"))
+        counts = jobs.tumbling_counts(stream, "ts", timedelta(minutes=10), timedelta(hours=1), [])
+        rows = run.drained(counts, f"several-{name}", end=end).collect()
+        assert sorted(r["count"] for r in rows) == [10, 10, 10]
