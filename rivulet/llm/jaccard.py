@@ -9,49 +9,59 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rivulet.llm.blocks import Block, Deal, answered, asked, mix, packed, with_answers
+from rivulet.llm.blocks import Block, Deal, answered, asked, mix, opened, packed, read, squeezed, with_answers
 from rivulet.llm.common import partitions, stored
 from rivulet.llm.words import Words
 
-FEATURES = "doc_id bigint, n_shingles bigint, low bigint, first boolean, keys array<bigint>, shingles array<bigint>"
+FEATURES = "doc_id bigint, n_shingles bigint, low bigint, first boolean, block bigint, at int, outline binary, keys array<bigint>"
+_PART = 1 << 15
 _STEP, _COMBINED, _SAME = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5)
 
 
 @dataclass(frozen=True)
 class Join:
-    """``words`` in a shingle; documents link from ``percent`` on. Shingles whose cell of a counting sketch (``cells`` cells)
-    exceeds the mean by ``frequent`` of all documents are frequent. Combinations are used up to ``combined`` shingles in a
-    document. ``small``: groups of so many documents are compared pair by pair."""
+    """``words`` in a shingle; documents link from ``percent`` on. A shingle is frequent if its cell of a counting sketch
+    (``cells`` cells) exceeds the mean by ``frequent`` and by four standard deviations. Combinations are used up to ``combined`` shingles in a
+    document. ``small``: groups of so many documents are compared pair by pair. ``outline``: cells of a document's outline."""
 
     words: int = 3
     percent: int = 90
-    cells: int = 1 << 17
-    frequent: float = 0.002
+    cells: int = 1 << 20
+    frequent: int = 24
     combined: int = 400
-    small: int = 8
+    small: tuple[int, int] = (16, 128)
+    outline: int = 128
     block_bytes: int = 8 << 20
 
 
+def shingled(block: Block, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The hash and document of every shingle, repeats too, and the number of documents."""
+    w = Words(block)
+    first = (np.cumsum(w.counts) - w.counts).astype(np.int64)
+    full = np.flatnonzero(w.counts[w.doc] - (np.arange(len(w.doc)) - first[w.doc]) >= k)
+    value = np.zeros(len(full), np.uint64)
+    for j in range(k):
+        value = mix(value * _STEP + w.hash[full + j])
+    short = np.flatnonzero((w.counts > 0) & (w.counts < k))  # the whole sequence is the only shingle
+    extra = np.zeros(len(short), np.uint64)
+    for j in range(k - 1):
+        has = w.counts[short] > j
+        extra[has] = mix(extra[has] * _STEP + w.hash[first[short[has]] + j])
+    return np.concatenate([value, extra + np.uint64(1)]), np.concatenate([w.doc[full], short]), len(w.counts)
+
+
+def _cell(value: np.ndarray, cells: int) -> np.ndarray:
+    return (value >> np.uint64(20)).astype(np.int64) & (cells - 1)
+
+
 class Sets:
     """The shingle set of every document of a block: distinct hashes, documents one after the other."""
 
     def __init__(self, block: Block, join: Join) -> None:
         self.block, self.join = block, join
-        w, k = Words(block), join.words
-        n = len(w.counts)
-        first = np.concatenate([[0], np.cumsum(w.counts)[:-1]]).astype(np.int64)
-        full = np.flatnonzero(w.counts[w.doc] - (np.arange(len(w.doc)) - first[w.doc]) >= k)
-        value = np.zeros(len(full), np.uint64)
-        for j in range(k):
-            value = mix(value * _STEP + w.hash[full + j])
-        doc = w.doc[full]
-        short = np.flatnonzero((w.counts > 0) & (w.counts < k))  # the whole sequence is the only shingle
-        extra = np.zeros(len(short), np.uint64)
-        for j in range(k - 1):
-            has = w.counts[short] > j
-            extra[has] = mix(extra[has] * _STEP + w.hash[first[short[has]] + j])
-        value, doc = np.concatenate([value, extra + np.uint64(1)]), np.concatenate([doc, short])
-        order = np.lexsort((value, doc))
+        value, doc, n = shingled(block, join.words)
+        order = np.argsort(value)
+        order = order[np.argsort(doc[order].astype(np.uint16 if n < 1 << 16 else np.int64), kind="stable")]
         value, doc = value[order], doc[order]
         new = np.ones(len(doc), bool)
         new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
@@ -63,8 +73,12 @@ class Sets:
         add = lambda x: np.add.reduceat(x, self.starts[self.some]) if len(self.some) else x[:0]
         self.same = mix(add(mix(self.value ^ _SAME)) * _STEP + add(mix(self.value + _SAME)))
 
-    def cells(self) -> np.ndarray:
-        return np.bincount((self.value >> np.uint64(20)).astype(np.int64) & (self.join.cells - 1), minlength=self.join.cells)
+    def outlines(self, docs: np.ndarray) -> list[bytes]:
+        """How many shingles of each document fall into each of a few cells. The smaller counts of two documents add up to no
+        less than what they share."""
+        cells = self.join.outline
+        counts = np.bincount(self.doc * cells + (self.value & np.uint64(cells - 1)).astype(np.int64), minlength=len(self.sizes) * cells)
+        return [x.tobytes() for x in counts.reshape(-1, cells)[docs].astype(np.int32)]
 
     def representatives(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct sets: (digest, least document id, for each document with words which one it has)."""
@@ -86,7 +100,7 @@ class Sets:
         wanted[docs] = True
         at = np.flatnonzero(wanted[self.doc])
         value, doc = self.value[at], self.doc[at]
-        often = frequent[(value >> np.uint64(20)).astype(np.int64) & (j.cells - 1)]
+        often = frequent[_cell(value, j.cells)]
         order = np.lexsort((mix(value + _STEP), often, doc))
         value, doc, often = value[order], doc[order], often[order]
         n = self.sizes[doc]
@@ -107,34 +121,30 @@ class Sets:
 
 
 def _frequent(blocks: DataFrame, join: Join) -> np.ndarray:
-    """Cells of the counting sketch that are well above the mean. The sketches add up in the tasks and by parts of 4096 cells;
+    """Cells of the counting sketch that are well above the mean. The sketches add up in the tasks and by parts;
     the driver gets one number per cell."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from rivulet.llm.blocks import read
-
-        total, docs = np.zeros(join.cells, np.int64), 0
+        total = np.zeros(join.cells, np.int64)
         for batch in batches:
             for i in range(len(batch)):
-                sets = Sets(read(pa.Table.from_batches([batch.slice(i, 1)])), join)
-                total += sets.cells()
-                docs += len(sets.some)
-        parts = np.split(total, range(4096, join.cells, 4096))
+                value = shingled(read(pa.Table.from_batches([batch.slice(i, 1)])), join.words)[0]
+                total += np.bincount(_cell(value, join.cells), minlength=join.cells)
+        parts = np.split(total, range(_PART, join.cells, _PART))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([docs] * len(parts), pa.int64())],
-            ["part", "cells", "docs"],
+            [pa.array(range(len(parts)), pa.int32()), pa.array([squeezed(p.tobytes()) for p in parts], pa.binary())], ["part", "cells"]
         )
 
     def added(rows: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(x.as_py(), np.int64) for x in rows.column("cells")], axis=0)
-        return pa.table({"part": rows.column("part")[:1], "cells": pa.array([total.tobytes()], pa.binary()), "docs": pa.array([sum(rows.column("docs").to_pylist())], pa.int64())})
+        total = np.sum([np.frombuffer(opened(x.as_py()), np.int64) for x in rows.column("cells")], axis=0)
+        return pa.table({"part": rows.column("part")[:1], "cells": pa.array([squeezed(total.tobytes())], pa.binary())})
 
-    schema = "part int, cells binary, docs bigint"
+    schema = "part int, cells binary"
     rows = blocks.mapInArrow(counted, schema).groupBy("part").applyInArrow(added, schema).orderBy("part").collect()
     if not rows:
         return np.zeros(join.cells, bool)
-    cells = np.concatenate([np.frombuffer(bytes(r.cells), np.int64) for r in rows])
-    return cells > cells.mean() + max(32, join.frequent * rows[0].docs)
+    cells = np.concatenate([np.frombuffer(opened(bytes(r.cells)), np.int64) for r in rows])
+    return cells > cells.mean() + max(join.frequent, 4 * cells.mean() ** 0.5)
 
 
 def _least(digests: np.ndarray, ids: np.ndarray, _: np.ndarray) -> np.ndarray:
@@ -150,15 +160,14 @@ def _asked_twice(digests: np.ndarray, _: np.ndarray) -> np.ndarray:
     return (count[inverse] > 1).astype(np.uint8)
 
 
-def features(docs: DataFrame, join: Join, id_col: str, text_col: str) -> DataFrame:
+def features(blocks: DataFrame, join: Join) -> DataFrame:
     """FEATURES of every document, written once.
 
     Documents with equal sets are represented by the smallest id (``first``). A representative keeps those of its keys that another
-    representative has too, and if there are any, its shingles.
+    representative has too, and if there are any, its outline; ``block`` and ``at`` say where its text is.
     """
-    buckets = partitions(docs)
-    blocks = packed(docs, join.block_bytes, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(_frequent(blocks, join))
+    buckets = partitions(blocks)
+    sent = blocks.sparkSession.sparkContext.broadcast(_frequent(blocks, join))
 
     def ask_same(block: Block, got: dict) -> Iterator[tuple[int, bytes]]:
         unique, least, _ = Sets(block, join).representatives()
@@ -188,21 +197,22 @@ def features(docs: DataFrame, join: Join, id_col: str, text_col: str) -> DataFra
         n = len(sets.sizes)
         has = np.bincount(doc, minlength=n) > 0
         cuts = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-        kept = has[sets.doc]
-        inner = np.concatenate([[0], np.cumsum(np.where(has, sets.sizes, 0))]).astype(np.int32)
         lows = block.ids.copy()
         lows[sets.some] = low
         first = np.zeros(n, bool)
         first[mine] = True
-        lists = lambda at, values: pa.ListArray.from_arrays(pa.array(at), pa.array(values))
+        outlines = np.full(n, None, object)
+        outlines[has] = sets.outlines(np.flatnonzero(has))
         return pa.table(
             {
                 "doc_id": pa.array(block.ids, pa.int64(), mask=~block.known),
                 "n_shingles": pa.array(sets.sizes, pa.int64()),
                 "low": pa.array(lows, pa.int64()),
                 "first": first,
-                "keys": lists(cuts, key),
-                "shingles": lists(inner, sets.value[kept].view(np.int64)),
+                "block": pa.array([block.number] * n, pa.int64()),
+                "at": pa.array(np.arange(n), pa.int32()),
+                "outline": pa.array(outlines, pa.binary()),
+                "keys": pa.ListArray.from_arrays(pa.array(cuts), pa.array(key)),
             }
         )
 
@@ -230,47 +240,81 @@ def components(links: DataFrame) -> DataFrame:
         now = after.select("id", "component")
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. ``b`` may be in many pairs; that join comes last and is one that Spark can split."""
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
-    met = pairs.join(left, "a").join(right, "b").where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent))
+def _outlined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs whose outlines allow a link."""
+    for batch in batches:
+        number = lambda name: batch.column(name).to_numpy()
+        outline = lambda name: np.frombuffer(b"".join(batch.column(name).to_pylist()), np.int32).reshape(len(batch), -1)
+        if not len(batch):
+            continue
+        both = np.minimum(outline("o_a"), outline("o_b")).sum(1)
+        may = both * 100 >= (number("n_a") + number("n_b") - both) * percent
+        yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(may))
+
+
+def _sets(blocks: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
+    """``id, shingles`` of the documents that ``wanted`` (id, block, at) names, from the blocks where their texts are."""
+
+    def taken(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, lists = right.column("id"), []
+        if len(right):
+            sets = Sets(read(left), join)
+            lists = [sets.value[sets.starts[i] : sets.starts[i + 1]].view(np.int64) for i in right.column("at").to_pylist()]
+        return pa.table({"id": pa.array(ids.to_pylist(), pa.int64()), "shingles": pa.array(lists, pa.list_(pa.int64()))})
+
+    return stored(blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(taken, "id bigint, shingles array<bigint>"), "sets")
+
+
+def _checked(pairs: DataFrame, nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) that link. Outlines leave out almost all that do not, without loss; only what remains moves its sets.
+    ``b`` may be in many pairs; its join comes last and is one that Spark can split."""
+    side = lambda x: nodes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("outline").alias(f"o_{x}"))
+    near = stored(
+        pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda x: _outlined(x, join.percent), "a bigint, b bigint, n_a bigint, n_b bigint"), "near"
+    )
+    wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
+    sets = _sets(blocks, nodes.join(wanted, "id").select("id", "block", "at"), join)
+    met = near.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
     both = F.size(F.array_intersect("s_a", "s_b"))
-    return met.withColumn("both", both).where(F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent).select("a", "b")
+    return met.where(both * 100 >= (F.col("n_a") + F.col("n_b") - both) * join.percent).select("a", "b")
 
 
-def linked(sets: DataFrame, join: Join) -> DataFrame:
-    """``id, component`` of the representatives that link with another. ``sets``: id, n, keys, shingles.
+def linked(nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame | None:
+    """``id, component`` of the representatives that link with another. ``nodes``: id, n, block, at, outline, keys.
 
-    Documents under one key are compared without making all their pairs. In small groups every pair is; in a larger group
-    the smallest document that has not yet been a centre is compared with those that are not yet in its component. Pairs of one
-    component need no check, and a pair of two components has been checked once either was a centre; the group is done
-    when it is one component or has no two left. So no link between two components is lost.
+    Documents under one key are compared without making all pairs of a large group. In small groups every pair is; in a larger group
+    the smallest documents that have not yet been centres, first one and then each time eight times as many, are compared with those
+    that are not yet in their components. Pairs of one component need no check, and a pair of two components has been checked once
+    either was a centre; the group is done when it is one component or has no two left. So no link between two components is lost.
     """
-    members = stored(sets.select("id", F.explode("keys").alias("key")), "members")
-    links, now, limit = None, None, join.small
+    members = stored(nodes.select("id", "n", F.explode("keys").alias("key")), "members")
+    links, now, limit, width = None, None, join.small[0], 1
     while True:
         current = members.withColumn("component", F.col("id")) if now is None else members.join(now, "id", "left").select(
-            "id", "key", F.coalesce("component", "id").alias("component")
+            "id", "n", "key", F.coalesce("component", "id").alias("component")
         )
         groups = (
             current.groupBy("key")
-            .agg(F.count("*").alias("many"), F.min_by(F.struct("id", "component"), "id").alias("centre"), F.min("component").alias("low"), F.max("component").alias("high"))
+            .agg(F.count("*").alias("many"), F.min("component").alias("low"), F.max("component").alias("high"))
             .where(F.col("low") != F.col("high"))
         )
-        left = stored(current.join(groups.select("key", "many", "centre"), "key"), "open")
+        left = stored(current.join(groups.select("key", "many"), "key"), "open")
         if left.isEmpty():
             return now
+        fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * join.percent
         few, many = left.where(F.col("many") <= limit), left.where(F.col("many") > limit)
-        other = few.select("key", F.col("id").alias("b"), F.col("component").alias("of_b"))
-        by_pair = few.join(other, "key").where((F.col("b") < F.col("id")) & (F.col("component") != F.col("of_b"))).select(F.col("id").alias("a"), "b")
-        by_centre = many.where(F.col("component") != F.col("centre.component")).select(F.col("id").alias("a"), F.col("centre.id").alias("b"))
-        pairs = stored(by_pair.unionByName(by_centre).distinct(), "pairs")
-        more = stored(_checked(pairs, sets, join.percent), "links")
+        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+        centres = many.withColumn("place", place).where(F.col("place") <= width)
+        with_other = lambda rows, other: rows.join(
+            other.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b")), "key"
+        )
+        both = with_other(few, few).unionByName(with_other(many, centres))
+        pairs = both.where((F.col("b") < F.col("id")) & (F.col("component") != F.col("of_b")) & fits("n", "n_b")).select(F.col("id").alias("a"), "b")
+        more = stored(_checked(pairs.distinct(), nodes, blocks, join), "links")
         links = more if links is None else links.unionByName(more)
         now = components(links)
-        members = many.where(F.col("id") != F.col("centre.id")).select("id", "key")
-        limit = 4 * join.small
+        members = many.join(centres.select("key", "id"), ["key", "id"], "left_anti").select("id", "n", "key")
+        limit, width = join.small[1], 8 * width
 
 
 def joined(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,16 +322,17 @@ def joined(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_co
 
     A document's set: its distinct shingles of ``join.words`` words (lower case A-Z); with fewer words the whole sequence; without words
     none. Two documents link when their sets' Jaccard similarity is ``join.percent`` per cent or more. Candidates share a key (see
-    ``Sets.keys``) and every link is checked on the whole sets, of 64-bit shingle hashes. Documents with equal sets are one
-    node, named by the smallest id, so a group of copies costs its size.
+    ``Sets.keys``) and fit in size and outline; every link is checked on the whole sets, of 64-bit shingle hashes. Documents with equal
+    sets are one node, named by the smallest id, so a group of copies costs its size.
 
     One row per row of ``docs``. Null and empty texts link with nothing. A null id comes after all numbers; its component is null
     if no number is in it. Rows that repeat an id with another text are one document to those that they represent. Empty table:
     no rows. Extra columns play no part.
     """
-    found = features(docs, join, id_col, text_col)
-    sets = found.where(F.col("first") & (F.size("keys") > 0)).select(F.col("low").alias("id"), F.col("n_shingles").alias("n"), "keys", "shingles")
-    now = linked(sets, join)
+    blocks = packed(docs, join.block_bytes, id_col, text_col)
+    found = features(blocks, join)
+    nodes = found.where(F.col("first") & (F.size("keys") > 0)).select(F.col("low").alias("id"), F.col("n_shingles").alias("n"), "block", "at", "outline", "keys")
+    now = linked(nodes, blocks, join)
     rows = found.select("doc_id", "n_shingles", "low")
     if now is not None:
         rows = rows.join(now.withColumnRenamed("id", "low"), "low", "left")

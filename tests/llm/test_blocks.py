@@ -122,28 +122,27 @@ def test_suffix_tree_scores(spark):
 
 
 def brute_jaccard(rows, k, percent):
-    sets = {}
-    for i, t in rows:
+    """Row by row, as an id may repeat with another text."""
+    sets = []
+    for _, t in rows:
         w = words(t)
-        sets[i] = frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
-    group = {i: i for i in sets}
-    order = sorted(sets, key=lambda i: LAST if i is None else i)
-    links = [(a, b) for x, a in enumerate(order) for b in order[x + 1 :] if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+        sets.append(frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else []))
+    group = [LAST if i is None else i for i, _ in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     changed = True
     while changed:
         changed = False
         for a, b in links:
-            low = min(group[a], group[b], key=lambda i: LAST if i is None else i)
-            if group[a] != low or group[b] != low:
-                group[a] = group[b] = low
+            if group[a] != group[b]:
+                group[a] = group[b] = min(group[a], group[b])
                 changed = True
-    return collections.Counter((i, len(sets[i]), group[i]) for i, _ in rows)
+    return collections.Counter((i, len(s), None if g == LAST else g) for (i, _), s, g in zip(rows, sets, group))
 
 
 @pytest.mark.parametrize("k, percent, combined, small, block_bytes", [(3, 90, 400, 8, 1 << 20), (1, 70, 30, 6, 900)])
 def test_jaccard(spark, k, percent, combined, small, block_bytes):
     docs = documents(spark).where("doc_id IS NOT NULL OR text IS NULL").cache()
-    how = jaccard.Join(words=k, percent=percent, combined=combined, small=small, block_bytes=block_bytes, cells=4096, frequent=0.0)
+    how = jaccard.Join(words=k, percent=percent, combined=combined, small=(small, 2 * small), block_bytes=block_bytes, cells=4096, frequent=2)
     got = collections.Counter(tuple(r) for r in jaccard.joined(docs, how).collect())
     assert got == brute_jaccard(plain(docs), k, percent)
 
@@ -152,7 +151,7 @@ def test_jaccard_of_a_large_group_without_all_pairs(spark):
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join([*base[: i % 50], f"new{i}", *base[i % 50 + 1 :]]), "s") for i in range(40)]
     docs = documents(spark, rows)
-    got = collections.Counter(tuple(r) for r in jaccard.joined(docs, jaccard.Join(words=1, percent=96, small=4, cells=4096, frequent=0.0)).collect())
+    got = collections.Counter(tuple(r) for r in jaccard.joined(docs, jaccard.Join(words=1, percent=96, small=(4, 8), cells=4096, frequent=2)).collect())
     assert got == brute_jaccard([r[:2] for r in rows], 1, 96)
 
 
