@@ -30,10 +30,10 @@ def with_punctuated_watermark(
 ) -> DataFrame:
     """Watermarks that stand in the input as rows of their own; they leave the result."""
     seen = running(
-        df.withColumn("_mark", is_mark),
+        df.withColumn("_mark", F.coalesce(is_mark, F.lit(False))),
         [],
         Order(seq),
-        [Running(out, "max", F.when(is_mark, F.col(mark)), before=True)],
+        [Running(out, "max", F.when(F.col("_mark"), F.col(mark)), before=True)],
         skew,
     )
     return seen.where(~F.col("_mark")).drop("_mark")
@@ -81,9 +81,14 @@ def outputs(df: DataFrame, *names: str, column: str = "output") -> list[DataFram
 
 
 def window_arrivals(
-    df: DataFrame, ts: str, size: timedelta, lateness: timedelta = timedelta(0), watermark: str = "watermark"
+    df: DataFrame,
+    ts: str,
+    size: timedelta,
+    lateness: timedelta = timedelta(0),
+    watermark: str = "watermark",
+    out: str = "arrival",
 ) -> DataFrame:
-    """Rows with their tumbling window and how they met it.
+    """Rows with their tumbling window and, in the column ``out``, how they met it.
 
     ``on_time``: the window had not fired. ``late``: it had, but was still kept
     for ``lateness``. ``dropped``: it was gone; a side output takes these.
@@ -95,7 +100,7 @@ def window_arrivals(
         .withColumn("window_end", F.col("_window.end"))
         .drop("_window")
         .withColumn(
-            "arrival",
+            out,
             F.when(wm.isNull() | (last > wm), "on_time")
             .when(last + interval(lateness) > wm, "late")
             .otherwise("dropped"),

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivulet.functions import rows
 from rivulet.operators import machine
-from rivulet.operators.watermarks import outputs
 from rivulet.plans.registry import query
 from rivulet.plans.tables import EVENTS_SQL, event_stream, events, of_type, table
 from rivulet.plans.windows import DAILY_SQL, SLIDING_SQL
@@ -19,7 +18,7 @@ from rivulet.session import scratch_path
 from rivulet.sinks import keyed
 from rivulet.sinks.rows import two_outputs
 from rivulet.sources import files, modulo as modulo_source
-from rivulet.streaming import carried, jobs, lateness, run, steps
+from rivulet.streaming import carried, jobs, run, steps
 
 DAY, DELAY = timedelta(days=1), timedelta(hours=2)
 
@@ -409,31 +408,6 @@ def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.drained(matched, "reconcile", end=end)
 
 
-@query(
-    "stream_lateness_windows",
-    EVENTS_SQL
-    + f"SELECT event_type, {DAILY_SQL}, CAST(1 AS BIGINT) AS firing, count(*) AS count FROM e GROUP BY ALL",
-)
-def stream_lateness_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Firings of daily windows kept six hours for late rows; a table read at once has no late rows."""
-    end = run.Ending(spark)
-    fired = lateness.lateness_windows(
-        end.after(_stream(spark, sf_dir)), ["event_type"], "ts", DAY, DELAY, timedelta(hours=6)
-    )
-    (fired,) = outputs(run.drained(fired, "lateness", end=end), "fired")
-    return fired.select("event_type", "window_start", "window_end", "firing", "count")
-
-
-@query(
-    "stream_late_tagged",
-    EVENTS_SQL + "SELECT event_id, false AS late FROM e",
-)
-def stream_late_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows tagged by the watermark of earlier micro-batches; a table read at once has none."""
-    tagged = lateness.tagged_by_watermark(_stream(spark, sf_dir), ["user_id"], "ts", "event_id", DELAY, DAY)
-    return run.drained(tagged.select("event_id", "late"), "late")
-
-
 @query("stream_upsert", EVENTS_SQL + "SELECT user_id AS k, arg_max(cents, arrival) AS v FROM e GROUP BY user_id")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last value per user through the keyed table sink."""

@@ -12,7 +12,7 @@ from rivulet.operators import joins, machine, patterns, rolling, timers, windows
 from rivulet.sinks import keyed
 from rivulet.sinks import rows as row_sinks
 from rivulet.sources import files
-from rivulet.streaming import carried, jobs, lateness, run, steps
+from rivulet.streaming import carried, jobs, run, steps
 
 EPOCH = datetime(1970, 1, 1)
 SCHEMA = "seq long, ms long, k string, kind string, v long"
@@ -200,42 +200,6 @@ def test_dynamic_filter_over_batches(spark, stream, table, tmp_path):
     assert values(got, "seq", "v") == values(joins.dynamic_filter(*split(table), "v", "query", "seq"))
 
 
-def test_late_rows_fire_windows_again(spark, tmp_path):
-    """Micro-batches of seconds; bound 5, windows of 5, lateness 5."""
-    batches = [[1, 2, 10], [3, 4, 15], [4, 11], [1000]]
-    for number, batch in enumerate(batches):
-        rows = [(number * 10 + i, s * 1000 + 1_000_000, "a", "x", 0) for i, s in enumerate(batch)]
-        write_files(spark, tmp_path, rows, 1)
-    schema = spark.createDataFrame([], SCHEMA).schema
-    raw = files.table_stream(spark, f"{tmp_path}/in", schema, files_per_trigger=1)
-    df = raw.withColumn("ts", F.timestamp_millis("ms"))
-    out = run.drained(lateness.lateness_windows(df, ["k"], "ts", 5 * SECOND, 5 * SECOND, 5 * SECOND), "t")
-    start = ((F.unix_millis("window_start") - 1_000_000) / 1000).cast("int").alias("start")
-    fired = out.where("output = 'fired'").select(start, "firing", "count")
-    # After the first batch the watermark is 4.999 s: [0, 5) fires with 2 rows, then with each late one.
-    # After the second it is 9.999 s: [0, 5) is gone.
-    assert values(fired) == [(0, 1, 2), (0, 2, 3), (0, 3, 4), (10, 1, 2), (15, 1, 1)]
-    assert values(out.where("output = 'late'").select(start)) == [(0,)]
-
-
-def test_rows_meet_the_watermark_of_earlier_batches(spark, tmp_path):
-    for number, batch in enumerate([[10, 20], [18, 16], [14, 30]]):
-        write_files(spark, tmp_path, [(number * 10 + i, s * 1000 + 1_000_000, "a", "x", 0) for i, s in enumerate(batch)], 1)
-    schema = spark.createDataFrame([], SCHEMA).schema
-    raw = files.table_stream(spark, f"{tmp_path}/in", schema, files_per_trigger=1)
-    df = raw.withColumn("ts", F.timestamp_millis("ms"))
-    tagged = lateness.tagged_by_watermark(df, ["k"], "ts", "seq", 3 * SECOND, 60 * SECOND)
-    mark = EPOCH + timedelta(seconds=1016.999)
-    assert values(run.drained(tagged, "t"), "seq", "watermark", "late") == [
-        (0, None, False),
-        (1, None, False),
-        (10, mark, False),
-        (11, mark, True),
-        (20, mark, True),
-        (21, mark, False),
-    ]
-
-
 def test_machine_clock(spark, tmp_path, data):
     write_files(spark, tmp_path, data, 2)
     schema = spark.createDataFrame([], SCHEMA).schema
