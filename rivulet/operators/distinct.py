@@ -27,6 +27,27 @@ def approx_unique_visitors(df: DataFrame, ts: str, user: str, size: timedelta, e
     return tumbling(df, ts, size, visitors=F.approx_count_distinct(user, error))
 
 
+def sketch_size(error: float) -> int:
+    """Logarithm of the registers that a sketch needs for a relative standard deviation of ``error``."""
+    if not 0.0006 <= error <= 0.2:
+        raise ValueError("error must be between 0.0006 and 0.2")
+    return max(4, math.ceil(2 * math.log2(1.04 / error)))
+
+
+def sketch_unique_visitors(
+    df: DataFrame, ts: str, user: str, size: timedelta, slide: timedelta | None = None, error: float = 0.02
+) -> DataFrame:
+    """Visitors per window from sketches of a size that follows from ``error``, the relative standard deviation.
+
+    One sketch is made per pane of ``slide``; a window's is the union of those of its panes, so rows are not copied.
+    """
+    lg, slide = sketch_size(error), slide or size
+    panes = df.groupBy(F.window(ts, span(slide)).alias("p")).agg(F.hll_sketch_agg(user, lg).alias("sketch"))
+    windows = panes.select(F.window("p.start", span(size), span(slide)).alias("w"), "sketch")
+    merged = windows.groupBy("w").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("visitors"))
+    return merged.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "visitors")
+
+
 def bloom_size(items: int, error: float) -> tuple[int, int]:
     """Bits and hash functions of a Bloom filter for ``items`` at false-positive rate ``error``."""
     bits = int(-items * math.log(error) / math.log(2) ** 2)
@@ -50,7 +71,8 @@ def bloom_unique_visitors(
 
     The filter is a set of bitmaps of 32768 bits, one aggregate each, so map
     tasks send at most ``bits / 8`` bytes per window and filters of different
-    tasks merge by OR. ``visitors`` = -bits/hashes * ln(1 - set/bits).
+    tasks merge by OR. ``visitors`` = -bits/hashes * ln(1 - set/bits). A window with more than ``items``
+    visitors is more than the filter was made for: that is an error, not a wrong number.
     """
     bits, hashes = bloom_size(items, error)
     users = bloom_positions(df.select(F.window(ts, span(size)).alias("w"), user), user, bits, hashes, "p")
@@ -59,6 +81,10 @@ def bloom_unique_visitors(
     )
     filled = maps.groupBy("w").agg(F.sum("ones").alias("bits_set"))
     estimate = F.round(-F.lit(bits / hashes) * F.ln(1 - F.col("bits_set") / F.lit(bits))).cast("bigint")
+    full = F.lit(f"a window has more than {items} visitors: make its filter larger")
+    estimate = F.when(
+        (F.col("bits_set") >= bits) | (estimate > items), F.raise_error(full).cast("bigint")
+    ).otherwise(estimate)
     return filled.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),

@@ -23,6 +23,8 @@ from rivulet.functions.time import micros
 
 PIECES = ("_s0", "_s1", "_s2", "_s3")  # a segment's number, compared piece by piece
 HOT, MARK = "_hot", "_segment_row"
+GROUP = 1024  # blocks whose totals are put in order by one task
+FAN = 16  # parts of a cell that is too dense
 
 
 @dataclass(frozen=True)
@@ -91,6 +93,8 @@ def cut(df: DataFrame, keys: list[str], order: Order, skew: Skew | None = DEFAUL
     if skew is None:
         return df.select("*", *(zero.alias(p) for p in PIECES), F.lit(False).alias(HOT))
     block = integer_steps(F.col(order.seq), skew.segment_rows)
+    if keys and not order.ts:
+        return _cut_along_own_range(df, keys, order, skew, block)
     steps = skew.levels[:2] if order.ts else ()
     us = F.unix_micros(F.col(order.ts).cast("timestamp")) if order.ts else zero
     ids = {"_id": F.xxhash64(*keys) if keys else zero}
@@ -119,6 +123,72 @@ def cut(df: DataFrame, keys: list[str], order: Order, skew: Skew | None = DEFAUL
     return out.select(*df.columns, *(c.alias(p) for c, p in zip(parts, PIECES)), HOT)
 
 
+def _cut_along_own_range(df: DataFrame, keys: list[str], order: Order, skew: Skew, block: Column) -> DataFrame:
+    """Cut hot keys along an arrival number: each into cells of its own width, so that a key whose rows lie far apart among
+    others gets segments of about ``segment_rows`` rows of its own, not one per block of all rows.
+
+    A cell that holds more than ``hot_rows`` rows all the same is cut into ``FAN`` parts, such a part again, and what is
+    still too dense then into blocks of all rows, which hold ``segment_rows`` at most.
+    """
+    zero, seq = F.lit(0).cast("bigint"), F.col(order.seq).cast("bigint")
+    limit = skew.hot_rows // skew.sample_every
+    out = df.withColumn("_id", F.xxhash64(*keys))
+    sample = sampled(out, order.seq, skew)
+    spans = sample.groupBy("_id").agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("_low"), F.max(seq).alias("_high"))
+    cells = F.greatest(F.lit(1), integer_steps(F.col("n") * skew.sample_every, skew.segment_rows)).cast("bigint")
+    width = F.call_function("div", F.col("_high") - F.col("_low"), cells) + 1
+    hot = spans.where(F.col("n") > limit).select("_id", "_low", width.alias("_width"))
+
+    def placed(frame: DataFrame, how: str) -> DataFrame:
+        # Rows that the sample did not see may lie before the first or after the last cell; order is kept there too.
+        frame = frame.join(F.broadcast(hot), "_id", how).withColumn("_from", seq - F.col("_low"))
+        frame = frame.withColumn("_within", F.pmod("_from", "_width"))
+        frame = frame.withColumn("_cell", F.call_function("div", F.col("_from") - F.col("_within"), F.col("_width")))
+        part = integer_steps(F.col("_width"), FAN) + 1
+        frame = frame.withColumn("_part", F.call_function("div", F.col("_within"), part))
+        finer = F.call_function("div", F.pmod("_within", part), integer_steps(part, FAN) + 1)
+        return frame.withColumn("_finer", F.col("_part") * FAN + finer)
+
+    counts = placed(sample, "inner").groupBy("_id", "_cell", "_part", "_finer").agg(F.count(F.lit(1)).alias("n"))
+    parts = counts.groupBy("_id", "_cell", "_part").agg(
+        F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > limit, F.col("_finer"))).alias("_finers")
+    )
+    dense = parts.groupBy("_id", "_cell").agg(
+        F.sum("n").alias("n"),
+        F.collect_list(F.when(F.col("n") > limit, F.col("_part"))).alias("_parts"),
+        F.flatten(F.collect_list("_finers")).alias("_finers"),
+    )
+    dense = dense.where(F.col("n") > limit).drop("n")
+    out = placed(out, "left").join(F.broadcast(dense), ["_id", "_cell"], "left")
+    in_cell = F.col("_parts").isNotNull()
+    in_part = in_cell & F.array_contains("_parts", F.col("_part"))
+    in_finer = in_part & F.array_contains("_finers", F.col("_finer"))
+    pieces = [
+        F.coalesce("_cell", zero),
+        F.when(in_cell, F.col("_part")).otherwise(zero),
+        F.when(in_part, F.col("_finer")).otherwise(zero),
+        F.when(in_finer, block).otherwise(zero),
+    ]
+    return out.select(*df.columns, *(c.alias(p) for c, p in zip(pieces, PIECES)), F.col("_low").isNotNull().alias(HOT))
+
+
+def _before(totals: DataFrame, keys: list[str], order: Order, columns: list[str], merge: list) -> DataFrame:
+    """Each segment's totals of all segments before it.
+
+    In two steps, so that no task orders all segments of a key: first over groups of ``GROUP`` blocks, or of one coarsest
+    step of time, then within a group, which begins with a row that holds the totals of the groups before it.
+    """
+    first = F.col(PIECES[0])
+    totals = totals.withColumn("_group", first if order.ts else integer_steps(first, GROUP))
+    groups = totals.groupBy(*keys, "_group").agg(*(f(n).alias(n) for f, n in zip(merge, columns)))
+    along = Window.partitionBy(*keys).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    heads = groups.select(*keys, "_group", F.lit(0).alias(MARK), *(f(n).over(along).alias(n) for f, n in zip(merge, columns)))
+    rows = totals.withColumn(MARK, F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    within = Window.partitionBy(*keys, "_group").orderBy(MARK, *PIECES).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(*keys, *PIECES, MARK, *(f(n).over(within).alias(n) for f, n in zip(merge, columns)))
+    return rows.where(F.col(MARK) == 1).drop(MARK)
+
+
 @dataclass(frozen=True)
 class Running:
     """One running measure: ``kind`` is sum, count, max, min or last (non-null).
@@ -161,8 +231,7 @@ def running(
     rows = parts.select("*", *(_input(m, order).alias(n) for m, n in zip(measures, inputs)), F.lit(1).alias(MARK))
     if skew is not None:
         totals = rows.where(HOT).groupBy(*group).agg(*(f(n).alias(n) for f, n in zip(merge, inputs)))
-        earlier = Window.partitionBy(*keys).orderBy(*PIECES).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.select(*group, *(f(n).over(earlier).alias(n) for f, n in zip(merge, inputs)))
+        carried = _before(totals, keys, order, inputs, merge)
         rows = rows.unionByName(carried.withColumn(MARK, F.lit(0)), allowMissingColumns=True)
     local = Window.partitionBy(*group).orderBy(MARK, *order.columns)
     results = []

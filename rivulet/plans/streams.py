@@ -18,7 +18,7 @@ from rivulet.session import scratch_path
 from rivulet.sinks import keyed
 from rivulet.sinks.rows import two_outputs
 from rivulet.sources import files, modulo as modulo_source
-from rivulet.streaming import carried, jobs, run, steps
+from rivulet.streaming import carried, jobs, run, sessions, steps
 
 DAY, DELAY = timedelta(days=1), timedelta(hours=2)
 
@@ -377,37 +377,82 @@ def stream_two_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).select("sink", "user_id", "first_ts")
 
 
+@query(
+    "stream_inner_join",
+    EVENTS_SQL
+    + """SELECT p.user_id, p.event_id AS purchase_id, s.event_id AS signup_id FROM e p JOIN e s ON p.user_id = s.user_id
+    WHERE p.event_type = 'purchase' AND s.event_type = 'signup'""",
+)
+def stream_inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase with every sign-up of its user."""
+    joined = jobs.inner_join(
+        _side(spark, sf_dir, "purchase", "purchase"),
+        _side(spark, sf_dir, "signup", "signup"),
+        ["user_id"],
+        ("purchase_id", "signup_id"),
+        (2, 2),
+    )
+    return run.drained(joined.select("user_id", "purchase_id", "signup_id"), "inner-join")
+
+
 @query(
     "stream_reconcile",
     EVENTS_SQL
-    + """, s AS (SELECT user_id, min(ts) AS signup_ts FROM e WHERE event_type = 'signup' GROUP BY ALL),
-    p AS (SELECT user_id, max(ts) AS purchase_ts FROM e WHERE event_type = 'purchase' GROUP BY ALL),
-    j AS (SELECT user_id, signup_ts, purchase_ts,
-      coalesce(signup_ts <= purchase_ts + INTERVAL 700 HOURS AND purchase_ts <= signup_ts + INTERVAL 700 HOURS, false) AS ok
-      FROM s FULL JOIN p USING (user_id))
-    SELECT user_id, 'matched' AS status, signup_ts, purchase_ts FROM j WHERE ok
-    UNION ALL SELECT user_id, 'no_right', signup_ts, NULL FROM j WHERE NOT ok AND signup_ts IS NOT NULL
-    UNION ALL SELECT user_id, 'no_left', NULL, purchase_ts FROM j WHERE NOT ok AND purchase_ts IS NOT NULL""",
+    + """, r AS (SELECT user_id, ts, CASE event_type WHEN 'signup' THEN 0 ELSE 1 END AS side,
+      row_number() OVER (PARTITION BY user_id ORDER BY ts, CASE event_type WHEN 'signup' THEN 0 ELSE 1 END) AS n
+      FROM e WHERE event_type IN ('signup', 'purchase')),
+    q AS (
+      SELECT user_id, n, ts, side, [ts] AS waiting, side AS waits, CAST([] AS TIMESTAMP[]) AS gone,
+        CAST(NULL AS TIMESTAMP) AS partner, side AS waited FROM r WHERE n = 1
+      UNION ALL
+      SELECT user_id, n, ts, side,
+        CASE WHEN len(live) = 0 THEN [ts] WHEN waits = side THEN list_append(live, ts) ELSE live[2:] END,
+        CASE WHEN len(live) = 0 THEN side ELSE waits END,
+        gone, CASE WHEN len(live) > 0 AND waits <> side THEN live[1] END, waits
+      FROM (SELECT r.user_id, r.n, r.ts, r.side, q.waits,
+          list_filter(q.waiting, lambda w: w >= r.ts - INTERVAL 100 HOURS) AS live,
+          list_filter(q.waiting, lambda w: w < r.ts - INTERVAL 100 HOURS) AS gone
+        FROM q JOIN r ON r.user_id = q.user_id AND r.n = q.n + 1)),
+    alone AS (SELECT user_id, waited AS side, unnest(gone) AS ts FROM q
+      UNION ALL SELECT user_id, waits, unnest(waiting) FROM q
+      WHERE (user_id, n) IN (SELECT (user_id, max(n)) FROM r GROUP BY user_id))
+    SELECT user_id, 'matched' AS status, CASE side WHEN 0 THEN ts ELSE partner END AS signup_ts,
+      CASE side WHEN 0 THEN partner ELSE ts END AS purchase_ts FROM q WHERE partner IS NOT NULL
+    UNION ALL SELECT user_id, CASE side WHEN 0 THEN 'no_right' ELSE 'no_left' END,
+      CASE side WHEN 0 THEN ts END, CASE side WHEN 1 THEN ts END FROM alone""",
 )
 def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First sign-up against last purchase of a user, at most 700 hours apart."""
-    firsts = events(spark, sf_dir).where(of_type("signup")).groupBy("user_id").agg(F.min("event_id").alias("event_id"))
-    lasts = events(spark, sf_dir).where(of_type("purchase")).groupBy("user_id").agg(F.max("event_id").alias("event_id"))
-    signups = _stream(spark, sf_dir, "signup").join(firsts, ["user_id", "event_id"], "left_semi")
-    purchases = _stream(spark, sf_dir, "purchase").join(lasts, ["user_id", "event_id"], "left_semi")
+    """All sign-ups against all purchases of a user, one to one, at most 100 hours apart."""
     end = run.Ending(spark)
     matched = steps.reconcile(
-        end.after(signups.select("user_id", "ts")).withColumnRenamed("ts", "signup_ts"),
-        end.after(purchases.select("user_id", "ts")).withColumnRenamed("ts", "purchase_ts"),
+        end.after(_stream(spark, sf_dir, "signup").select("user_id", "ts")).withColumnRenamed("ts", "signup_ts"),
+        end.after(_stream(spark, sf_dir, "purchase").select("user_id", "ts")).withColumnRenamed("ts", "purchase_ts"),
         ["user_id"],
         "signup_ts",
         "purchase_ts",
-        timedelta(hours=700),
+        timedelta(hours=100),
         DELAY,
     )
     return run.drained(matched, "reconcile", end=end)
 
 
+@query(
+    "stream_sessions",
+    EVENTS_SQL
+    + """, g AS (SELECT user_id, ts, cents, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS fresh FROM e
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM g)
+    SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS count, CAST(sum(cents) AS BIGINT) AS sum
+    FROM n GROUP BY user_id, session""",
+)
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' sessions, rows in list state until six hours have passed without another."""
+    end = run.Ending(spark)
+    data = end.after(_stream(spark, sf_dir))
+    closed = sessions.sessions(data, ["user_id"], "ts", F.col("cents"), timedelta(hours=6), DELAY)
+    return run.drained(closed, "sessions", end=end)
+
+
 @query("stream_upsert", EVENTS_SQL + "SELECT user_id AS k, arg_max(cents, arrival) AS v FROM e GROUP BY user_id")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last value per user through the keyed table sink."""

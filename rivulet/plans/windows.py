@@ -156,6 +156,22 @@ def uv_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct.approx_unique_visitors(events(spark, sf_dir), "ts", "user_id", DAY)
 
 
+@query(
+    "uv_sketch",
+    EVENTS_SQL
+    + f"""SELECT {SLIDING_SQL}, count(DISTINCT user_id) AS exact, true AS within
+    FROM e, range(4) AS r(s) GROUP BY window_start, window_end""",
+)
+def uv_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding visitors by merged sketches, next to the exact ones and whether they are within four standard deviations."""
+    data, slide, error = events(spark, sf_dir), timedelta(hours=6), 0.02
+    near = distinct.sketch_unique_visitors(data, "ts", "user_id", DAY, slide, error)
+    exact = data.groupBy(F.window("ts", "1 day", "6 hours").alias("w")).agg(F.count_distinct("user_id").alias("exact"))
+    exact = exact.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "exact")
+    within = F.abs(F.col("visitors") - F.col("exact")) <= 4 * error * F.col("exact")
+    return exact.join(near, ["window_start", "window_end"], "left").select("window_start", "window_end", "exact", F.coalesce(within, F.lit(False)).alias("within"))
+
+
 @query(
     "uv_bloom",
     EVENTS_SQL

@@ -54,6 +54,23 @@ def unique_visitors(df: DataFrame, ts: str, user: str, size: timedelta, delay: t
     return distinct.unique_visitors(watermarked(df, ts, delay), ts, user, size)
 
 
+def inner_join(
+    left: DataFrame, right: DataFrame, on: list[str], by: tuple[str, str] | None = None, grid: tuple[int, int] = (1, 1)
+) -> DataFrame:
+    """All pairs of two streams with equal keys, each once both rows are there. Both sides stay in the state.
+
+    Streams cannot be counted beforehand, so with ``by``, a column of each side, all keys are spread alike over a ``grid``:
+    a left row has a row of it and is copied along that, a right row a column, and a pair meets where they cross.
+    """
+    if by is None or grid == (1, 1):
+        return left.join(right, on)
+    places = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in grid]
+    own = [F.pmod(F.xxhash64(column), F.lit(n)).cast("int") for column, n in zip(by, grid)]
+    left = left.withColumn("_one", own[0]).withColumn("_two", places[1])
+    right = right.withColumn("_two", own[1]).withColumn("_one", places[0])
+    return left.join(right, [*on, "_one", "_two"]).drop("_one", "_two")
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,

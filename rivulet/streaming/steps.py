@@ -250,7 +250,10 @@ def followed_within(
 
 
 class _Reconcile(Steps):
-    """memo: time of the open left row, of the open right row, or NONE. A row's value is its side."""
+    """memo: side that waits, how many of its rows are gone, then the times of its rows, oldest first. A row's value is its side.
+
+    A row that meets waiting rows of the other side takes the oldest, so rows of one side only ever wait.
+    """
 
     schema = "status string, left_us bigint, right_us bigint"
     alarm_first = False
@@ -259,23 +262,30 @@ class _Reconcile(Steps):
         self.limit = limit
 
     def start(self):
-        return [NONE, NONE]
+        return [0, 0]
 
     def due(self, memo):
-        opened = [t for t in memo if t != NONE]
-        return min(opened) + self.limit if opened else NONE
+        at = 2 + memo[1]
+        return memo[at] + self.limit if at < len(memo) else NONE
+
+    def _next(self, memo) -> int:
+        at = memo[2 + memo[1]]
+        memo[1] += 1
+        if 2 * memo[1] >= len(memo) - 2:  # half of the list is gone: close up
+            memo[1:] = [0, *memo[2 + memo[1] :]]
+        return at
 
     def row(self, memo, us, number, value) -> Out:
-        other = memo[1 - value]
-        if other == NONE:
-            memo[value] = us
+        if len(memo) == 2 + memo[1]:
+            memo[0] = value
+        if memo[0] == value:
+            memo.append(us)
             return []
-        memo[1 - value] = NONE
+        other = self._next(memo)
         return [("matched", us, other) if value == 0 else ("matched", other, us)]
 
     def alarm(self, memo) -> Out:
-        side = 0 if memo[0] != NONE else 1
-        at, memo[side] = memo[side], NONE
+        side, at = memo[0], self._next(memo)
         return [("no_right", at, None) if side == 0 else ("no_left", None, at)]
 
 
@@ -288,7 +298,10 @@ def reconcile(
     limit: timedelta,
     delay: timedelta = ZERO,
 ) -> DataFrame:
-    """Match two streams by a key unique on each side; both become one stream with a side tag."""
+    """Match the rows of two streams one to one; both become one stream with a side tag.
+
+    In order of time, a row takes the oldest row of the other side that still waits, or waits itself, for ``limit`` at most.
+    """
     tagged = [
         side.select(*on, F.col(at).alias("at_ts"), F.lit(i).alias("at_side"))
         for i, (side, at) in enumerate(((left, left_ts), (right, right_ts)))

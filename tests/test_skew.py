@@ -49,6 +49,31 @@ def test_running(events, tiny, keys, ts):
     assert values(cut) == values(plain)
 
 
+def test_a_key_far_apart_gets_segments_of_its_own_rows(spark):
+    """12,000 rows of one key among numbers up to 10^12, some of them in a burst."""
+    skew = segments.Skew(hot_rows=1000, segment_rows=500)
+    apart = spark.range(9000).select((F.col("id") * 100_000_000).alias("seq"), F.lit("apart").alias("k"))
+    burst = spark.range(3000).select((F.col("id") + 5_000_000_001).alias("seq"), F.lit("apart").alias("k"))
+    few = spark.range(200).select((F.col("id") * 7_000_000 + 3).alias("seq"), F.lit("few").alias("k"))
+    rows = apart.union(burst).union(few).repartition(4)
+    parts = segments.cut(rows, ["k"], Order("seq"), skew)
+    sizes = [r["count"] for r in parts.where("k = 'apart'").groupBy(*segments.PIECES).count().collect()]
+    # 24 cells, two of which hold the burst, at most; there the parts, the finer parts, and blocks of 500 numbers.
+    assert 12 < len(sizes) <= 24 + 2 * 2 * segments.FAN + 3000 / 500 + 2 and max(sizes) <= skew.hot_rows
+    assert parts.where("k = 'few'").select(*segments.PIECES).distinct().count() == 1
+    counted = segments.running(rows, ["k"], Order("seq"), [Running("n", "count")], skew)
+    assert values(counted) == values(segments.running(rows, ["k"], Order("seq"), [Running("n", "count")], None))
+
+
+def test_no_task_orders_all_segments(events, tiny, monkeypatch):
+    """With groups of two blocks, totals still add up over all groups."""
+    monkeypatch.setattr(segments, "GROUP", 2)
+    for keys in ([], ["user"]):
+        measures = [Running("total", "sum", "v"), Running("last", "last", "v", before=True), Running("top", "max", "v")]
+        plain = segments.running(events, keys, Order("seq"), measures, None)
+        assert values(segments.running(events, keys, Order("seq"), measures, tiny)) == values(plain)
+
+
 @pytest.mark.parametrize("step", [1, -1])
 @pytest.mark.parametrize("keys", [[], ["user"]])
 def test_neighbours(events, tiny, keys, step):
