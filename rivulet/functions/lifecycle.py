@@ -1,7 +1,5 @@
 """Row functions in Python, over Arrow batches, for what column expressions cannot say."""
 
-from __future__ import annotations
-
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -32,7 +30,10 @@ def map_with_setup(
 def scalar(fn: Callable[..., pd.Series], kind: T.DataType | str) -> Callable[..., Column]:
     """A scalar function of columns; ``fn`` gets and gives whole Arrow batches as Series."""
 
-    return F.pandas_udf(fn, kind, F.PandasUDFType.SCALAR)
+    def run(*columns: pd.Series) -> pd.Series:
+        return fn(*columns)
+
+    return F.pandas_udf(run, kind)
 
 
 def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:

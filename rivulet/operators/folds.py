@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rivulet.functions.time import span
+from rivulet.operators.keys import WHOLE, packed, unpacked
 
 Accumulator = list[int]
 
@@ -27,14 +28,20 @@ def user_aggregate(
     held: int = 100_000,
     shares: int = 64,
 ) -> DataFrame:
-    """Fold ``value`` per key into an accumulator of integers, column ``accumulator``.
+    """Fold ``value`` per key into an accumulator of integers, column ``accumulator``; a null comes to ``add`` as None.
 
     Map tasks fold as they read, holding at most ``held`` accumulators, so no
     group of rows is ever shuffled; then accumulators are merged, first within
     ``shares`` per key, then per key.
     """
     numbers = T.ArrayType(T.LongType())
-    key_fields = [df.schema[k] for k in keys]
+    own_fields = [df.schema[k] for k in keys]
+    whole = isinstance(df.schema[value].dataType, WHOLE)
+    given = df.select(*keys, F.col(value).alias("_value"), F.col(value).isNull().alias("_absent"))
+    if whole:  # nulls would make floats of the others
+        given = given.withColumn("_value", F.coalesce("_value", F.lit(0)))
+    given, keys = packed(given, keys)
+    key_fields = [given.schema[k] for k in keys]
     partial_schema = T.StructType([*key_fields, T.StructField("accumulator", numbers)])
 
     def frame(open_keys: dict[tuple, Accumulator]) -> pd.DataFrame:
@@ -45,9 +52,12 @@ def user_aggregate(
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_keys: dict[tuple, Accumulator] = {}
         for pdf in batches:
-            for group, values in pdf.groupby(keys, sort=False, dropna=False)[value]:
+            for group, rows in pdf.groupby(keys, sort=False, dropna=False):
                 group = group if isinstance(group, tuple) else (group,)
-                open_keys[group] = reduce(add, values.tolist(), open_keys.get(group) or create())
+                values = rows["_value"].tolist()
+                if rows["_absent"].any():
+                    values = [None if absent else v for v, absent in zip(values, rows["_absent"])]
+                open_keys[group] = reduce(add, values, open_keys.get(group) or create())
             if len(open_keys) >= held:
                 yield frame(open_keys)
                 open_keys = {}
@@ -59,10 +69,11 @@ def user_aggregate(
         head["accumulator"] = [reduce(merge, ([int(v) for v in a] for a in pdf["accumulator"]))]
         return head
 
-    partial = df.select(*keys, value).mapInPandas(fold, partial_schema)
+    partial = given.mapInPandas(fold, partial_schema)
     partial = partial.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(shares)))
     merged = partial.groupBy(*keys, "_share").applyInPandas(join, partial_schema)
-    return merged.groupBy(*keys).applyInPandas(join, partial_schema)
+    merged = merged.groupBy(*keys).applyInPandas(join, partial_schema)
+    return merged.select(*unpacked(merged, own_fields), "accumulator")
 
 
 def window_fold(

@@ -71,24 +71,47 @@ def run_machine(
         code = F.when(event == name, i).otherwise(code)
     rows = df.withColumn("_event", code.cast("bigint")).withColumn("_seq", F.col(seq).cast("bigint"))
 
-    def follow(rows: Rows, state: int) -> tuple[list[int], int]:
-        passed = []
-        for e in rows["_event"].tolist():
-            passed.append(state)
-            state = int(move[state, e])
-        return passed, state
+    def lines(rows: Rows) -> np.ndarray:
+        """The events in about as many lines as a line has places, filled up with an event that moves nothing."""
+        codes = rows["_event"]
+        width = max(1, int(len(codes) ** 0.5))
+        filled = np.full(-(-len(codes) // width) * width, len(events))
+        filled[: len(codes)] = codes
+        return filled.reshape(-1, width)
+
+    def exits(table: np.ndarray) -> np.ndarray:
+        """[line, state]: where a line leads from each state. All lines move on together."""
+        out = np.tile(np.arange(len(names)), (len(table), 1))
+        for at in range(table.shape[1]):
+            out = move[out, table[:, at, None]]
+        return out
+
+    def passed(rows: Rows, state: int) -> np.ndarray:
+        """The state before each row."""
+        table = lines(rows)
+        entries = []
+        for leads in exits(table).tolist():
+            entries.append(state)
+            state = leads[state]
+        now, out = np.array(entries), np.empty(table.shape, dtype=np.int64)
+        for at in range(table.shape[1]):
+            out[:, at] = now
+            now = move[now, table[:, at]]
+        return out.ravel()[: len(rows["_event"])]
 
     def summarize(rows: Rows) -> State:
-        return [follow(rows, s)[1] for s in range(len(names))]
+        whole = np.arange(len(names))
+        for leads in exits(lines(rows)):
+            whole = leads[whole]
+        return whole.tolist()
 
     def fold(state: State, summary: State) -> State:
         return [summary[state[0]]]
 
     def emit(rows: Rows, state: State, last: bool) -> list[np.ndarray]:
-        passed = np.array(follow(rows, state[0])[0])
-        codes = rows["_event"]
-        hit = gives[passed, codes]
-        return [rows["_seq"][hit], names_array[move[passed[hit], codes[hit]]]]
+        before, codes = passed(rows, state[0]), rows["_event"]
+        hit = gives[before, codes]
+        return [rows["_seq"][hit], names_array[move[before[hit], codes[hit]]]]
 
     return scan(
         rows, keys, Order(seq, ts), ["_event", "_seq"], [0], summarize, fold, emit, f"`{seq}` bigint, state string", skew

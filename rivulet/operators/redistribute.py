@@ -10,8 +10,13 @@ def by_key(df: DataFrame, keys: list[str], partitions: int | None = None) -> Dat
 
 
 def shuffled(df: DataFrame, partitions: int, seed: int = 17) -> DataFrame:
-    """Random placement, by a seeded hash of the row, so that a retry repeats it."""
-    return df.repartition(partitions, F.xxhash64(F.lit(seed), *df.columns))
+    """Random placement: a seeded hash of the row and of its place among its task's rows, so equal rows spread too.
+
+    The places are those after sorting by the row's hash, so a task that is run again gives its rows the same ones.
+    """
+    rows = df.withColumn("_hash", F.xxhash64(F.lit(seed), *df.columns)).sortWithinPartitions("_hash")
+    rows = rows.withColumn("_place", F.xxhash64("_hash", F.monotonically_increasing_id()))
+    return rows.repartition(partitions, "_place").select(*df.columns)
 
 
 def rebalanced(df: DataFrame, partitions: int) -> DataFrame:
@@ -25,8 +30,8 @@ def copied(df: DataFrame, consumers: int, out: str = "consumer") -> DataFrame:
 
 
 def with_parallelism(df: DataFrame, partitions: int) -> DataFrame:
-    """At most so many partitions, without a shuffle. ``rebalanced`` makes more."""
-    return df.coalesce(partitions)
+    """Just so many partitions for the next step: fewer without a shuffle, more by round robin."""
+    return df.coalesce(partitions) if partitions <= df.rdd.getNumPartitions() else df.repartition(partitions)
 
 
 def placed(df: DataFrame, out: str = "subtask") -> DataFrame:

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from rivulet.operators.keys import packed, unpacked
 from rivulet.operators.segments import DEFAULT, HOT, PIECES, Order, Skew, cut
 
 Rows = dict[str, np.ndarray]
@@ -83,19 +84,21 @@ def scan(
     ``emit(rows, state, last)`` -> one array per column of ``schema``; the keys
     are put before them. States and summaries are lists of integers.
     """
-    group = [*keys, *PIECES]
     sort = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order.columns)]
     sorted_by = [f"_o{i}" for i in range(len(sort))]
-    key_fields = [df.schema[k] for k in keys]
+    own_fields = [df.schema[k] for k in keys]
     piece_fields = [T.StructField(p, T.LongType()) for p in PIECES]
     numbers = T.ArrayType(T.LongType())
 
-    parts = cut(df, keys, order, skew)
+    parts = cut(df, keys, order, skew).select(*keys, *PIECES, HOT, *sort, *(F.col(v).alias(f"_v{i}") for i, v in enumerate(values)))
+    parts, keys = packed(parts, keys)
+    key_fields = [parts.schema[k] for k in keys]
+    group = [*keys, *PIECES]
     rows_in = parts.select(
         *keys,
         *PIECES,
-        *sort,
-        *values,
+        *sorted_by,
+        *(F.col(f"_v{i}").alias(v) for i, v in enumerate(values)),
         HOT,
         F.lit(1).alias("_mark"),
         F.lit(None).cast("array<bigint>").alias("_state"),
@@ -179,4 +182,5 @@ def scan(
         if made:
             yield frame()
 
-    return used.mapInPandas(results, T.StructType([*key_fields, *fields]))
+    made = used.mapInPandas(results, T.StructType([*key_fields, *fields]))
+    return made.select(*unpacked(made, own_fields), *(F.col(f.name) for f in fields))

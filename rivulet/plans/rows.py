@@ -47,7 +47,7 @@ def udf_flat_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows 0 .. item % 4 - 1 for each event."""
 
     def spread(pdf: pd.DataFrame) -> pd.DataFrame:
-        digits = [list(range(i % 4)) for i in pdf["item"]]
+        digits = [[] if pd.isna(i) else list(range(int(i) % 4)) for i in pdf["item"]]
         return pd.DataFrame({"event_id": pdf["event_id"], "digit": digits}).explode("digit").dropna()
 
     return lifecycle.flat_map(
@@ -249,6 +249,13 @@ def redistribute_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redistribute.rebalanced(data, spark.sparkContext.defaultParallelism)
 
 
+@query("redistribute_parallelism", "SELECT event_id, user_id FROM events")
+def redistribute_parallelism(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More tasks for one step, then fewer for the next."""
+    data = redistribute.with_parallelism(events(spark, sf_dir).select("event_id", "user_id"), 12)
+    return redistribute.with_parallelism(data, 3)
+
+
 @query("redistribute_copies", "SELECT event_id, CAST(c AS INTEGER) AS consumer FROM events, range(2) AS r(c)")
 def redistribute_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redistribute.copied(events(spark, sf_dir).select("event_id"), 2)

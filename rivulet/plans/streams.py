@@ -60,10 +60,16 @@ def stream_sliding_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE rank <= 3""",
 )
 def stream_hot_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = run.Ending(spark)
-    return jobs.hot_items(
-        end.after(_stream(spark, sf_dir, "view")), "item", "ts", DAY, timedelta(hours=6), DELAY, end=end
-    )
+    end, home = run.Ending(spark), scratch_path(spark, "hot-items")
+
+    def write(best: DataFrame, batch_id: int) -> None:
+        best.write.mode("overwrite").parquet(f"{home}/out/batch_id={batch_id}")
+
+    views = end.after(_stream(spark, sf_dir, "view"))
+    with run.state_settings(spark):
+        job = jobs.hot_items(views, "item", "ts", DAY, timedelta(hours=6), DELAY, write)
+        run.run_available(job, f"{home}/checkpoint", end)
+    return spark.read.parquet(f"{home}/out").drop("batch_id")
 
 
 @query(

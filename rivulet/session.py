@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, for sessions whose executors do not have it installed."""
+    home = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp()  # on the driver only: Spark hands the file to the executors
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{home.name}", "zip", home.parent, home.name))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of scratch data, wherever Spark keeps it; nothing happens if it is not there."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

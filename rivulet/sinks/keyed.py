@@ -39,21 +39,43 @@ def to_hash(batch: DataFrame, connect: Callable[[], Any], name: str, key: str, v
     latest_per_key(batch.select(key, value, seq), [key], seq).foreachPartition(hash_writer(connect, name, key, value))
 
 
-def row_upserter(connect: Callable[[], Any], table: str, keys: list[str], values: list[str], mark: str = "%s"):
-    """UPDATE, and INSERT when no row was changed, over one DB-API connection per task."""
-    set_list = ", ".join(f"{v} = {mark}" for v in values)
+def row_upserter(
+    connect: Callable[[], Any],
+    table: str,
+    keys: list[str],
+    values: list[str],
+    mark: str = "%s",
+    statement: str | None = None,
+    chunk: int = 1000,
+):
+    """Writes rows over one DB-API connection per task, in chunks.
+
+    ``statement`` is the database's own upsert, with places for the keys and then the values. Without it a row is looked for,
+    and then updated or inserted: that an update changed nothing does not say that no row is there.
+    """
     match = " AND ".join(f"{k} = {mark}" for k in keys)
-    update = f"UPDATE {table} SET {set_list} WHERE {match}"
+    look = f"SELECT 1 FROM {table} WHERE {match}"
+    update = f"UPDATE {table} SET {', '.join(f'{v} = {mark}' for v in values)} WHERE {match}"
     insert = f"INSERT INTO {table} ({', '.join([*keys, *values])}) VALUES ({', '.join([mark] * len([*keys, *values]))})"
 
     def write(rows: Iterable[Row]) -> None:
         connection = connect()
         try:
             cursor = connection.cursor()
-            for row in rows:
-                cursor.execute(update, [row[c] for c in [*values, *keys]])
-                if cursor.rowcount == 0:
-                    cursor.execute(insert, [row[c] for c in [*keys, *values]])
+            for part in _chunks(rows, chunk):
+                if statement is not None:
+                    cursor.executemany(statement, [[row[c] for c in [*keys, *values]] for row in part])
+                    continue
+                changed, new = [], []
+                for row in part:
+                    cursor.execute(look, [row[k] for k in keys])
+                    if cursor.fetchone() is None:
+                        new.append([row[c] for c in [*keys, *values]])
+                    else:
+                        changed.append([row[c] for c in [*values, *keys]])
+                for text, given in ((update, changed), (insert, new)):
+                    if given:
+                        cursor.executemany(text, given)
             connection.commit()
         finally:
             connection.close()
@@ -62,10 +84,17 @@ def row_upserter(connect: Callable[[], Any], table: str, keys: list[str], values
 
 
 def to_database(
-    batch: DataFrame, connect: Callable[[], Any], table: str, keys: list[str], values: list[str], seq: str
+    batch: DataFrame,
+    connect: Callable[[], Any],
+    table: str,
+    keys: list[str],
+    values: list[str],
+    seq: str,
+    mark: str = "%s",
+    statement: str | None = None,
 ) -> None:
     latest = latest_per_key(batch.select(*keys, *values, seq), keys, seq)
-    latest.foreachPartition(row_upserter(connect, table, keys, values))
+    latest.foreachPartition(row_upserter(connect, table, keys, values, mark, statement))
 
 
 def append_batch(batch: DataFrame, batch_id: int, path: str, keys: list[str], seq: str) -> None:

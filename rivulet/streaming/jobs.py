@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from rivulet.functions.time import span
 from rivulet.operators import distinct, joins, ranking, windows
-from rivulet.streaming.run import Ending, drained
 
 
 def watermarked(df: DataFrame, ts: str, delay: timedelta = timedelta(0)) -> DataFrame:
@@ -33,21 +34,20 @@ def hot_items(
     size: timedelta,
     slide: timedelta,
     delay: timedelta,
+    write: Callable[[DataFrame, int], None],
     n: int = 3,
-    end: Ending | None = None,
-) -> DataFrame:
-    """Top items of the windows that have closed.
+) -> DataStreamWriter:
+    """Top items of the windows that have closed, as a job to be started: ``write`` gets those of each micro-batch.
 
     In append mode all items of a window come out in the one micro-batch that
     closes it, so ranking that batch ranks the window.
     """
     counts = sliding_counts(df, ts, size, slide, delay, [item])
-    return drained(
-        counts,
-        "hot-items",
-        each=lambda batch: ranking.top_n(batch, n, ["window_start", "window_end"], tie=item),
-        end=end,
-    )
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write(ranking.top_n(batch, n, ["window_start", "window_end"], tie=item), batch_id)
+
+    return counts.writeStream.outputMode("append").foreachBatch(each)
 
 
 def unique_visitors(df: DataFrame, ts: str, user: str, size: timedelta, delay: timedelta) -> DataFrame:
@@ -102,9 +102,9 @@ def window_join(
 
 
 def union_counts(streams: list[DataFrame], ts: str, size: timedelta, delay: timedelta) -> DataFrame:
-    """Window counts over united streams. Each has its watermark; the slowest one rules."""
-    for stream in streams:
-        stream.sparkSession.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    """Window counts over united streams. Each has its watermark; the slowest one rules, as the session must say."""
+    if streams[0].sparkSession.conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min") != "min":
+        raise ValueError("spark.sql.streaming.multipleWatermarkPolicy must be min: the slowest stream rules")
     united = joins.union(*(watermarked(s, ts, delay) for s in streams))
     return windows.tumbling(united, ts, size)
 

@@ -209,8 +209,8 @@ class _FollowedWithin(Steps):
 
     schema = "first_us bigint, then_us bigint, output string"
 
-    def __init__(self, limit: int):
-        self.limit = limit
+    def __init__(self, limit: int, at_limit: bool):
+        self.limit, self.alarm_first = limit, not at_limit
 
     def start(self):
         return [NONE]
@@ -238,9 +238,11 @@ def followed_within(
     then: Column,
     limit: timedelta,
     delay: timedelta = ZERO,
+    at_limit: bool = False,
 ) -> DataFrame:
+    """With ``at_limit`` a row exactly at the limit is still in time."""
     bits = F.when(first, 1).otherwise(0) + F.when(then, 2).otherwise(0)
-    out = run_steps(df, keys, ts, seq, bits, _FollowedWithin(micros(limit)), delay)
+    out = run_steps(df, keys, ts, seq, bits, _FollowedWithin(micros(limit), at_limit), delay)
     return out.select(
         *keys,
         F.timestamp_micros("first_us").alias("first_ts"),

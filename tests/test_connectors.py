@@ -1,5 +1,9 @@
 """Sources and sinks. Clients that are not here are stood in for by objects that record calls."""
 
+import os
+import subprocess
+import sys
+import uuid
 from datetime import datetime
 
 import pytest
@@ -9,9 +13,10 @@ from conftest import values
 from rivulet import schemas
 from rivulet.functions.rows import window_message
 from rivulet.session import scratch_path
-from rivulet.sinks import kafka as kafka_sink, keyed, rows as row_sinks
+from rivulet.sinks import kafka as kafka_sink, keyed, rows as row_sinks, tables
 from rivulet.sources import files, memory, modulo, network
 from rivulet.streaming import run
+from rivulet.streaming.tables import KeyedTable
 
 
 def test_user_behavior(spark, tmp_path):
@@ -42,7 +47,7 @@ def test_modulo_source(spark):
 
 class Client:
     def __init__(self):
-        self.calls, self.table, self.rowcount, self.closed = [], {}, 0, False
+        self.calls, self.table, self.found, self.closed = [], {}, None, False
 
     def hset(self, name, mapping):
         self.calls.append((name, dict(mapping)))
@@ -53,13 +58,20 @@ class Client:
     def execute(self, sql, args):
         verb = sql.split()[0]
         self.calls.append(verb)
-        if verb == "UPDATE":
-            self.rowcount = int(args[1] in self.table)
-            if self.rowcount:
-                self.table[args[1]] = args[0]
+        if verb == "SELECT":
+            self.found = (1,) if args[0] in self.table else None
+        elif verb == "UPDATE":
+            self.table[args[1]] = args[0]
         else:
             self.table[args[0]] = args[1]
 
+    def executemany(self, sql, rows):
+        for args in rows:
+            self.execute(sql, args)
+
+    def fetchone(self):
+        return self.found
+
     def commit(self):
         self.calls.append("commit")
 
@@ -74,11 +86,20 @@ def test_hash_writer():
 
 
 def test_row_upserter():
+    """An update that changes nothing is no reason to insert: some databases count changed rows, not rows found."""
+    client = Client()
+    client.table |= {"key": 0, "same": 5}
+    keyed.row_upserter(lambda: client, "tuple", ["k"], ["v"])([Row(k="key", v=2), Row(k="same", v=5), Row(k="new", v=3)])
+    assert client.table == {"key": 2, "same": 5, "new": 3} and client.closed
+    assert client.calls == ["SELECT"] * 3 + ["UPDATE"] * 2 + ["INSERT", "commit"]
+
+
+def test_row_upserter_with_a_statement():
     client = Client()
     client.table["key"] = 0
-    keyed.row_upserter(lambda: client, "tuple", ["k"], ["v"])([Row(k="key", v=2), Row(k="new", v=3)])
-    assert client.table == {"key": 2, "new": 3}
-    assert client.calls == ["UPDATE", "UPDATE", "INSERT", "commit"] and client.closed
+    rows = [Row(k="key", v=2), Row(k="b", v=3), Row(k="c", v=4)]
+    keyed.row_upserter(lambda: client, "tuple", ["k"], ["v"], statement="MERGE of (%s, %s)", chunk=2)(rows)
+    assert client.table == {"key": 2, "b": 3, "c": 4} and client.calls == ["MERGE"] * 3 + ["commit"]
 
 
 def test_partition_writer_closes_after_an_error():
@@ -144,3 +165,73 @@ def test_message_and_scratch(spark):
     text = df.select(window_message(*(F.col(c) for c in "ksen"))).first()[0]
     assert text == "key a window 2024-01-01 00:00:00 ~ 2024-01-02 00:00:00 count 3"
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_row_sink_with_context(spark, tmp_path):
+    """Tasks stage their rows in files; the commit publishes them under the micro-batch's number."""
+    folder = tmp_path / "sink"
+    folder.mkdir()
+    for i in range(2):
+        rows = [(i * 10 + j, datetime(2024, 1, 1, i, j)) for j in range(5)]
+        spark.createDataFrame(rows, "v int, ts timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    stream = files.table_stream(spark, f"{tmp_path}/in", schema, files_per_trigger=1)
+    stream = stream.withColumn("watermark", F.lit(datetime(2024, 1, 1)).cast("timestamp"))
+    place = str(folder)
+
+    def connect():
+        name = f"{place}/staged-{uuid.uuid4().hex}"
+        return name, open(name, "w")
+
+    def invoke(resource, row, context):
+        assert context.processing_time.tzinfo is not None
+        resource[1].write(f"{row.v} {context.event_time:%H:%M} {context.watermark:%H:%M}\n")
+
+    def close(resource):
+        resource[1].close()
+        return resource[0]
+
+    def commit(names, batch_id):
+        with open(f"{place}/batch-{batch_id}", "w") as out:
+            for name in sorted(names):
+                out.write(open(name).read())
+
+    sink = tables.RowSink(connect, invoke, close, commit, ts="ts", watermark="watermark")
+    run.run_available(sink.writer(stream), f"{tmp_path}/c")
+    lines = [line for i in range(2) for line in (folder / f"batch-{i}").read_text().splitlines()]
+    assert sorted(lines) == sorted(f"{i * 10 + j} {i:02}:{j:02} 00:00" for i in range(2) for j in range(5))
+
+
+def test_upserts_into_a_keyed_table(spark, tmp_path):
+    for i in range(3):
+        rows = [(i * 10 + j, "ab"[j % 2] if j < 4 else None, i * 10 + j) for j in range(5)]
+        spark.createDataFrame(rows, "seq long, k string, v long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    stream = files.table_stream(spark, f"{tmp_path}/in", schema, files_per_trigger=1)
+    table = KeyedTable(f"{tmp_path}/table", ["k"], every=2)
+    run.run_available(tables.upserts(stream, ["k"], "seq", table), f"{tmp_path}/c")
+    whole = spark.read.parquet(f"{tmp_path}/in")
+    assert values(table.before(spark, 3), "k", "v") == values(whole.groupBy("k").agg(F.max("v")))
+
+
+def test_the_package_reaches_workers_elsewhere(tmp_path):
+    """A session in another folder, whose workers find the package only because it was sent to them."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {home!r})
+from rivulet import session
+from rivulet.operators import folds
+spark = session.local_session(2, 2)
+session.ship(spark)
+df = spark.range(10).selectExpr("id % 2 AS k", "id")
+out = folds.user_aggregate(df, ["k"], "id", lambda: [0], lambda a, v: [a[0] + v], lambda a, b: [a[0] + b[0]])
+print("sums", sorted((r.k, r.accumulator[0]) for r in out.collect()))
+spark.stop()
+"""
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
+    assert "sums [(0, 20), (1, 25)]" in done.stdout, done.stderr[-2000:]

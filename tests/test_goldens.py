@@ -11,6 +11,7 @@ from rivulet.functions import rows, time
 from rivulet.functions.lifecycle import map_with_setup
 from rivulet.operators import (
     changelog,
+    distinct,
     folds,
     joins,
     machine,
@@ -438,3 +439,84 @@ def test_null_keys_of_snapshots_are_equal(spark):
     assert {tuple(r) for r in upsert.upserted(a, batch, ["k"], "seq").collect()} == {(None, 5), (1, 2), (2, 3)}
     updates, inserts = upsert.split_upsert(batch, a, ["k"], "seq")
     assert [r.k for r in updates.collect()] == [None] and [r.k for r in inserts.collect()] == [2]
+
+
+WIDE = 2**53
+
+
+@pytest.mark.parametrize("cut", [True, False])
+def test_wide_keys_beside_null_keys(spark, tiny, cut):
+    """As floats, 2^53 and 2^53 + 1 would be one key."""
+    keys = [WIDE, WIDE + 1, None]
+    rows = [(seq, keys[seq % 3], seq * 100, "fail" if seq % 9 < 6 else "ok", seq) for seq in range(60)]
+    df = spark.createDataFrame(rows, "seq long, k long, ms long, kind string, v long").withColumn("ts", F.timestamp_millis("ms"))
+    skew = tiny if cut else None
+    event = F.when(F.col("kind") == "fail", "fail").otherwise("success")
+    got = machine.run_machine(df, ["k"], "ts", "seq", event, machine.LOGIN_FAILURES, skew)
+    want = []
+    for key in keys:
+        streak = 0
+        for seq, k, _, kind, _ in rows:
+            if k == key:
+                streak = streak + 1 if kind == "fail" else 0
+                if streak >= 3:
+                    want.append((key, seq, "S2"))
+    assert got.schema["k"].dataType.simpleString() == "bigint"
+    assert values(got) == sorted(want, key=lambda r: [(v is not None, v) for v in r]) and len({w[0] for w in want}) == 3
+    fired = timers.timer_average(df, ["k"], "ts", "seq", "v", SECOND, skew)
+    assert {r.k for r in fired.collect()} == set(keys)
+    folded = folds.user_aggregate(
+        df.withColumn("v", F.when(F.col("v") != 1, F.col("v") + WIDE)),
+        ["k"],
+        "v",
+        lambda: [0, 0],
+        lambda a, v: [a[0] + (v is None), max(a[1], v or 0)],
+        lambda a, b: [a[0] + b[0], max(a[1], b[1])],
+    )
+    assert dict(map(tuple, folded.collect())) == {WIDE: [0, WIDE + 57], WIDE + 1: [1, WIDE + 58], None: [0, WIDE + 59]}
+
+
+def test_machine_over_long_keys(spark):
+    """Rows are followed in lines that move on together; one by one gives the same."""
+    moves = {(s, e): (n, e == "c") for s, e, n in (("p", "a", "q"), ("q", "b", "r"), ("r", "c", "p"), ("q", "c", "p"), ("r", "a", "r"))}
+    three = machine.Machine(moves)
+    rows = [(i, "abcd"[(i * i + i // 7) % 4]) for i in range(1009)]
+    df = spark.createDataFrame(rows, "seq long, kind string").withColumn("ts", F.timestamp_millis("seq")).withColumn("k", F.lit(1))
+    state, want = "p", []
+    for seq, kind in rows:
+        target, gives = moves.get((state, kind), (state, False))
+        state = target
+        if gives:
+            want.append((1, seq, state))
+    assert values(machine.run_machine(df, ["k"], "ts", "seq", F.col("kind"), three)) == want and want
+
+
+def test_visitor_sketches(spark):
+    rows = spark.range(40_000).select(F.timestamp_seconds(F.col("id") % 7200).alias("ts"), (F.col("id") % 9000).alias("user"))
+    hour = timedelta(hours=1)
+    for error in (0.1, 0.01):
+        near = distinct.sketch_unique_visitors(rows, "ts", "user", hour, timedelta(minutes=30), error)
+        exact = rows.groupBy(F.window("ts", "1 hour", "30 minutes").alias("w")).agg(F.count_distinct("user").alias("n"))
+        both = near.join(exact, near.window_start == exact.w.start).collect()
+        assert len(both) == exact.count() > 2
+        assert all(abs(r.visitors - r.n) <= 4 * error * r.n for r in both)
+    assert distinct.sketch_size(0.01) > distinct.sketch_size(0.1)
+    with pytest.raises(ValueError):
+        distinct.sketch_size(0)
+
+
+def test_a_filter_that_is_too_small_says_so(spark):
+    rows = spark.range(3000).select(F.timestamp_seconds(F.lit(5)).alias("ts"), F.col("id").alias("user"))
+    assert abs(distinct.bloom_unique_visitors(rows, "ts", "user", SECOND, items=5000).first().visitors - 3000) < 100
+    for items in (2000, 20):
+        with pytest.raises(Exception, match="make its filter larger"):
+            distinct.bloom_unique_visitors(rows, "ts", "user", SECOND, items=items).collect()
+
+
+def test_equal_rows_are_spread_too(spark):
+    same = spark.range(8000).select(F.lit("x").alias("v"), F.lit(None).cast("int").alias("n"))
+    sizes = [r["count"] for r in redistribute.placed(redistribute.shuffled(same, 4)).groupBy("subtask").count().collect()]
+    assert len(sizes) == 4 and min(sizes) > 1500 and sum(sizes) == 8000
+    for wanted in (2, 24):
+        given = redistribute.with_parallelism(same, wanted)
+        assert given.rdd.getNumPartitions() == wanted and given.count() == 8000

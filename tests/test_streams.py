@@ -12,7 +12,7 @@ from rivulet.operators import joins, machine, patterns, rolling, timers, windows
 from rivulet.sinks import keyed
 from rivulet.sinks import rows as row_sinks
 from rivulet.sources import files
-from rivulet.streaming import carried, jobs, run, steps
+from rivulet.streaming import carried, jobs, run, sessions, steps
 
 EPOCH = datetime(1970, 1, 1)
 SCHEMA = "seq long, ms long, k string, kind string, v long"
@@ -127,27 +127,94 @@ def test_running_totals(stream, table):
     assert values(got) == ordered(expected)
 
 
-def test_reconcile(spark, stream, table):
-    def side(df, kind, name):
-        return df.where(F.col("kind") == kind).select("seq", F.col("ts").alias(name))
+def test_followers_exactly_at_the_limit(stream, table):
+    kind = F.col("kind")
+    for limit in (400, 900, 3000):
+        args = (["k"], "ts", "seq", kind == "create", kind == "pay", timedelta(milliseconds=limit))
+        got = run.drained(steps.followed_within(stream, *args, delay=DELAY, at_limit=True), "t")
+        assert values(got) == values(patterns.followed_within(table, *args, at_limit=True))
+
+
+def _matched(rows, limit):
+    """One to one: a row takes the oldest row of the other side that still waits."""
+    waiting, out = {}, []
+    for key, ts, side in rows:
+        queue = waiting.setdefault(key, [])
+        while queue and queue[0][0] + limit < ts:
+            at, own = queue.pop(0)
+            out.append((key, "no_left" if own else "no_right", None if own else at, at if own else None))
+        if queue and queue[0][1] != side:
+            at, _ = queue.pop(0)
+            out.append((key, "matched", *((at, ts) if side else (ts, at))))
+        else:
+            queue.append((ts, side))
+    for key, queue in waiting.items():
+        out += [(key, "no_left" if own else "no_right", None if own else at, at if own else None) for at, own in queue]
+    return out
+
 
-    def keyed_side(df, kind, name):
-        return side(df, kind, name).select((F.col("seq") / 12).cast("long").alias("id"), "seq", name)
+def test_reconcile(stream, table):
+    """Keys repeat on both sides; some rows wait together, some time out."""
+    far = F.col("k") == END
+    one = stream.where((F.col("kind") == "create") | far).select("k", F.col("ts").alias("a_ts"))
+    two = stream.where((F.col("kind") == "pay") | far).select("k", F.col("ts").alias("b_ts"))
+    for seconds in (4, 20):
+        got = run.drained(steps.reconcile(one, two, ["k"], "a_ts", "b_ts", seconds * SECOND, DELAY), "t")
+        rows = table.where("kind IN ('create', 'pay')").select("k", "ts", (F.col("kind") == "pay").cast("int")).collect()
+        want = _matched(sorted(map(tuple, rows), key=lambda r: (r[1], r[2])), seconds * SECOND)
+        assert values(got.where(F.col("k") != END)) == ordered(want)
+        assert {w[1] for w in want} == {"matched", "no_left", "no_right"}
 
-    def first(df):
-        return df.groupBy("id").agg(F.min("seq").alias("seq"))
 
-    creates, pays = keyed_side(table, "create", "a_ts"), keyed_side(table, "pay", "b_ts")
-    one, two = (d.join(first(d), ["id", "seq"], "left_semi").drop("seq") for d in (creates, pays))
-    limit = 4 * SECOND
-    want = joins.reconcile(one, two, ["id"], "a_ts", "b_ts", limit)
+def test_sessions_come_and_go(stream, table):
+    """Rows stay in list state until their session closes, over several micro-batches."""
+    got = run.drained(sessions.sessions(stream, ["k"], "ts", F.col("v"), 3 * SECOND, DELAY), "t")
+    want, open_ = [], {}
+    for r in table.orderBy("ts", "seq").collect():
+        held = open_.setdefault(r.k, [])
+        if held and r.ts - held[-1][0] >= 3 * SECOND:
+            want.append((r.k, held))
+            held = open_[r.k] = []
+        held.append((r.ts, r.v))
+    want = [(k, s[0][0], s[-1][0], len(s), sum(v for _, v in s)) for k, s in [*want, *open_.items()]]
+    assert values(got.where(F.col("k") != END)) == ordered(want) and len(want) > 10
+
+
+def test_values_are_forgotten_after_a_time(spark, tmp_path):
+    """The first micro-batch's values are kept in the second, and gone from the state in the third."""
+    rows = [(0, 0, "a", "x", 1), (1, 0, "a", "x", 1), (2, 0, "a", "x", 2), (3, 0, "b", "x", 1)]
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for number, pause in enumerate((0, 0, 25)):
+        time.sleep(pause)
+        again = [(number * 10 + r[0], *r[1:]) for r in rows] + [(number * 10 + 9, 0, "b", "x", 5 + number)]
+        write_files(spark, tmp_path, again, 1)
+        df = files.table_stream(spark, f"{tmp_path}/in", schema)
+        fresh = sessions.unseen(df, ["k"], "seq", F.col("v"), timedelta(seconds=20))
+        with run.state_settings(spark):
+            run.run_available(fresh.writeStream.format("parquet").option("path", f"{tmp_path}/out"), f"{tmp_path}/c")
+    got = values(spark.read.parquet(f"{tmp_path}/out"), "number")
+    assert got == [(n,) for n in (0, 2, 3, 9, 19, 20, 22, 23, 29)]
 
-    far = stream.where(F.col("k") == END).select(F.lit(-1).cast("long").alias("id"), "seq", F.col("ts").alias("a_ts"))
-    s_one = keyed_side(stream, "create", "a_ts").union(far)
-    s_one = s_one.join(first(creates).union(spark.createDataFrame([(-1, 10_000)], "id long, seq long")), ["id", "seq"], "left_semi")
-    s_two = keyed_side(stream, "pay", "b_ts").join(first(pays), ["id", "seq"], "left_semi")
-    got = run.drained(steps.reconcile(s_one.drop("seq"), s_two.drop("seq"), ["id"], "a_ts", "b_ts", limit, DELAY), "t")
-    assert values(got.where("id >= 0")) == values(want)
+
+def test_inner_join(stream, table):
+    def sides(df):
+        return [
+            df.where(F.col("kind") == kind).select("k", F.col("seq").alias(name)) for kind, name in (("create", "a"), ("pay", "b"))
+        ]
+
+    want = values(joins.inner_join(*sides(table), ["k"]), "k", "a", "b")
+    for grid in ((1, 1), (3, 2)):
+        assert values(run.drained(jobs.inner_join(*sides(stream), ["k"], ("a", "b"), grid), "t"), "k", "a", "b") == want
+
+
+def test_united_streams_need_the_slowest_watermark(spark, stream):
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    spark.conf.set(name, "max")
+    try:
+        with pytest.raises(ValueError):
+            jobs.union_counts([stream, stream], "ts", 5 * SECOND, DELAY)
+    finally:
+        spark.conf.unset(name)
 
 
 def test_windows_and_joins(stream, table):
