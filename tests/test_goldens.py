@@ -448,7 +448,7 @@ WIDE = 2**53
 def test_wide_keys_beside_null_keys(spark, tiny, cut):
     """As floats, 2^53 and 2^53 + 1 would be one key."""
     keys = [WIDE, WIDE + 1, None]
-    rows = [(seq, keys[seq % 3], seq * 100, "fail" if seq % 9 < 6 else "ok", seq) for seq in range(60)]
+    rows = [(seq, keys[seq % 3], seq * 100, "fail" if seq % 12 < 9 else "ok", seq) for seq in range(60)]
     df = spark.createDataFrame(rows, "seq long, k long, ms long, kind string, v long").withColumn("ts", F.timestamp_millis("ms"))
     skew = tiny if cut else None
     event = F.when(F.col("kind") == "fail", "fail").otherwise("success")
