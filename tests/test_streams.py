@@ -1,5 +1,6 @@
 """Streams over several micro-batches: the same rows as in batch, however the input is cut."""
 
+import os
 import random
 import time
 from datetime import datetime, timedelta
@@ -183,17 +184,35 @@ def test_sessions_come_and_go(stream, table):
 def test_values_are_forgotten_after_a_time(spark, tmp_path):
     """The first micro-batch's values are kept in the second, and gone from the state in the third."""
     rows = [(0, 0, "a", "x", 1), (1, 0, "a", "x", 1), (2, 0, "a", "x", 2), (3, 0, "b", "x", 1)]
-    schema = spark.createDataFrame([], SCHEMA).schema
-    for number, pause in enumerate((0, 0, 25)):
-        time.sleep(pause)
+    memory = timedelta(seconds=30)
+
+    def arrive(number):
         again = [(number * 10 + r[0], *r[1:]) for r in rows] + [(number * 10 + 9, 0, "b", "x", 5 + number)]
         write_files(spark, tmp_path, again, 1)
-        df = files.table_stream(spark, f"{tmp_path}/in", schema)
-        fresh = sessions.unseen(df, ["k"], "seq", F.col("v"), timedelta(seconds=20))
-        with run.state_settings(spark):
-            run.run_available(fresh.writeStream.format("parquet").option("path", f"{tmp_path}/out"), f"{tmp_path}/c")
-    got = values(spark.read.parquet(f"{tmp_path}/out"), "number")
-    assert got == [(n,) for n in (0, 2, 3, 9, 19, 20, 22, 23, 29)]
+
+    def numbers(at_least):
+        deadline, found = time.time() + 60, []
+        while time.time() < deadline and len(found) < at_least:
+            time.sleep(0.5)
+            if os.path.exists(tmp_path / "out" / "_spark_metadata"):
+                found = values(spark.read.schema(fresh.schema).parquet(f"{tmp_path}/out"), "number")
+        return [n for (n,) in found]
+
+    arrive(0)
+    df = files.table_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], SCHEMA).schema)
+    fresh = sessions.unseen(df, ["k"], "seq", F.col("v"), memory)
+    with run.state_settings(spark):
+        writer = fresh.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        query = run.start(writer, f"{tmp_path}/c", "500 milliseconds")
+        try:
+            assert numbers(4) == [0, 2, 3, 9]
+            arrive(1)
+            assert numbers(5) == [0, 2, 3, 9, 19]
+            time.sleep(memory.total_seconds() + 1)
+            arrive(2)
+            assert numbers(9) == [0, 2, 3, 9, 19, 20, 22, 23, 29]
+        finally:
+            query.stop()
 
 
 def test_inner_join(stream, table):
