@@ -28,7 +28,8 @@ _UNKNOWN, _START = -1, -2
 class Codec:
     """Encoder and decoder of a BPE model with byte fallback, identity normalisation and a space put before the text.
 
-    ``kept`` bounds the tables of pairs and of encoded segments, which are emptied when full. Models of another kind raise ValueError.
+    ``kept`` bounds the table of pairs, which is emptied when full, and that of encoded segments: when it is full it becomes the older
+    one, from which segments that come again are taken over. Models of another kind raise ValueError.
     """
 
     def __init__(self, model: bytes, kept: int = 1 << 18) -> None:
@@ -50,6 +51,7 @@ class Codec:
         self._histories()
         self.pairs: dict[int, bool] = {}
         self.segments: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         #: No piece has a space after another character, so no merge crosses such a place and segments are encoded alone.
         apart = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.segment = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else "(?s:.+)")
@@ -160,14 +162,13 @@ class Codec:
         if not text:
             return []
         found = self.segment.findall(SPACE + text.replace(" ", SPACE))
-        kept = self.segments
+        if len(self.segments) >= self.kept:
+            self.older, self.segments = self.segments, {}
+        kept, older = self.segments, self.older
         for segment in found:
             if segment not in kept:
-                if len(kept) >= self.kept:
-                    kept = {}
-                    self.segments = kept
-                    return [i for s in found for i in self._segment(s)]
-                kept[segment] = self._segment(segment)
+                ids = older.get(segment)
+                kept[segment] = self._segment(segment) if ids is None else ids
         return list(chain.from_iterable(map(kept.__getitem__, found)))
 
     def decode(self, ids: list[int]) -> str:
