@@ -133,13 +133,17 @@ def _cut_along_own_range(df: DataFrame, keys: list[str], order: Order, skew: Ske
     zero, seq = F.lit(0).cast("bigint"), F.col(order.seq).cast("bigint")
     limit = skew.hot_rows // skew.sample_every
     out = df.withColumn("_id", F.xxhash64(*keys))
-    sample = sampled(out, order.seq, skew)
-    spans = sample.groupBy("_id").agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("_low"), F.max(seq).alias("_high"))
+    # One pruned pass counts the sample by key and block; all that follows is made from these counts.
+    sample = sampled(out, order.seq, skew).select("_id", seq.alias("_seq"), block.alias("_block"))
+    blocks = sample.groupBy("_id", "_block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_seq").alias("_first"), F.max("_seq").alias("_last")
+    )
+    spans = blocks.groupBy("_id").agg(F.sum("n").alias("n"), F.min("_first").alias("_low"), F.max("_last").alias("_high"))
     cells = F.greatest(F.lit(1), integer_steps(F.col("n") * skew.sample_every, skew.segment_rows)).cast("bigint")
     width = F.call_function("div", F.col("_high") - F.col("_low"), cells) + 1
     hot = spans.where(F.col("n") > limit).select("_id", "_low", width.alias("_width"))
 
-    def placed(frame: DataFrame, how: str) -> DataFrame:
+    def placed(frame: DataFrame, seq: Column, how: str) -> DataFrame:
         # Rows that the sample did not see may lie before the first or after the last cell; order is kept there too.
         frame = frame.join(F.broadcast(hot), "_id", how).withColumn("_from", seq - F.col("_low"))
         frame = frame.withColumn("_within", F.pmod("_from", "_width"))
@@ -149,7 +153,8 @@ def _cut_along_own_range(df: DataFrame, keys: list[str], order: Order, skew: Ske
         finer = F.call_function("div", F.pmod("_within", part), integer_steps(part, FAN) + 1)
         return frame.withColumn("_finer", F.col("_part") * FAN + finer)
 
-    counts = placed(sample, "inner").groupBy("_id", "_cell", "_part", "_finer").agg(F.count(F.lit(1)).alias("n"))
+    counts = placed(blocks.drop("_last"), F.col("_first"), "inner")
+    counts = counts.withColumnRenamed("n", "_n").groupBy("_id", "_cell", "_part", "_finer").agg(F.sum("_n").alias("n"))
     parts = counts.groupBy("_id", "_cell", "_part").agg(
         F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > limit, F.col("_finer"))).alias("_finers")
     )
@@ -159,7 +164,7 @@ def _cut_along_own_range(df: DataFrame, keys: list[str], order: Order, skew: Ske
         F.flatten(F.collect_list("_finers")).alias("_finers"),
     )
     dense = dense.where(F.col("n") > limit).drop("n")
-    out = placed(out, "left").join(F.broadcast(dense), ["_id", "_cell"], "left")
+    out = placed(out, seq, "left").join(F.broadcast(dense), ["_id", "_cell"], "left")
     in_cell = F.col("_parts").isNotNull()
     in_part = in_cell & F.array_contains("_parts", F.col("_part"))
     in_finer = in_part & F.array_contains("_finers", F.col("_finer"))
