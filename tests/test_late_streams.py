@@ -31,7 +31,7 @@ def table(spark):
     return spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.timestamp_millis("ms"))
 
 
-def fed(table, tmp_path, writer_of, slices=5):
+def fed(table, tmp_path, writer_of, slices=3):
     arrivals = Arrivals(table, "seq", slices)
     arrivals.run(writer_of(arrivals.stream()), f"{tmp_path}/checkpoint")
 
@@ -69,32 +69,31 @@ def test_rows_meet_the_watermark_of_all_earlier_ones(spark, table, tmp_path, nam
 
 @pytest.mark.parametrize("lateness", [0, 10])
 def test_windows_fire_again_for_late_rows(spark, table, tmp_path, tiny, lateness):
-    for skew in (None, tiny):
-        home = f"{tmp_path}/{skew is None}"
-        marks = late.bounded("ts", "seq", 3 * SECOND, skew)
-        firings = late.Firings(
-            ["k"], "ts", "seq", 5 * SECOND, lateness * SECOND, marks, home, into(f"{home}/fired"), into(f"{home}/dropped"), skew
-        )
-        rows = table.where("ts IS NOT NULL")
-        fed(rows, home, firings.writer)
-        firings.finish(spark)
-        marked = watermarks.with_watermark(rows, "ts", "seq", 3 * SECOND)
-        arrivals = watermarks.window_arrivals(marked, "ts", 5 * SECOND, lateness * SECOND, out="how")
-        want = watermarks.window_firings(arrivals.drop("arrival").withColumnRenamed("how", "arrival"), ["k"], "seq")
-        assert values(read(spark, f"{home}/fired")) == values(want)
-        dropped = values(read(spark, f"{home}/dropped"), "seq", "window_start", "arrival")
-        assert dropped == values(arrivals.where("how = 'dropped'"), "seq", "window_start", "arrival")
-        assert dropped
-        if lateness:
-            assert want.where("firing > 1").count() > 5
+    home, skew = str(tmp_path), tiny if lateness else None
+    marks = late.bounded("ts", "seq", 3 * SECOND, skew)
+    firings = late.Firings(
+        ["k"], "ts", "seq", 5 * SECOND, lateness * SECOND, marks, home, into(f"{home}/fired"), into(f"{home}/dropped"), skew
+    )
+    rows = table.where("ts IS NOT NULL")
+    fed(rows, home, firings.writer)
+    firings.finish(spark)
+    marked = watermarks.with_watermark(rows, "ts", "seq", 3 * SECOND, skew=None)
+    arrivals = watermarks.window_arrivals(marked, "ts", 5 * SECOND, lateness * SECOND, out="how")
+    want = watermarks.window_firings(arrivals.drop("arrival").withColumnRenamed("how", "arrival"), ["k"], "seq", None)
+    assert values(read(spark, f"{home}/fired")) == values(want)
+    dropped = values(read(spark, f"{home}/dropped"), "seq", "window_start", "arrival")
+    assert dropped == values(arrivals.where("how = 'dropped'"), "seq", "window_start", "arrival")
+    assert dropped
+    if lateness:
+        assert want.where("firing > 1").count() > 5
 
 
 def test_a_micro_batch_run_again_gives_the_same(spark, table, tmp_path):
     rows = table.where("ts IS NOT NULL")
-    parts = [rows.where(f"seq BETWEEN {a} AND {a + 149}") for a in range(0, 600, 150)]
+    parts = [rows.where(f"seq BETWEEN {a} AND {a + 299}") for a in (0, 300)]
     home = str(tmp_path)
     firings = late.Firings(
-        ["k"], "ts", "seq", 5 * SECOND, 10 * SECOND, late.bounded("ts", "seq", 3 * SECOND), home, into(f"{home}/fired")
+        ["k"], "ts", "seq", 5 * SECOND, 10 * SECOND, late.bounded("ts", "seq", 3 * SECOND, None), home, into(f"{home}/fired"), None, None
     )
     seen = []
 
@@ -107,7 +106,7 @@ def test_a_micro_batch_run_again_gives_the_same(spark, table, tmp_path):
         def foreachBatch(self, each):
             return each
 
-    count = changes.count_changes(Stream(), ["k"], "seq", f"{home}/state", into(f"{home}/counts"), "v")
+    count = changes.count_changes(Stream(), ["k"], "seq", f"{home}/state", into(f"{home}/counts"), "v", skew=None)
     for i, part in enumerate(parts):
         for again in range(2):
             firings._each(part, i)
