@@ -27,7 +27,7 @@ class _Fed:
 
     def __init__(self, spark: SparkSession, rows: DataFrame, label: str):
         self.spark, self.home = spark, scratch_path(spark, label)
-        self.arrivals = Arrivals(rows, "arrival")
+        self.arrivals = Arrivals(rows, "arrival", slices=3)
         self.stream = self.arrivals.stream()
 
     def into(self, name: str):
