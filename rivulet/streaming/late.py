@@ -157,15 +157,15 @@ class Firings:
         late = arrivals.where("_arrival = 'late'").select(
             *group, one.alias("_n"), one.alias("_f"), F.lit(True).alias("_fires"), F.col(self.seq).cast("bigint").alias("_place")
         )
-        rows = held.unionByName(late)
         still = F.coalesce(last + interval(self.lateness) > now, F.lit(True))
-        state = rows.groupBy(*group).agg(F.sum("_n").alias("count"), F.sum("_f").alias("firing")).where(still)
-        state.write.mode("overwrite").parquet(f"{self.home}/windows/{batch_id}")
-        counted = running(
-            rows, group, Order("_place"), [Running("count", "sum", "_n"), Running("firing", "sum", "_f")], self.skew
-        )
-        fired = counted.where("_fires").select(*group, "firing", (F.col("firing") == 1).alias("first"), "count")
-        self.fired(fired, batch_id)
+        with kept(held.unionByName(late)) as rows:
+            state = rows.groupBy(*group).agg(F.sum("_n").alias("count"), F.sum("_f").alias("firing")).where(still)
+            state.write.mode("overwrite").parquet(f"{self.home}/windows/{batch_id}")
+            counted = running(
+                rows, group, Order("_place"), [Running("count", "sum", "_n"), Running("firing", "sum", "_f")], self.skew
+            )
+            fired = counted.where("_fires").select(*group, "firing", (F.col("firing") == 1).alias("first"), "count")
+            self.fired(fired, batch_id)
 
     def finish(self, spark: SparkSession) -> None:
         """The input has ended: windows that have not fired yet do so now."""
