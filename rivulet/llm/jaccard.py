@@ -13,7 +13,7 @@ from rivulet.llm.blocks import Block, Deal, answered, asked, mix, opened, packed
 from rivulet.llm.common import partitions, stored
 from rivulet.llm.words import Words
 
-FEATURES = "doc_id bigint, n_shingles bigint, low bigint, first boolean, block bigint, at int, outline binary, keys array<bigint>"
+FEATURES = "doc_id bigint, n_shingles bigint, low bigint, first boolean, block bigint, at int, outline binary, keys array<bigint>, rooms array<int>"
 _PART = 1 << 15
 _STEP, _COMBINED, _SAME = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5)
 
@@ -22,14 +22,15 @@ _STEP, _COMBINED, _SAME = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3
 class Join:
     """``words`` in a shingle; documents link from ``percent`` on. A shingle is frequent if its cell of a counting sketch
     (``cells`` cells) exceeds the mean by ``frequent`` and by four standard deviations. Combinations are used up to ``combined`` shingles in a
-    document. ``small``: groups of so many documents are compared pair by pair. ``outline``: cells of a document's outline."""
+    document. ``small``: groups of so many documents, in the first round and in later ones, are compared pair by pair. ``outline``: cells of
+    a document's outline."""
 
     words: int = 3
     percent: int = 90
     cells: int = 1 << 20
     frequent: int = 24
     combined: int = 400
-    small: tuple[int, int] = (16, 128)
+    small: tuple[int, int] = (2, 16)
     outline: int = 128
     block_bytes: int = 8 << 20
 
@@ -78,7 +79,9 @@ class Sets:
         less than what they share."""
         cells = self.join.outline
         counts = np.bincount(self.doc * cells + (self.value & np.uint64(cells - 1)).astype(np.int64), minlength=len(self.sizes) * cells)
-        return [x.tobytes() for x in counts.reshape(-1, cells)[docs].astype(np.int32)]
+        counts = counts.reshape(-1, cells)[docs]
+        wide = counts.max(1, initial=0)
+        return [x.astype(np.uint8 if w < 1 << 8 else np.uint16 if w < 1 << 16 else np.uint32).tobytes() for x, w in zip(counts, wide)]
 
     def representatives(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct sets: (digest, least document id, for each document with words which one it has)."""
@@ -87,13 +90,16 @@ class Sets:
         np.minimum.at(least, inverse, self.block.ids[self.some])
         return unique, least, inverse
 
-    def keys(self, frequent: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(document, key) for the given documents: what any document that links with it shares at least once.
+    def keys(self, frequent: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, key, room) for the given documents: what any document that links with it shares at least once.
 
         A link leaves at most e = n - ceil(percent * n / 100) of its n shingles unshared. In a fixed order with frequent shingles last, either one
         of the first e + 1 is shared and rare, or the first two shared ones are both frequent and among the first e + 2:
         so rare shingles of the prefix are keys alone, and frequent ones in pairs. In long documents, which would have
         many pairs, all are keys alone; lengths near the border have both kinds.
+
+        Two documents that link meet under what they share first. The room is what a document can share with another if the
+        key is that: the shingles from the key on. Under a key, only documents with room for a link need to be compared.
         """
         j = self.join
         wanted = np.zeros(len(self.sizes), bool)
@@ -108,7 +114,7 @@ class Sets:
         unshared = n + (-j.percent * n) // 100
         single = (rank <= unshared) & (~often | (n * 100 >= j.combined * j.percent))
         pairs = (rank <= unshared + 1) & often & (n <= j.combined)
-        out_doc, out_key = [doc[single]], [value[single]]
+        out_doc, out_key, out_room = [doc[single]], [value[single]], [(n - rank)[single]]
         at = np.flatnonzero(pairs)
         if len(at):
             d = doc[at]
@@ -117,7 +123,8 @@ class Sets:
             right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many)
             out_doc.append(d[left])
             out_key.append(mix(value[at][left] * _COMBINED + value[at][right]))
-        return np.concatenate(out_doc), np.concatenate(out_key)
+            out_room.append((n - rank)[at][right] + 1)
+        return np.concatenate(out_doc), np.concatenate(out_key), np.concatenate(out_room)
 
 
 def _frequent(blocks: DataFrame, join: Join) -> np.ndarray:
@@ -188,12 +195,12 @@ def features(blocks: DataFrame, join: Join) -> DataFrame:
     def result(block: Block, got: dict) -> pa.Table:
         sets = Sets(block, join)
         mine, low = chosen(sets, got)
-        doc, key = sets.keys(sent.value, mine)
+        doc, key, room = sets.keys(sent.value, mine)
         unique, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
         shared = (Deal(unique, buckets).gathered(got.get(2, {}), np.uint8) > 0) | (count > 1)
-        doc, key = doc[shared[inverse]], key[shared[inverse]]
+        doc, key, room = (x[shared[inverse]] for x in (doc, key, room))
         order = np.argsort(doc, kind="stable")
-        doc, key = doc[order], key[order].view(np.int64)
+        doc, key, room = doc[order], key[order].view(np.int64), room[order].astype(np.int32)
         n = len(sets.sizes)
         has = np.bincount(doc, minlength=n) > 0
         cuts = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
@@ -213,6 +220,7 @@ def features(blocks: DataFrame, join: Join) -> DataFrame:
                 "at": pa.array(np.arange(n), pa.int32()),
                 "outline": pa.array(outlines, pa.binary()),
                 "keys": pa.ListArray.from_arrays(pa.array(cuts), pa.array(key)),
+                "rooms": pa.ListArray.from_arrays(pa.array(cuts), pa.array(room)),
             }
         )
 
@@ -240,15 +248,25 @@ def components(links: DataFrame) -> DataFrame:
         now = after.select("id", "component")
 
 
-def _outlined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _counts(outlines: pa.Array, cells: int) -> np.ndarray:
+    """Outlines, each in the narrowest numbers that hold it, as one matrix."""
+    raw = outlines.to_pylist()
+    out = np.zeros((len(raw), cells), np.int32)
+    size = np.array([len(x) // cells for x in raw])
+    for width in np.unique(size).tolist():
+        some = np.flatnonzero(size == width)
+        out[some] = np.frombuffer(b"".join(raw[i] for i in some), f"u{width}").reshape(-1, cells)
+    return out
+
+
+def _outlined(batches: Iterator[pa.RecordBatch], join: Join) -> Iterator[pa.RecordBatch]:
     """The pairs whose outlines allow a link."""
     for batch in batches:
         number = lambda name: batch.column(name).to_numpy()
-        outline = lambda name: np.frombuffer(b"".join(batch.column(name).to_pylist()), np.int32).reshape(len(batch), -1)
         if not len(batch):
             continue
-        both = np.minimum(outline("o_a"), outline("o_b")).sum(1)
-        may = both * 100 >= (number("n_a") + number("n_b") - both) * percent
+        both = np.minimum(_counts(batch.column("o_a"), join.outline), _counts(batch.column("o_b"), join.outline)).sum(1)
+        may = both * 100 >= (number("n_a") + number("n_b") - both) * join.percent
         yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(may))
 
 
@@ -258,8 +276,8 @@ def _sets(blocks: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
     def taken(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, lists = right.column("id"), []
         if len(right):
-            sets = Sets(read(left), join)
-            lists = [sets.value[sets.starts[i] : sets.starts[i + 1]].view(np.int64) for i in right.column("at").to_pylist()]
+            sets = Sets(read(left).only(right.column("at").to_numpy()), join)
+            lists = [sets.value[sets.starts[i] : sets.starts[i + 1]].view(np.int64) for i in range(len(right))]
         return pa.table({"id": pa.array(ids.to_pylist(), pa.int64()), "shingles": pa.array(lists, pa.list_(pa.int64()))})
 
     return stored(blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(taken, "id bigint, shingles array<bigint>"), "sets")
@@ -270,7 +288,7 @@ def _checked(pairs: DataFrame, nodes: DataFrame, blocks: DataFrame, join: Join)
     ``b`` may be in many pairs; its join comes last and is one that Spark can split."""
     side = lambda x: nodes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("outline").alias(f"o_{x}"))
     near = stored(
-        pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda x: _outlined(x, join.percent), "a bigint, b bigint, n_a bigint, n_b bigint"), "near"
+        pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda x: _outlined(x, join), "a bigint, b bigint, n_a bigint, n_b bigint"), "near"
     )
     wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     sets = _sets(blocks, nodes.join(wanted, "id").select("id", "block", "at"), join)
@@ -280,18 +298,20 @@ def _checked(pairs: DataFrame, nodes: DataFrame, blocks: DataFrame, join: Join)
 
 
 def linked(nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame | None:
-    """``id, component`` of the representatives that link with another. ``nodes``: id, n, block, at, outline, keys.
+    """``id, component`` of the representatives that link with another. ``nodes``: id, n, block, at, outline, keys, rooms.
 
-    Documents under one key are compared without making all pairs of a large group. In small groups every pair is; in a larger group
+    Documents under one key are compared without making all pairs of a large group. First each key's smallest document is compared with
+    its others, which joins most copies in work that grows with the rows. In small groups then every pair is; in a larger group
     the smallest documents that have not yet been centres, first one and then each time eight times as many, are compared with those
     that are not yet in their components. Pairs of one component need no check, and a pair of two components has been checked once
     either was a centre; the group is done when it is one component or has no two left. So no link between two components is lost.
     """
-    members = stored(nodes.select("id", "n", F.explode("keys").alias("key")), "members")
+    members = nodes.select("id", "n", F.explode(F.arrays_zip("keys", "rooms")).alias("k")).select("id", "n", "k.keys", "k.rooms").toDF("id", "n", "key", "room")
+    members = stored(members, "members")
     links, now, limit, width = None, None, join.small[0], 1
     while True:
         current = members.withColumn("component", F.col("id")) if now is None else members.join(now, "id", "left").select(
-            "id", "n", "key", F.coalesce("component", "id").alias("component")
+            "id", "n", "key", "room", F.coalesce("component", "id").alias("component")
         )
         groups = (
             current.groupBy("key")
@@ -301,19 +321,19 @@ def linked(nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame | None:
         left = stored(current.join(groups.select("key", "many"), "key"), "open")
         if left.isEmpty():
             return now
-        fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * join.percent
+        fits = F.least("room", "room_b") * (100 + join.percent) >= (F.col("n") + F.col("n_b")) * join.percent
         few, many = left.where(F.col("many") <= limit), left.where(F.col("many") > limit)
         place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
         centres = many.withColumn("place", place).where(F.col("place") <= width)
         with_other = lambda rows, other: rows.join(
-            other.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b")), "key"
+            other.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("room").alias("room_b"), F.col("component").alias("of_b")), "key"
         )
         both = with_other(few, few).unionByName(with_other(many, centres))
-        pairs = both.where((F.col("b") < F.col("id")) & (F.col("component") != F.col("of_b")) & fits("n", "n_b")).select(F.col("id").alias("a"), "b")
+        pairs = both.where((F.col("b") < F.col("id")) & (F.col("component") != F.col("of_b")) & fits).select(F.col("id").alias("a"), "b")
         more = stored(_checked(pairs.distinct(), nodes, blocks, join), "links")
         links = more if links is None else links.unionByName(more)
         now = components(links)
-        members = many.join(centres.select("key", "id"), ["key", "id"], "left_anti").select("id", "n", "key")
+        members = many.join(centres.select("key", "id"), ["key", "id"], "left_anti").select("id", "n", "key", "room")
         limit, width = join.small[1], 8 * width
 
 
@@ -322,7 +342,7 @@ def joined(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_co
 
     A document's set: its distinct shingles of ``join.words`` words (lower case A-Z); with fewer words the whole sequence; without words
     none. Two documents link when their sets' Jaccard similarity is ``join.percent`` per cent or more. Candidates share a key (see
-    ``Sets.keys``) and fit in size and outline; every link is checked on the whole sets, of 64-bit shingle hashes. Documents with equal
+    ``Sets.keys``) and fit in room and outline; every link is checked on the whole sets, of 64-bit shingle hashes. Documents with equal
     sets are one node, named by the smallest id, so a group of copies costs its size.
 
     One row per row of ``docs``. Null and empty texts link with nothing. A null id comes after all numbers; its component is null
@@ -331,7 +351,7 @@ def joined(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_co
     """
     blocks = packed(docs, join.block_bytes, id_col, text_col)
     found = features(blocks, join)
-    nodes = found.where(F.col("first") & (F.size("keys") > 0)).select(F.col("low").alias("id"), F.col("n_shingles").alias("n"), "block", "at", "outline", "keys")
+    nodes = found.where(F.col("first") & (F.size("keys") > 0)).select(F.col("low").alias("id"), F.col("n_shingles").alias("n"), "block", "at", "outline", "keys", "rooms")
     now = linked(nodes, blocks, join)
     rows = found.select("doc_id", "n_shingles", "low")
     if now is not None:
