@@ -16,7 +16,7 @@ SHARDS = (
     "shard bigint, dims int, ids binary, vectors binary, query_keys array<bigint>, query_ids array<bigint>, "
     "query_vectors array<binary>, bounds array<bigint>, bound_ids array<bigint>"
 )
-FOUND = "query_key bigint, query_id bigint, vec_id bigint, score bigint"
+FOUND = "query_key bigint, query_id bigint, vec_id bigint, score bigint, beyond boolean"
 _LOWEST, _LAST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
@@ -33,11 +33,12 @@ class Search:
 
 
 class Tree:
-    """Median splits along the widest side; every node keeps the tight box of its points and their smallest id."""
+    """Median splits along the widest side; every node keeps the tight box of its points and their smallest id. ``keys`` tell rows
+    with the same id apart."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int) -> None:
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, vectors: np.ndarray, leaf: int) -> None:
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.ids, self.keys, self.vectors = ids[order], keys[order], vectors[order]
         rows = np.arange(len(ids))
         low, high, first, self.spans, self.children = [], [], [], [], []
         todo, at = [(0, len(ids), -1)], 0
@@ -58,20 +59,21 @@ class Tree:
                 rows[a:b] = rows[a:b][np.argpartition(points[:, side], middle)]
                 todo += [(a, a + middle, at), (a + middle, b, at)]
             at += 1
-        self.ids, self.vectors = self.ids[rows], self.vectors[rows]
+        self.ids, self.keys, self.vectors = self.ids[rows], self.keys[rows], self.vectors[rows]
         self.low, self.high, self.first = np.array(low), np.array(high), np.array(first)
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray, bound_ids: np.ndarray) -> list[list[tuple[int, int]]]:
+    def search(self, query_keys: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray, bound_ids: np.ndarray) -> list[list[tuple[int, int]]]:
         """For each query its best (score, id) here, at most k, that are as good as its bound: best node first, and no node whose
         box cannot beat the k-th."""
         largest = max(1, int(np.abs(queries).max(initial=1))) * max(1, int(np.abs(self.vectors).max(initial=1))) * max(1, queries.shape[1])
-        kind = np.float64 if largest < 1 << 53 else np.int64  # sums of products are exact in both
+        # sums of products are exact in each of these; Python's integers have no bound
+        kind, whole = (np.float64, np.int64) if largest < 1 << 53 else (np.int64, np.int64) if largest < 1 << 63 else (object, object)
         q, vectors = queries.astype(kind), self.vectors.astype(kind)
-        upper = (np.maximum(q, 0) @ self.high.astype(kind).T + np.minimum(q, 0) @ self.low.astype(kind).T).astype(np.int64)
+        upper = (np.maximum(q, 0) @ self.high.astype(kind).T + np.minimum(q, 0) @ self.low.astype(kind).T).astype(whole)
         out = []
         for i in range(len(q)):
             best: list[tuple[int, int]] = []  # heap of (score, -id): the worst on top
-            limit = (int(bounds[i]), -int(bound_ids[i]))
+            limit = (int(bounds[i]), -int(bound_ids[i])) if bounds[i] > _LOWEST else (float("-inf"), 0)
             heap = [(-int(upper[i, 0]), int(self.first[0]), 0)]
             while heap:
                 bound, first, node = heapq.heappop(heap)
@@ -85,10 +87,11 @@ class Tree:
                         heapq.heappush(heap, (-int(upper[i, child]), int(self.first[child]), child))
                     continue
                 a, b = self.spans[node]
-                scores = (vectors[a:b] @ q[i]).astype(np.int64)
-                near = np.flatnonzero((scores >= worst[0]) & (self.ids[a:b] != query_ids[i]))
-                if len(near) > k:  # of one leaf no more than k can stay
-                    near = near[np.lexsort((self.ids[a:b][near], -scores[near]))[:k]]
+                scores = (vectors[a:b] @ q[i]).astype(whole)
+                near = np.flatnonzero((scores >= worst[0]).astype(bool) & (self.keys[a:b] != query_keys[i]))
+                if len(near) > k:  # of one leaf no more than k can stay; its rows by id, then by score, which leaves ties as they are
+                    near = near[np.argsort(self.ids[a:b][near], kind="stable")]
+                    near = near[np.argsort(-scores[near], kind="stable")[:k]]
                 for score, one in zip(scores[near].tolist(), self.ids[a:b][near].tolist()):
                     item = (score, -one)
                     if item < limit:
@@ -108,9 +111,12 @@ def _integers(batch: pa.RecordBatch, scale: int) -> Iterator[tuple[int, np.ndarr
         values = vector.values
         if i is None or values is None or values.null_count:
             continue
-        x = np.floor(values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
-        if not len(x) or not np.isfinite(x).all() or float(np.abs(x).max()) ** 2 * len(x) >= 2.0**62:
+        x = values.to_numpy(zero_copy_only=False).astype(np.float64)
+        if not np.isfinite(x).all():
             continue
+        x = np.floor(x * scale)
+        if np.abs(x).max(initial=0) >= 2.0**63:
+            raise OverflowError(f"vector {i}: a component leaves 64 bits")
         ids, rows = by_dims.setdefault(len(x), ([], []))
         ids.append(i)
         rows.append(x.astype(np.int64))
@@ -118,6 +124,11 @@ def _integers(batch: pa.RecordBatch, scale: int) -> Iterator[tuple[int, np.ndarr
         yield dims, np.array(ids, np.int64), np.array(rows)
 
 
+def _keys(shard: int, rows: int) -> np.ndarray:
+    """A number of its own for each row of a shard."""
+    return (shard << 14) + np.arange(rows, dtype=np.int64)
+
+
 def _sharded(batches: Iterator[pa.RecordBatch], how: Search) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -128,13 +139,15 @@ def _sharded(batches: Iterator[pa.RecordBatch], how: Search) -> Iterator[pa.Reco
         nonlocal number
         number += 1
         queries = np.flatnonzero(ids % how.every == 0)
-        found = Tree(ids, vectors, how.leaf_rows).search(
-            ids[queries], vectors[queries], how.k, np.full(len(queries), _LOWEST), np.full(len(queries), _LAST)
+        keys = _keys(number, len(ids))
+        found = Tree(ids, keys, vectors, how.leaf_rows).search(
+            keys[queries], vectors[queries], how.k, np.full(len(queries), _LOWEST), np.full(len(queries), _LAST)
         ) if len(queries) else []
         worst = [min(f, key=lambda x: (x[0], -x[1])) if len(f) == how.k else (_LOWEST, _LAST) for f in found]
+        worst = [(_LOWEST, _LAST) if s < _LOWEST else (min(s, _LAST), i if s <= _LAST else _LAST) for s, i in worst]  # a weaker bound loses nothing
         row = {
             "shard": number, "dims": dims, "ids": ids.tobytes(), "vectors": vectors.tobytes(),
-            "query_keys": [(number << 14) + j for j in range(len(queries))], "query_ids": ids[queries].tolist(),
+            "query_keys": keys[queries].tolist(), "query_ids": ids[queries].tolist(),
             "query_vectors": [v.tobytes() for v in vectors[queries]], "bounds": [s for s, _ in worst], "bound_ids": [i for _, i in worst],
         }
         longs, kinds = pa.list_(pa.int64()), pa.list_(pa.binary())
@@ -162,14 +175,15 @@ def _searched(left: pa.Table, how: Search) -> pa.Table:
     """One shard against one block of queries."""
     row = left.to_pylist()[0]
     ids, dims = np.frombuffer(row["ids"], np.int64), row["dims"]
-    tree = Tree(ids, np.frombuffer(row["vectors"], np.int64).reshape(-1, dims), how.leaf_rows)
+    tree = Tree(ids, _keys(row["shard"], len(ids)), np.frombuffer(row["vectors"], np.int64).reshape(len(ids), dims), how.leaf_rows)
     asked = row["queries"]
-    queries = np.frombuffer(b"".join(q["vector"] for q in asked), np.int64).reshape(-1, dims)
+    queries = np.frombuffer(b"".join(q["vector"] for q in asked), np.int64).reshape(len(asked), dims)
     number = lambda name: np.array([q[name] for q in asked], np.int64)
-    found = tree.search(number("id"), queries, how.k, number("bound"), number("bound_id"))
-    rows = [(q["key"], q["id"], i, s) for q, f in zip(asked, found) for s, i in f]
-    columns = list(zip(*rows)) or [()] * 4
-    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_key", "query_id", "vec_id", "score"), columns)})
+    found = tree.search(number("key"), queries, how.k, number("bound"), number("bound_id"))
+    rows = [(q["key"], q["id"], i, min(max(s, _LOWEST), _LAST), not _LOWEST <= s <= _LAST) for q, f in zip(asked, found) for s, i in f]
+    columns = list(zip(*rows)) or [()] * 5
+    names, kinds = ("query_key", "query_id", "vec_id", "score", "beyond"), [pa.int64()] * 4 + [pa.bool_()]
+    return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, kinds)})
 
 
 def nearest(rows: DataFrame, how: Search = Search(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -182,9 +196,10 @@ def nearest(rows: DataFrame, how: Search = Search(), id_col: str = "vec_id", vec
     Queries travel in blocks of ``block_queries``, and each pair of shard and block is one piece of work of bounded size. The work is
     that of a query set against all rows.
 
-    Ties go to the smaller id. Candidates of a query: every row with another id. Fewer than k candidates: all. Vectors that are null, empty, hold
-    null or non-finite components, or are so large that a score could leave 64 bits, take no part; nor do rows without id.
-    Vectors are compared with those of the same length only. Repeated rows are candidates, and queries, each for itself.
+    Ties go to the smaller id. Candidates of a query: every row but its own. Fewer than k candidates: all. Vectors that are null or hold
+    null or non-finite components take no part; nor do rows without id. Scores are exact; a component, or a score among the k best,
+    that leaves 64 bits is an error. Vectors are compared with those of the same length only, so empty ones with empty ones, at score 0.
+    Repeated rows, and rows that repeat an id, are candidates, and queries, each for itself: as query each has its own ranks from 1.
     Empty table: no rows. Extra columns play no part.
     """
     pairs = rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").alias("vector"))
@@ -223,4 +238,5 @@ def nearest(rows: DataFrame, how: Search = Search(), id_col: str = "vec_id", vec
 
     found = work.mapInArrow(searched, FOUND)
     best = Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= how.k).select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.col("beyond"), F.raise_error(F.lit("a score leaves 64 bits"))).otherwise(F.col("score")).alias("score")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= how.k).select("query_id", "rank", "vec_id", score)
