@@ -38,9 +38,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets replaced by a mark and ``n_chars`` counted anew."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    scanned = secrets.scan(docs, keep=others).withColumn("text", secrets.redacted())
-    return scanned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*(f"`{c}`" for c in docs.columns))
+    rows = docs.select(F.struct("*").alias("whole"), "doc_id", "text")  # other columns may have any name
+    scanned = secrets.scan(rows, keep=["whole"]).withColumn("text", secrets.redacted())
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return scanned.select(*(new.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

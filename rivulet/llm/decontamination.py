@@ -28,7 +28,7 @@ class Budget:
     share: float = 0.06
     q: int = 12
     bits: int = 22
-    block_bytes: int = 1 << 22
+    block_bytes: int = 1 << 20
 
 
 def folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -228,7 +229,8 @@ def scan(
 
 def _least(rule: Rule) -> str:
     """A pattern that matches wherever the rule has a match that counts, for a first look."""
-    return rule.pattern[:-1] + f"{{{rule.least},}}" if rule.group == 0 and rule.least and rule.pattern.endswith("]+") else rule.pattern
+    alone = rule.group == 0 and rule.least and re.fullmatch(r"\[[^\[\]\\]+\]\+", rule.pattern)  # a head would count as well
+    return rule.pattern[:-1] + f"{{{rule.least},}}" if alone else rule.pattern
 
 
 def digest(scanned: DataFrame, rules: Sequence[Rule] = BASE + MORE) -> DataFrame:
