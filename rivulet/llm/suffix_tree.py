@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,18 +17,18 @@ from rivulet.llm.words import Words
 
 SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 _END, _BEGIN = mix(np.array([3, 5], np.uint64))
-_PAIR, _TRIPLE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-PAIRS = [np.uint32, np.uint8, np.uint32]
+_THEN = np.uint64(0xC2B2AE3D27D4EB4F)
+GRAMS = [np.uint32, np.uint8, np.uint32]
 GAINS = [np.uint32, np.uint8, np.float32]
 
 
 @dataclass(frozen=True)
 class Tree:
-    """Contexts of one and two words need the probability ``share`` among the training tokens, and two occurrences; they stay if
-    they gain more than ``gain`` nats, each training token left out in turn. ``weight``: how many observations the shorter
-    context counts for."""
+    """Contexts of one, two, .. words need ``least[0]``, ``least[1]``, .. occurrences in training, at any size of the corpus; the number of
+    entries is the depth. They stay if they gain more than ``gain`` nats, each training token left out in turn. ``weight``: how
+    many observations the shorter context counts for."""
 
-    share: tuple[float, float] = (1e-6, 1e-7)
+    least: tuple[int, ...] = (20, 4)
     weight: float = 4.0
     gain: float = 3.0
     folds: int = 5
@@ -45,9 +44,17 @@ class Totals:
     distinct: int
     texts: int
 
-    def least(self, share: float) -> int:
-        """The occurrences that a context of that probability has."""
-        return max(2, math.ceil(share * self.tokens))
+
+@dataclass(frozen=True)
+class Level:
+    """The tokens of a block that have a frequent context of some length: their places, the digests of their contexts, how often
+    training has these, and the distinct grams (context and token) with where each place's is among them."""
+
+    at: np.ndarray
+    context: np.ndarray
+    seen: np.ndarray
+    grams: np.ndarray
+    inverse: np.ndarray
 
 
 def _low(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +71,7 @@ class Tokens:
 
     def __init__(self, block: Block, tree: Tree, buckets: int, totals: Totals | None, got: dict) -> None:
         self.block, self.tree, self.buckets, self.totals, self.got = block, tree, buckets, totals, got
+        self.levels: list[Level] = []
         words = Words(block)
         self.texts = len(words.counts)
         self.unique, uid = np.unique(words.hash, return_inverse=True)
@@ -99,103 +107,73 @@ class Tokens:
         t = self.totals
         return (self.seen[self.token] + 0.5) / (t.tokens + 0.5 * (t.distinct + 1))
 
-    # Contexts of one word
-
-    @cached_property
-    def one(self) -> np.ndarray:
-        """Tokens whose former word is frequent enough to be a context."""
-        return np.flatnonzero(self.seen[self.before] >= self.totals.least(self.tree.share[0]))
-
-    @cached_property
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        digest = mix(self.digest[self.before[self.one]] * _PAIR + self.digest[self.token[self.one]])
-        return digest, *np.unique(digest, return_inverse=True)
-
-    def ask_pairs(self) -> Iterator[tuple[int, bytes]]:
-        _, unique, inverse = self.pairs
-        n = np.bincount(inverse, self.trains[self.one], len(unique)).astype(np.uint32)
-        return Deal(unique, self.buckets).shares(*_low(unique), n)
-
-    @cached_property
-    def pair_counts(self) -> np.ndarray:
-        """For every token: how often training has it after its former word; 0 where that is no context."""
-        _, unique, inverse = self.pairs
-        out = np.zeros(len(self.token), np.int64)
-        out[self.one] = Deal(unique, self.buckets).gathered(self.got.get(2, {}), np.int64)[inverse]
-        return out
-
-    # Contexts of two words
-
-    @cached_property
-    def context(self) -> np.ndarray:
-        """How often training has a token's two former words; 0 at the beginning."""
-        out = np.concatenate([[0], self.pair_counts[:-1]])
-        out[self.firsts] = 0
-        return out
-
-    @cached_property
-    def two(self) -> np.ndarray:
-        return np.flatnonzero(self.context >= self.totals.least(self.tree.share[1]))
-
-    @cached_property
-    def contexts(self) -> np.ndarray:
-        """The digest of the two former words of the tokens in ``two``."""
-        digest = np.zeros(len(self.token), np.uint64)
-        digest[self.one] = self.pairs[0]
-        return digest[self.two - 1]
-
-    @cached_property
-    def triples(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(mix(self.contexts * _TRIPLE + self.digest[self.token[self.two]]), return_inverse=True)
-
-    def ask_triples(self) -> Iterator[tuple[int, bytes]]:
-        unique, inverse = self.triples
-        n = np.bincount(inverse, self.trains[self.two], len(unique)).astype(np.uint32)
-        return Deal(unique, self.buckets).shares(*_low(unique), n)
-
-    @cached_property
-    def triple_counts(self) -> np.ndarray:
-        unique, inverse = self.triples
-        return Deal(unique, self.buckets).gathered(self.got.get(3, {}), np.int64)[inverse]
+    # Contexts
+
+    def level(self, words: int) -> Level:
+        """Contexts of that many words. Each level stands on the counts of the one below: a gram is the next token's context."""
+        while len(self.levels) < words:
+            n = len(self.levels)
+            if n:
+                below = self.levels[-1]
+                digest, seen = np.zeros(len(self.token), np.uint64), np.zeros(len(self.token), np.int64)
+                inside = below.at + 1 < len(self.token)
+                then = below.at[inside] + 1
+                digest[then] = below.grams[below.inverse[inside]]
+                seen[then] = self.counts(n)[inside]
+                seen[self.firsts] = 0
+            else:
+                digest, seen = self.digest[self.before], self.seen[self.before]
+            at = np.flatnonzero(seen >= max(2, self.tree.least[n]))
+            grams, inverse = np.unique(mix(digest[at] * _THEN + self.digest[self.token[at]]), return_inverse=True)
+            self.levels.append(Level(at, digest[at], seen[at], grams, inverse))
+        return self.levels[words - 1]
+
+    def counts(self, words: int) -> np.ndarray:
+        """How often training has the token after its context, for each place of the level."""
+        level = self.level(words)
+        return Deal(level.grams, self.buckets).gathered(self.got.get(words + 1, {}), np.int64)[level.inverse]
+
+    def ask_grams(self, words: int) -> Iterator[tuple[int, bytes]]:
+        level = self.level(words)
+        n = np.bincount(level.inverse, self.trains[level.at], len(level.grams)).astype(np.uint32)
+        return Deal(level.grams, self.buckets).shares(*_low(level.grams), n)
+
+    def smoothed(self, less: int) -> Iterator[tuple[Level, np.ndarray, np.ndarray]]:
+        """For each level from the shortest contexts: P(token | context) and P(token | shorter context) at its places, with
+        ``less`` occurrences of each token left out."""
+        m, below = self.tree.weight, self.root.copy()
+        for words in range(1, len(self.tree.least) + 1):
+            level = self.level(words)
+            parent = below[level.at]
+            longer = (self.counts(words) - less + m * parent) / (level.seen - less + m)
+            below[level.at] = longer
+            yield level, longer, parent
 
     # Divergence tests
 
     @cached_property
-    def tested(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The contexts of the block, of one word and of two, and where each token's are among them."""
-        unique, inverse = np.unique(np.concatenate([self.digest[self.before[self.one]], self.contexts]), return_inverse=True)
-        return unique, inverse[: len(self.one)], inverse[len(self.one) :]
+    def tested(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The contexts of the block, and for each level where its places' are among them."""
+        levels = [self.level(n + 1) for n in range(len(self.tree.least))]
+        unique, inverse = np.unique(np.concatenate([self.digest[:0], *(x.context for x in levels)]), return_inverse=True)
+        return unique, np.split(inverse, np.cumsum([len(x.at) for x in levels])[:-1]) if levels else []
 
     def ask_gains(self) -> Iterator[tuple[int, bytes]]:
         """What each context's next-symbol distribution gains over the shorter context's, on this block's training tokens."""
-        m = self.tree.weight
-        unique, of_one, of_two = self.tested
-        root = self.root[self.one]
-        seen, after = self.seen[self.before[self.one]] - 1, self.pair_counts[self.one] - 1
-        longer = (after + m * root) / (seen + m)
-        trains = self.trains[self.one]
-        gains = np.bincount(of_one[trains], np.log(longer[trains] / root[trains]), len(unique))
-        parent = np.zeros(len(self.token))
-        parent[self.one] = longer
-        parent = np.where(parent > 0, parent, self.root)[self.two]
-        longer = (self.triple_counts - 1 + m * parent) / (self.context[self.two] - 1 + m)
-        trains = self.trains[self.two]
-        gains += np.bincount(of_two[trains], np.log(longer[trains] / parent[trains]), len(unique))
+        unique, of = self.tested
+        gains = np.zeros(len(unique))
+        for (level, longer, parent), context in zip(self.smoothed(1), of):
+            trains = self.trains[level.at]
+            gains += np.bincount(context[trains], np.log(longer[trains] / parent[trains]), len(unique))
         return Deal(unique, self.buckets).shares(*_low(unique), gains.astype(np.float32))
 
     def scores(self) -> pa.Table:
-        m = self.tree.weight
-        unique, of_one, of_two = self.tested
-        kept = Deal(unique, self.buckets).gathered(self.got.get(4, {}), np.uint8) > 0
+        unique, of = self.tested
+        kept = Deal(unique, self.buckets).gathered(self.got.get(len(self.tree.least) + 2, {}), np.uint8) > 0
         p = self.root.copy()
-        one = np.zeros(len(self.token))
-        one[self.one] = (self.pair_counts[self.one] + m * self.root[self.one]) / (self.seen[self.before[self.one]] + m)
-        some = self.one[kept[of_one]]
-        p[some] = one[some]
-        some = kept[of_two]
-        at = self.two[some]
-        parent = np.where(one > 0, one, self.root)[at]
-        p[at] = (self.triple_counts[some] + m * parent) / (self.context[at] + m)
+        for (level, longer, _), context in zip(self.smoothed(0), of):
+            some = kept[context]
+            p[level.at[some]] = longer[some]
         total = lambda x: np.add.reduceat(x, self.firsts) if self.texts else x[:0]
         b = self.block
         return pa.table(
@@ -231,14 +209,13 @@ def scored(docs: DataFrame, tree: Tree = Tree(), id_col: str = "doc_id", text_co
     """The log10 probability of every whole text, by a suffix tree learned from the texts outside the held-out fold.
 
     Tokens are lower-case words (A-Z), and one end per text. The root gives (c + 0.5) / (N + 0.5 (V + 1)), where all unknown words
-    share one probability. A context of one word (or the beginning) needs a probability of one in a
-    million tokens, one of two words a tenth of that, and both two occurrences. A context stays if, on the
-    training tokens and each left out in turn, its smoothed next-symbol distribution beats that of the context one word shorter by 3
+    share one probability. A context of one word (or the beginning) needs 20 occurrences, one of two words 4
+    (``tree.least``, which also sets the depth). A context stays if, on the training tokens and each left out in turn, its smoothed next-symbol distribution beats that of the context one word shorter by 3
     nats; a context that stays keeps its suffixes for smoothing: P(x|s) = (c(sx) + m P(x|shorter s)) / (c(s) + m). A token is scored
     in its longest context that stays.
 
-    Counts and gains are sums over all blocks (see ``blocks``): a block asks once for each of its distinct words, pairs, triples and
-    contexts, so a frequent one costs one number per block. Words are told apart by 64-bit digests, pairs and longer by 40 bits and the bucket:
+    Counts and gains are sums over all blocks (see ``blocks``): a block asks once for each of its distinct words, grams and
+    contexts, so a frequent one costs one number per block. Words are told apart by 64-bit digests, longer grams by 40 bits and the bucket:
     about one pair in a million shares its count with another.
 
     Returns one row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``. Null text:
@@ -249,20 +226,19 @@ def scored(docs: DataFrame, tree: Tree = Tree(), id_col: str = "doc_id", text_co
     blocks = packed(docs, tree.block_bytes, id_col, text_col)
     texts = docs.where(~held_out(F.col(f"`{id_col}`"), tree.folds, tree.fold)).count()
 
-    def ask(what: str, totals: Totals | None):
-        return lambda block, got: getattr(Tokens(block, tree, buckets, totals, got), what)()
+    def ask(what: str, totals: Totals | None, *more: int):
+        return lambda block, got: getattr(Tokens(block, tree, buckets, totals, got), what)(*more)
 
-    words, sums = answered(asked(blocks, ask("ask_words", None)), [np.uint64, np.int64], _word_sums, 1, _word_totals)
+    told, sums = answered(asked(blocks, ask("ask_words", None)), [np.uint64, np.int64], _word_sums, 1, _word_totals)
     totals = Totals(sum(s[0] for s in sums) + texts, sum(s[1] for s in sums) + (texts > 0), texts)
-    pairs, _ = answered(asked(blocks, ask("ask_pairs", totals), words), PAIRS, _sums, 2)
-    told = words.unionByName(pairs)
-    triples, _ = answered(asked(blocks, ask("ask_triples", totals), told), PAIRS, _sums, 3)
-    told = told.unionByName(triples)
+    depth = len(tree.least)
+    for n in range(1, depth + 1):
+        told = told.unionByName(answered(asked(blocks, ask("ask_grams", totals, n), told), GRAMS, _sums, n + 1)[0])
     gain = tree.gain
 
     def stays(low: np.ndarray, high: np.ndarray, gains: np.ndarray, _: np.ndarray) -> np.ndarray:
         unique, inverse = np.unique(_told(low, high), return_inverse=True)
         return (np.bincount(inverse, gains, len(unique)) > gain).astype(np.uint8)[inverse]
 
-    gains, _ = answered(asked(blocks, ask("ask_gains", totals), told), GAINS, stays, 4)
+    gains, _ = answered(asked(blocks, ask("ask_gains", totals), told), GAINS, stays, depth + 2)
     return with_answers(blocks, ask("scores", totals), SCHEMA, told.unionByName(gains))

@@ -77,46 +77,47 @@ def test_suffix_tree_base(spark, block_bytes):
 def brute_tree(rows, tree):
     """The whole model with dictionaries."""
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % tree.folds == tree.fold
-    train = [["^", *words(t), "$"] for i, t in rows if not held(i)]
+    train = [("^", *words(t), "$") for i, t in rows if not held(i)]
+    depth = len(tree.least)
+    count = collections.Counter(s[a : a + k] for s in train for k in range(1, depth + 2) for a in range(len(s) - k + 1))
     c1 = collections.Counter(w for s in train for w in s[1:])
-    c2 = collections.Counter(p for s in train for p in zip(s, s[1:]))
-    c3 = collections.Counter(p for s in train for p in zip(s, s[1:], s[2:]))
     n, v, m = sum(c1.values()), len(c1), tree.weight
-    least = [max(2, math.ceil(p * n)) for p in tree.share]
-    context = lambda w: len(train) if w == "^" else c1[w]
     root = lambda x: (c1[x] + 0.5) / (n + 0.5 * (v + 1))
 
-    def one(a, x, less=0):
-        return (c2[a, x] - less + m * root(x)) / (context(a) - less + m) if context(a) >= least[0] else root(x)
+    def contexts(s, j):
+        """Frequent contexts of the token, shortest first; each needs its own beginnings to be frequent."""
+        fine = lambda c: all(count[c[:k]] >= max(2, tree.least[k - 1]) for k in range(1, len(c) + 1))
+        return [s[j - k : j] for k in range(1, min(j, depth) + 1) if fine(s[j - k : j])]
 
-    def two(a, b, x, less=0):
-        return (c3[a, b, x] - less + m * one(b, x, less)) / (c2[a, b] - less + m)
+    def chain(s, j, less):
+        p, out = root(s[j]), []
+        for c in contexts(s, j):
+            longer = (count[(*c, s[j])] - less + m * p) / (count[c] - less + m)
+            out.append((c, longer, p))
+            p = longer
+        return out
 
-    has_two = lambda a, b: context(a) >= least[0] and c2[a, b] >= least[1]
     gain = collections.Counter()
     for s in train:
         for j in range(1, len(s)):
-            if context(s[j - 1]) >= least[0]:
-                gain[s[j - 1],] += math.log(one(s[j - 1], s[j], 1) / root(s[j]))
-            if j > 1 and has_two(s[j - 2], s[j - 1]):
-                gain[s[j - 2], s[j - 1]] += math.log(two(s[j - 2], s[j - 1], s[j], 1) / one(s[j - 1], s[j], 1))
+            for c, longer, parent in chain(s, j, 1):
+                gain[c] += math.log(longer / parent)
     out = []
     for i, t in rows:
-        s, total = ["^", *words(t), "$"], 0.0
+        s, total = ("^", *words(t), "$"), 0.0
         for j in range(1, len(s)):
             p = root(s[j])
-            if context(s[j - 1]) >= least[0] and gain[s[j - 1],] > tree.gain:
-                p = one(s[j - 1], s[j])
-            if j > 1 and has_two(s[j - 2], s[j - 1]) and gain[s[j - 2], s[j - 1]] > tree.gain:
-                p = two(s[j - 2], s[j - 1], s[j])
+            for c, longer, _ in chain(s, j, 0):
+                p = longer if gain[c] > tree.gain else p
             total += math.log10(p)
         out.append((i, round(total, 4)))
     return collections.Counter(out)
 
 
-def test_suffix_tree_scores(spark):
+@pytest.mark.parametrize("least, gain", [((3, 2), 0.5), ((2, 2, 2), 0.3), ((9,), 0.5), ((4, 3, 2, 2), 3.0)])
+def test_suffix_tree_scores(spark, least, gain):
     docs = documents(spark).cache()
-    tree = suffix_tree.Tree(share=(0.001, 0.0004), gain=0.5, block_bytes=900)
+    tree = suffix_tree.Tree(least=least, gain=gain, block_bytes=900)
     got = collections.Counter((r.doc_id, round(r.score, 4)) for r in suffix_tree.scored(docs, tree).collect())
     assert got == brute_tree(plain(docs), tree)
 
