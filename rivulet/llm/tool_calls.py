@@ -13,6 +13,9 @@ from rivulet.llm.common import stored
 #: A tool's arguments: property -> {"type", "required", "least", "most", "enum"}; lengths of strings, values of numbers.
 Schema = Mapping[str, Mapping[str, Any]]
 
+KEY = ["conv_id", "call_id"]
+FIELDS = ["conv_id", "turn", "role", "kind", "call_id", "parent_id", "name", "arguments", "content"]
+
 #: How the type of a parsed JSON value begins, by the type of a schema.
 _TYPES = {
     "string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL"],
@@ -68,51 +71,55 @@ def problems(name: Column, arguments: Column, schemas: Mapping[str, Schema]) ->
 
 
 def depths(calls: DataFrame) -> DataFrame:
-    """``call_id, depth`` from distinct ``call_id`` with ``parent_id``: 1 without a parent, one more than the parent otherwise; null on
-    and behind a cycle.
+    """``conv_id, call_id, depth`` from distinct ``conv_id, call_id`` with ``parent_id``: 1 without a parent in the same conversation, one
+    more than the parent otherwise; null on and behind a cycle. Null ids have no place here.
 
-    Pointers double: each round every call jumps to the pointer of what it points at, so the rounds are the logarithm of
-    the longest chain and no conversation is gathered in one place.
+    Pointers double: each round every open call jumps to the pointer of what it points at, so the rounds are the logarithm of
+    the longest chain and no conversation is gathered in one place. Calls that have reached the beginning of their chain are not shuffled again.
     """
-    known = calls.select(F.col("call_id").alias("parent_id"))
-    kept = calls.join(known, "parent_id", "left_semi").select("call_id", F.col("parent_id").alias("next"))
-    ends = calls.join(kept.select("call_id"), "call_id", "left_anti").select("call_id", F.lit(None).cast("string").alias("next"))
-    now = stored(ends.withColumn("depth", F.lit(1)).unionByName(kept.withColumn("depth", F.lit(1))), "call-depths")
+    known = calls.select("conv_id", F.col("call_id").alias("parent_id"), F.lit(True).alias("there"))
+    started = calls.where("parent_id IS NOT NULL").join(known, ["conv_id", "parent_id"], "left")
+    started = started.select(*KEY, F.when(F.col("there"), F.col("parent_id")).alias("next"))
+    started = started.unionByName(calls.where("parent_id IS NULL").select(*KEY, F.lit(None).cast("string").alias("next")))
+    now = stored(started.withColumn("depth", F.lit(1)), "call-depths")
     rounds, most = 0, now.count().bit_length() + 1
     while rounds < most and not now.where("next IS NOT NULL").isEmpty():
-        onto = now.select(F.col("call_id").alias("next"), F.col("next").alias("then"), F.col("depth").alias("more"))
-        now = stored(
-            now.join(onto, "next", "left").select(
-                "call_id", F.col("then").alias("next"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")
-            ),
-            "call-depths",
-        )
+        onto = now.select("conv_id", F.col("call_id").alias("next"), F.col("next").alias("then"), F.col("depth").alias("more"))
+        moved = now.where("next IS NOT NULL").join(onto, ["conv_id", "next"])
+        moved = moved.select(*KEY, F.col("then").alias("next"), (F.col("depth") + F.col("more")).alias("depth"))
+        now = stored(now.where("next IS NULL").unionByName(moved), "call-depths")
         rounds += 1
-    return now.select("call_id", F.when(F.col("next").isNull(), F.col("depth")).alias("depth"))
+    return now.select(*KEY, F.when(F.col("next").isNull(), F.col("depth")).alias("depth"))
 
 
 def linked(messages: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
     """Links, orders, checks and serialises the messages of conversations.
 
-    ``messages``: conv_id, turn, role, kind (``call``, ``result`` or anything else), call_id, parent_id (a call whose result this call uses),
-    name, arguments (JSON) and content. Calls and results meet in hash joins by call_id, which is told apart by conversation only if the
-    id says so.
+    ``messages``: conv_id, turn, role, kind (``call``, ``result`` or anything else), call_id, parent_id (a call of the same conversation whose
+    result this call uses), name, arguments (JSON) and content. Calls and results meet in hash joins by conversation and call_id.
 
     Returns one row per message: conv_id, turn, role, call_id, ``level`` (sorting by level, then turn, puts every call before its result and behind
     the results that it uses: 0 for plain messages, 2 * depth - 1 for calls, 2 * depth for results; null on a cycle
     and for results without a call), ``linked`` (a call with a result or a result with a call; null for plain messages), ``problems`` (of a call's arguments) and ``json`` (canonical:
     sorted keys, no white space).
 
-    Null ids link with nothing. A call id that several rows have is one call, that of the smallest parent id; all its rows get
-    the same level. Any number of results may answer a call. Arguments that are no JSON object are a problem and are serialised as
-    text. Null texts: null. Repeated rows stay; empty table: no rows; extra columns are left behind.
+    Null conversations and call ids link with nothing: such a call has level 1, such a result none. A call id that several rows of a conversation
+    have (ties, repeated rows) is one call, that of the smallest parent id; all its rows get
+    the same level, and repeated rows stay. Any number of results may answer a call. Arguments that are no JSON object, or name a key twice, are a problem;
+    what is no JSON is serialised as text. Null texts: null; empty and very long texts are texts like any other. Empty table: no rows. Extra
+    columns of any name are left behind.
     """
-    calls = messages.where((F.col("kind") == "call") & F.col("call_id").isNotNull()).groupBy("call_id").agg(F.min("parent_id").alias("parent_id"))
-    results = messages.where((F.col("kind") == "result") & F.col("call_id").isNotNull()).select("call_id").distinct().withColumn("has_result", F.lit(True))
-    known = depths(stored(calls, "calls")).withColumn("has_call", F.lit(True)).join(results, "call_id", "full")
-    rows = messages.join(known, "call_id", "left")
+    rows = messages.select(*(F.col(f"`{c}`") for c in FIELDS))
+    has_key = F.coalesce(F.col("kind").isin("call", "result"), F.lit(False)) & F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    keyed, apart = rows.where(has_key), rows.where(~has_key)
+    calls = keyed.where("kind = 'call'").groupBy(*KEY).agg(F.min("parent_id").alias("parent_id"))
+    results = keyed.where("kind = 'result'").select(*KEY).distinct().withColumn("has_result", F.lit(True))
+    known = depths(stored(calls, "calls")).withColumn("has_call", F.lit(True)).join(results, KEY, "full")
+    # rows without a key never enter a shuffle
+    nothing = {"depth": F.when(F.col("kind") == "call", 1), "has_call": F.lit(False), "has_result": F.lit(False)}
+    rows = keyed.join(known, KEY, "left").unionByName(apart.withColumns(nothing))
     call, result = F.col("kind") == "call", F.col("kind") == "result"
-    level = F.when(call, F.coalesce(F.col("depth"), F.when(F.col("call_id").isNull(), 1)) * 2 - 1).when(result, F.col("depth") * 2).otherwise(0)
+    level = F.when(call, F.col("depth") * 2 - 1).when(result, F.col("depth") * 2).otherwise(0)
     shown = F.coalesce(canonical(F.col("arguments")), quoted(F.col("arguments")))
     as_call = F.concat(
         F.lit('{"arguments":'), shown, F.lit(',"id":'), quoted(F.col("call_id")), F.lit(',"name":'), quoted(F.col("name")), F.lit(',"role":'), quoted(F.col("role")), F.lit("}")
