@@ -140,14 +140,24 @@ class Deal:
         for b in np.flatnonzero(np.diff(self.cuts)).tolist():
             yield b, squeezed(b"".join(c[self.cuts[b] : self.cuts[b + 1]].tobytes() for c in dealt))
 
-    def gathered(self, answers: dict[int, bytes], kind: type) -> np.ndarray:
-        """The answers in the order of the digests."""
+    def gathered(self, answers: dict[int, bytes], kind: type, planes: bool = False) -> np.ndarray:
+        """The answers in the order of the digests; ``planes`` as in ``answered``."""
         out = np.zeros(len(self.bucket), kind)
         for b in np.flatnonzero(np.diff(self.cuts)).tolist():
-            out[self.order[self.cuts[b] : self.cuts[b + 1]]] = np.frombuffer(opened(answers[b]), kind)
+            data = opened(answers[b])
+            out[self.order[self.cuts[b] : self.cuts[b + 1]]] = unplaned(data, kind) if planes else np.frombuffer(data, kind)
         return out
 
 
+def planed(numbers: np.ndarray) -> bytes:
+    """All first bytes of the numbers, then all second ones and so on: small numbers leave long runs of zeros."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def unplaned(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind)[:, 0]
+
+
 def squeezed(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(data)
 
@@ -201,12 +211,12 @@ def with_answers(blocks: DataFrame, run: Callable[[Block, dict], pa.Table], sche
 
 def answered(
     questions: DataFrame, kinds: list[type], answer: Callable[..., np.ndarray], number: int,
-    summary: Callable[..., list[int]] | None = None,
+    summary: Callable[..., list[int]] | None = None, planes: bool = False,
 ) -> tuple[DataFrame, list[list[int]]]:
     """Each bucket's answers, written once, and the buckets' summaries (a few numbers each).
 
     ``answer`` and ``summary`` get the columns of all blocks' digests in a bucket, then the block that each came from;
-    ``answer`` returns one number per digest.
+    ``answer`` returns one number per digest, which ``planes`` writes byte by byte.
     """
 
     def group(rows: pa.Table) -> pa.Table:
@@ -217,7 +227,7 @@ def answered(
         asker = np.repeat(np.arange(len(parts)), sizes)
         out = np.split(answer(*joined, asker), np.cumsum(sizes)[:-1])
         block, bucket = rows.column("block").to_pylist(), rows.column("bucket").to_pylist()
-        payload = [squeezed(x.tobytes()) for x in out]
+        payload = [squeezed(planed(x) if planes else x.tobytes()) for x in out]
         if summary:
             block, bucket = [*block, -1], [*bucket, bucket[0]]
             payload.append(squeezed(np.array(summary(*joined, asker), np.int64).tobytes()))

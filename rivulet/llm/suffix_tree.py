@@ -5,9 +5,10 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,8 +19,9 @@ from rivulet.llm.words import Words
 SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 _END, _BEGIN = mix(np.array([3, 5], np.uint64))
 _THEN = np.uint64(0xC2B2AE3D27D4EB4F)
-GRAMS = [np.uint32, np.uint8, np.uint32]
-GAINS = [np.uint32, np.uint8, np.float32]
+_KEY, _LOW = 5, np.uint64((1 << 40) - 1)
+#: Columns of a payload, all of them bytes: of a key, of what a word's digest has besides, of a count, of a gain.
+WORDS, GRAMS, GAINS = ([np.uint8] * (_KEY + n) for n in (3 + 8, 4, 3))
 
 
 @dataclass(frozen=True)
@@ -47,23 +49,60 @@ class Totals:
 
 @dataclass(frozen=True)
 class Level:
-    """The tokens of a block that have a frequent context of some length: their places, the digests of their contexts, how often
-    training has these, and the distinct grams (context and token) with where each place's is among them."""
+    """The tokens of a block that have a frequent context of some length: their places, the number of each one's context, the contexts'
+    digests and training counts, and the distinct grams (context and token) with where each place's is among them."""
 
     at: np.ndarray
     context: np.ndarray
+    names: np.ndarray
     seen: np.ndarray
     grams: np.ndarray
     inverse: np.ndarray
 
 
-def _low(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """40 bits of a digest; the bits above have chosen the bucket."""
-    return digests.astype(np.uint32), (digests >> np.uint64(32)).astype(np.uint8)
+def _bytes(numbers: np.ndarray, most: int) -> list[np.ndarray]:
+    """The lower bytes of the numbers, a column each."""
+    parts = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1)
+    return [parts[:, i] for i in range(most)]
 
 
-def _told(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+def _number(parts: tuple[np.ndarray, ...]) -> np.ndarray:
+    out = np.zeros(len(parts[0]), np.uint64)
+    for i, part in enumerate(parts):
+        out |= part.astype(np.uint64) << np.uint64(8 * i)
+    return out
+
+
+def _in_order(digests: np.ndarray, buckets: int) -> np.ndarray:
+    """The order by bucket, then by the lower 40 bits, which tell digests of a bucket apart."""
+    order = np.argsort(digests & _LOW)
+    return order[np.argsort(Deal(digests[order], buckets).bucket.astype(np.min_scalar_type(buckets)), kind="stable")]
+
+
+def _distinct(digests: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct digests in that order, and where each digest is among them."""
+    code, unique = pd.factorize(digests)
+    order = _in_order(unique, buckets)
+    place = np.empty(len(unique), np.int64)
+    place[order] = np.arange(len(unique))
+    return unique[order], place[code]
+
+
+def _keys(deal: Deal, digests: np.ndarray) -> list[np.ndarray]:
+    """The lower 40 bits of each digest as steps from the one before in its bucket; digests are in the order above."""
+    low = digests & _LOW
+    steps = np.diff(low, prepend=np.uint64(0))
+    first = deal.cuts[:-1][np.diff(deal.cuts) > 0]
+    steps[first] = low[first]
+    return _bytes(steps, _KEY)
+
+
+def _told(parts: tuple[np.ndarray, ...], asker: np.ndarray) -> np.ndarray:
+    """The lower 40 bits again; each asker's steps begin anew."""
+    steps = _number(parts)
+    sums = np.cumsum(steps)
+    first = np.flatnonzero(np.diff(asker, prepend=-1))
+    return sums - np.repeat((sums - steps)[first], np.diff(first, append=len(steps)))
 
 
 class Tokens:
@@ -72,9 +111,10 @@ class Tokens:
     def __init__(self, block: Block, tree: Tree, buckets: int, totals: Totals | None, got: dict) -> None:
         self.block, self.tree, self.buckets, self.totals, self.got = block, tree, buckets, totals, got
         self.levels: list[Level] = []
+        self.counted: dict[int, np.ndarray] = {}
         words = Words(block)
         self.texts = len(words.counts)
-        self.unique, uid = np.unique(words.hash, return_inverse=True)
+        self.unique, uid = _distinct(words.hash, buckets)
         self.known_words = len(self.unique)
         at = np.arange(len(uid)) + words.doc
         self.lens = words.counts + 1
@@ -93,12 +133,13 @@ class Tokens:
 
     def ask_words(self) -> Iterator[tuple[int, bytes]]:
         n = np.bincount(self.token[self.trains], minlength=self.known_words)[: self.known_words]
-        return Deal(self.unique, self.buckets).shares(self.unique, n.astype(np.int64))
+        deal = Deal(self.unique, self.buckets)
+        return deal.shares(*_keys(deal, self.unique), *_bytes(self.unique >> np.uint64(40), 3), *_bytes(n.astype(np.int64), 8))
 
     @cached_property
     def seen(self) -> np.ndarray:
         """Training count of each distinct word, then of the end and the beginning."""
-        n = Deal(self.unique, self.buckets).gathered(self.got.get(1, {}), np.int64)
+        n = Deal(self.unique, self.buckets).gathered(self.got.get(1, {}), np.int64, planes=True)
         return np.concatenate([n, [self.totals.texts] * 2])
 
     @cached_property
@@ -114,29 +155,29 @@ class Tokens:
         while len(self.levels) < words:
             n = len(self.levels)
             if n:
-                below = self.levels[-1]
-                digest, seen = np.zeros(len(self.token), np.uint64), np.zeros(len(self.token), np.int64)
-                inside = below.at + 1 < len(self.token)
-                then = below.at[inside] + 1
-                digest[then] = below.grams[below.inverse[inside]]
-                seen[then] = self.counts(n)[inside]
-                seen[self.firsts] = 0
+                below, names, seen = self.levels[-1], self.levels[-1].grams, self.gram_counts(n)
+                follows = ~np.isin(below.at + 1, np.append(self.firsts, len(self.token)), assume_unique=True)
+                at, context = below.at[follows] + 1, below.inverse[follows]
             else:
-                digest, seen = self.digest[self.before], self.seen[self.before]
-            at = np.flatnonzero(seen >= max(2, self.tree.least[n]))
-            grams, inverse = np.unique(mix(digest[at] * _THEN + self.digest[self.token[at]]), return_inverse=True)
-            self.levels.append(Level(at, digest[at], seen[at], grams, inverse))
+                at, context, names, seen = np.arange(len(self.token)), self.before, self.digest, self.seen
+            fine = seen[context] >= max(2, self.tree.least[n])
+            at, context = at[fine], context[fine]
+            grams = _distinct(mix(names[context] * _THEN + self.digest[self.token[at]]), self.buckets)
+            self.levels.append(Level(at, context, names, seen[context], *grams))
         return self.levels[words - 1]
 
-    def counts(self, words: int) -> np.ndarray:
-        """How often training has the token after its context, for each place of the level."""
-        level = self.level(words)
-        return Deal(level.grams, self.buckets).gathered(self.got.get(words + 1, {}), np.int64)[level.inverse]
+    def gram_counts(self, words: int) -> np.ndarray:
+        """How often training has each gram of the level."""
+        if words not in self.counted:
+            deal = Deal(self.level(words).grams, self.buckets)
+            self.counted[words] = deal.gathered(self.got.get(words + 1, {}), np.int64, planes=True)
+        return self.counted[words]
 
     def ask_grams(self, words: int) -> Iterator[tuple[int, bytes]]:
         level = self.level(words)
         n = np.bincount(level.inverse, self.trains[level.at], len(level.grams)).astype(np.uint32)
-        return Deal(level.grams, self.buckets).shares(*_low(level.grams), n)
+        deal = Deal(level.grams, self.buckets)
+        return deal.shares(*_keys(deal, level.grams), *_bytes(n, 4))
 
     def smoothed(self, less: int) -> Iterator[tuple[Level, np.ndarray, np.ndarray]]:
         """For each level from the shortest contexts: P(token | context) and P(token | shorter context) at its places, with
@@ -145,7 +186,7 @@ class Tokens:
         for words in range(1, len(self.tree.least) + 1):
             level = self.level(words)
             parent = below[level.at]
-            longer = (self.counts(words) - less + m * parent) / (level.seen - less + m)
+            longer = (self.gram_counts(words)[level.inverse] - less + m * parent) / (level.seen - less + m)
             below[level.at] = longer
             yield level, longer, parent
 
@@ -154,18 +195,29 @@ class Tokens:
     @cached_property
     def tested(self) -> tuple[np.ndarray, list[np.ndarray]]:
         """The contexts of the block, and for each level where its places' are among them."""
-        levels = [self.level(n + 1) for n in range(len(self.tree.least))]
-        unique, inverse = np.unique(np.concatenate([self.digest[:0], *(x.context for x in levels)]), return_inverse=True)
-        return unique, np.split(inverse, np.cumsum([len(x.at) for x in levels])[:-1]) if levels else []
+        names, of, size = [self.digest[:0]], [], 0
+        for n in range(len(self.tree.least)):
+            level = self.level(n + 1)
+            used = np.bincount(level.context, minlength=len(level.names)) > 0
+            of.append((np.cumsum(used) - 1 + size)[level.context])
+            names.append(level.names[used])
+            size += len(names[-1])
+        names = np.concatenate(names)
+        order = _in_order(names, self.buckets)
+        place = np.empty(size, np.int64)
+        place[order] = np.arange(size)
+        return names[order], [place[x] for x in of]
 
     def ask_gains(self) -> Iterator[tuple[int, bytes]]:
-        """What each context's next-symbol distribution gains over the shorter context's, on this block's training tokens."""
+        """What each context's next-symbol distribution gains over the shorter context's, on this block's training tokens, as the
+        upper 24 bits of a float."""
         unique, of = self.tested
         gains = np.zeros(len(unique))
         for (level, longer, parent), context in zip(self.smoothed(1), of):
             trains = self.trains[level.at]
             gains += np.bincount(context[trains], np.log(longer[trains] / parent[trains]), len(unique))
-        return Deal(unique, self.buckets).shares(*_low(unique), gains.astype(np.float32))
+        deal = Deal(unique, self.buckets)
+        return deal.shares(*_keys(deal, unique), *_bytes((gains.astype(np.float32).view(np.uint32) + np.uint32(128)) >> np.uint32(8), 3))
 
     def scores(self) -> pa.Table:
         unique, of = self.tested
@@ -189,20 +241,35 @@ class Tokens:
         )
 
 
-def _word_sums(digests: np.ndarray, n: np.ndarray, _: np.ndarray) -> np.ndarray:
-    _, inverse = np.unique(digests, return_inverse=True)
-    out = np.zeros(len(digests), np.int64)
-    np.add.at(out, inverse, n)
-    return out[inverse]
+def _words(parts: tuple[np.ndarray, ...], asker: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digest and count of each word asked about."""
+    digest = _told(parts[:_KEY], asker) | (_number(parts[_KEY : _KEY + 3]) << np.uint64(40))
+    return digest, _number(parts[_KEY + 3 :]).astype(np.int64)
+
 
+def _word_sums(*parts: np.ndarray) -> np.ndarray:
+    digests, n = _words(parts[:-1], parts[-1])
+    code, unique = pd.factorize(digests)
+    out = np.zeros(len(unique), np.int64)
+    np.add.at(out, code, n)
+    return out[code]
 
-def _word_totals(digests: np.ndarray, n: np.ndarray, _: np.ndarray) -> list[int]:
+
+def _word_totals(*parts: np.ndarray) -> list[int]:
+    digests, n = _words(parts[:-1], parts[-1])
     return [int(n.sum()), len(np.unique(digests[n > 0]))]
 
 
-def _sums(low: np.ndarray, high: np.ndarray, n: np.ndarray, _: np.ndarray) -> np.ndarray:
-    unique, inverse = np.unique(_told(low, high), return_inverse=True)
-    return np.bincount(inverse, n, len(unique)).astype(np.int64)[inverse]
+def _sums(*parts: np.ndarray) -> np.ndarray:
+    code, unique = pd.factorize(_told(parts[:_KEY], parts[-1]))
+    return np.bincount(code, _number(parts[_KEY:-1]), len(unique)).astype(np.int64)[code]
+
+
+def _stay(gain: float, *parts: np.ndarray) -> np.ndarray:
+    """Whether all blocks' gains of a context add up to more than ``gain``."""
+    gains = (_number(parts[_KEY:-1]).astype(np.uint32) << np.uint32(8)).view(np.float32)
+    code, unique = pd.factorize(_told(parts[:_KEY], parts[-1]))
+    return (np.bincount(code, gains, len(unique)) > gain).astype(np.uint8)[code]
 
 
 def scored(docs: DataFrame, tree: Tree = Tree(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,16 +296,10 @@ def scored(docs: DataFrame, tree: Tree = Tree(), id_col: str = "doc_id", text_co
     def ask(what: str, totals: Totals | None, *more: int):
         return lambda block, got: getattr(Tokens(block, tree, buckets, totals, got), what)(*more)
 
-    told, sums = answered(asked(blocks, ask("ask_words", None)), [np.uint64, np.int64], _word_sums, 1, _word_totals)
+    told, sums = answered(asked(blocks, ask("ask_words", None)), WORDS, _word_sums, 1, _word_totals, planes=True)
     totals = Totals(sum(s[0] for s in sums) + texts, sum(s[1] for s in sums) + (texts > 0), texts)
     depth = len(tree.least)
     for n in range(1, depth + 1):
-        told = told.unionByName(answered(asked(blocks, ask("ask_grams", totals, n), told), GRAMS, _sums, n + 1)[0])
-    gain = tree.gain
-
-    def stays(low: np.ndarray, high: np.ndarray, gains: np.ndarray, _: np.ndarray) -> np.ndarray:
-        unique, inverse = np.unique(_told(low, high), return_inverse=True)
-        return (np.bincount(inverse, gains, len(unique)) > gain).astype(np.uint8)[inverse]
-
-    gains, _ = answered(asked(blocks, ask("ask_gains", totals), told), GAINS, stays, depth + 2)
+        told = told.unionByName(answered(asked(blocks, ask("ask_grams", totals, n), told), GRAMS, _sums, n + 1, planes=True)[0])
+    gains, _ = answered(asked(blocks, ask("ask_gains", totals), told), GAINS, partial(_stay, tree.gain), depth + 2)
     return with_answers(blocks, ask("scores", totals), SCHEMA, told.unionByName(gains))
