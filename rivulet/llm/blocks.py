@@ -151,7 +151,7 @@ class Deal:
 
 def planed(numbers: np.ndarray) -> bytes:
     """All first bytes of the numbers, then all second ones and so on: small numbers leave long runs of zeros."""
-    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.dtype.itemsize).T.tobytes()
 
 
 def unplaned(data: bytes, kind: type) -> np.ndarray:

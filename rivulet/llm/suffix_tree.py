@@ -62,7 +62,7 @@ class Level:
 
 def _bytes(numbers: np.ndarray, most: int) -> list[np.ndarray]:
     """The lower bytes of the numbers, a column each."""
-    parts = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1)
+    parts = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.dtype.itemsize)
     return [parts[:, i] for i in range(most)]
 
 
