@@ -190,7 +190,7 @@ def fitted(
 
     The chunk network learns on chunks spread over the whole texts of the sample, then the document level on all of their
     chunks. What reaches the driver is bounded by the sample: rows * 2 * chunks chunks and three numbers a row. None
-    without labels. Documents whose labels disagree and null labels or ids are left out.
+    without labels. Documents whose labels disagree and null labels or ids are left out; of the texts of a repeated id the least one is learned from.
     """
     known = (
         labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
@@ -208,9 +208,8 @@ def fitted(
         some = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(how.rows)
         picked = some if picked is None else picked.unionByName(some)
     # at most 2 * how.rows rows of two numbers
-    sample = stored(
-        id_and_text(docs, id_col, text_col).join(F.broadcast(stored(picked, "quality-picked")), "id").dropDuplicates(["id"]), "quality-sample"
-    )
+    sample = id_and_text(docs, id_col, text_col).join(F.broadcast(stored(picked, "quality-picked")), "id")
+    sample = stored(sample.groupBy("id", "label").agg(F.min("text").alias("text")), "quality-sample")
     label_of = {r.id: float(r.label) for r in sample.select("id", "label").collect()}
     if not label_of:
         return None
@@ -257,7 +256,11 @@ def accepted(docs: DataFrame, network: Network | None, least: float = 0.5, text_
 def classified(
     docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, shape: Shape = Shape(), how: Training = Training(),
 ) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every document; learns only from labelled rows outside the fold."""
+    """``doc_id, held_out, score, predicted`` for every document; learns only from labelled rows outside the fold.
+
+    Nulls, empty texts and repeated rows as in ``scored``; long texts are scored whole, equal texts equally. Empty table: no rows;
+    without labels all scores are 0.5. Extra columns of any name play no part.
+    """
     network = fitted(docs, labels.where(~held_out(F.col("doc_id"), folds, fold)), shape, how)
     return scored(docs, network).select(
         F.col("id").alias("doc_id"),
