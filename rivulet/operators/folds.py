@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from datetime import timedelta
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -27,12 +26,14 @@ def user_aggregate(
     merge: Callable[[Accumulator, Accumulator], Accumulator],
     held: int = 100_000,
     shares: int = 64,
+    frame_rows: int = 10_000,
 ) -> DataFrame:
     """Fold ``value`` per key into an accumulator of integers, column ``accumulator``; a null comes to ``add`` as None.
 
     Map tasks fold as they read, holding at most ``held`` accumulators, so no
     group of rows is ever shuffled; then accumulators are merged, first within
-    ``shares`` per key, then per key.
+    ``shares`` per key, then per key, in order of their keys: a task holds one accumulator
+    and a frame of merged ones, and many small keys cost no more than their rows.
     """
     numbers = T.ArrayType(T.LongType())
     own_fields = [df.schema[k] for k in keys]
@@ -44,35 +45,52 @@ def user_aggregate(
     key_fields = [given.schema[k] for k in keys]
     partial_schema = T.StructType([*key_fields, T.StructField("accumulator", numbers)])
 
-    def frame(open_keys: dict[tuple, Accumulator]) -> pd.DataFrame:
-        out = pd.DataFrame(list(open_keys), columns=keys)
-        out["accumulator"] = list(open_keys.values())
+    def frame(groups: list[tuple], accumulators: list[Accumulator]) -> pd.DataFrame:
+        out = pd.DataFrame(groups, columns=keys)
+        out["accumulator"] = accumulators
         return out
 
+    def groups_of(pdf: pd.DataFrame) -> Iterator[tuple]:
+        return zip(*(pdf[k].tolist() for k in keys))
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_keys: dict[tuple, Accumulator] = {}
         for pdf in batches:
-            for group, rows in pdf.groupby(keys, sort=False, dropna=False):
-                group = group if isinstance(group, tuple) else (group,)
-                values = rows["_value"].tolist()
-                if rows["_absent"].any():
-                    values = [None if absent else v for v, absent in zip(values, rows["_absent"])]
-                open_keys[group] = reduce(add, values, open_keys.get(group) or create())
+            values = pdf["_value"].tolist()
+            if pdf["_absent"].any():
+                values = [None if absent else v for v, absent in zip(values, pdf["_absent"])]
+            for group, v in zip(groups_of(pdf), values):
+                open_keys[group] = add(open_keys[group] if group in open_keys else create(), v)
             if len(open_keys) >= held:
-                yield frame(open_keys)
+                yield frame(list(open_keys), list(open_keys.values()))
                 open_keys = {}
         if open_keys:
-            yield frame(open_keys)
+            yield frame(list(open_keys), list(open_keys.values()))
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        groups: list[tuple] = []
+        merged: list[Accumulator] = []
+        for pdf in batches:
+            for group, numbers in zip(groups_of(pdf), pdf["accumulator"]):
+                accumulator = [int(v) for v in numbers]
+                if groups and all(a == b or (a != a and b != b) for a, b in zip(group, groups[-1])):  # NaN is one key
+                    merged[-1] = merge(merged[-1], accumulator)
+                    continue
+                if len(groups) >= frame_rows:
+                    yield frame(groups, merged)
+                    groups, merged = [], []
+                groups.append(group)
+                merged.append(accumulator)
+        if groups:
+            yield frame(groups, merged)
 
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf.iloc[:1][keys].copy()
-        head["accumulator"] = [reduce(merge, ([int(v) for v in a] for a in pdf["accumulator"]))]
-        return head
+    def joined(rows: DataFrame, by: list[str]) -> DataFrame:
+        """Partial accumulators of equal ``by``, which lie side by side, merged."""
+        return rows.repartition(*by).sortWithinPartitions(*by).select(*keys, "accumulator").mapInPandas(join, partial_schema)
 
     partial = given.mapInPandas(fold, partial_schema)
     partial = partial.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(shares)))
-    merged = partial.groupBy(*keys, "_share").applyInPandas(join, partial_schema)
-    merged = merged.groupBy(*keys).applyInPandas(join, partial_schema)
+    merged = joined(joined(partial, [*keys, "_share"]), keys)
     return merged.select(*unpacked(merged, own_fields), "accumulator")
 
 

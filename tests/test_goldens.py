@@ -429,6 +429,22 @@ def test_user_aggregate_merges(spark):
     assert values(folded) == expected
 
 
+def test_user_aggregate_merges_many_keys(spark, capsys):
+    """Partial accumulators are not merged in a frame per key; keys go on over frames, null is one key."""
+    df = spark.range(600).repartition(5).selectExpr("double(if(id % 4 = 1, id % 8, null)) AS k", "id % 3 AS j", "id")
+    folded = folds.user_aggregate(
+        df, ["k", "j"], "id", lambda: [0, 0], lambda a, v: [a[0] + v, a[1] + 1], lambda a, b: [a[0] + b[0], a[1] + b[1]], held=2, frame_rows=1
+    )
+    folded.explain()
+    assert "FlatMapGroupsInPandas" not in capsys.readouterr().out
+    got = sorted((repr(k), j, a) for k, j, a in folded.collect())
+    want = {}
+    for i in range(600):
+        a = want.setdefault((repr(float(i % 8) if i % 4 == 1 else None), i % 3), [0, 0])
+        a[:] = [a[0] + i, a[1] + 1]
+    assert got == sorted((*k, a) for k, a in want.items()) and len(got) == 9
+
+
 def test_null_keys_of_snapshots_are_equal(spark):
     a = spark.createDataFrame([(None, 1), (1, 2)], "k bigint, n bigint")
     b = spark.createDataFrame([(None, 5), (2, 3)], "k bigint, n bigint")
