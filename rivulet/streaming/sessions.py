@@ -6,77 +6,69 @@ import math
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rivulet.functions.time import micros
+from rivulet.operators.keys import unpacked
+from rivulet.streaming.ordered import STORED, Rows, framed, keyed
 
 
 class _Sessions(StatefulProcessor):
-    """List state: the rows of sessions that are open. One timer, for the end of the oldest; a new row that moves
-    that end deletes the timer and sets another."""
+    """Of a bucket's keys. List state: the rows of sessions that are open, in pieces as they came. One timer, not after the end of the oldest
+    session; new rows that may end earlier delete it and set another."""
 
-    def __init__(self, gap: int, keys: list[str]):
-        self.gap, self.keys = gap, keys
+    def __init__(self, gap: int, keys: list[T.StructField], fields: list[T.StructField]):
+        self.gap, self.fields = gap, [*keys, *fields]
+        self.names = [f"at{f.name}" for f in keys]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "us bigint, value bigint")
+        self.rows = handle.getListState("rows", STORED)
         self.timer = handle.getValueState("timer", "ms bigint")
 
-    def _sessions(self, rows: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-        rows = sorted(rows)
-        out = [[row] for row in rows[:1]]
-        for before, row in zip(rows, rows[1:]):
-            if row[0] - before[0] >= self.gap:
-                out.append([])
-            out[-1].append(row)
-        return out
-
-    def _held(self) -> list[tuple[int, int]]:
-        return [(int(us), int(value)) for us, value in self.rows.get()] if self.rows.exists() else []
-
-    def _wake(self, sessions: list[list[tuple[int, int]]]) -> None:
-        wanted = math.ceil((sessions[0][-1][0] + self.gap) / 1000) if sessions else None
+    def _wake(self, us: int, only_earlier: bool) -> None:
+        wanted = math.ceil(us / 1000)
         current = int(self.timer.get()[0]) if self.timer.exists() else None
-        if wanted == current:
+        if wanted == current or (only_earlier and current is not None and current < wanted):
             return
         if current is not None:
             self.handle.deleteTimer(current)
-            self.timer.clear()
-        if wanted is not None:
-            self.handle.registerTimer(wanted)
-            self.timer.update((wanted,))
+        self.handle.registerTimer(wanted)
+        self.timer.update((wanted,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [row for pdf in rows for row in zip(pdf["at_us"].tolist(), pdf["at_value"].tolist())]
+        new = [Rows.of(pdf, self.names, ["at_us", "at_value"]) for pdf in rows if len(pdf)]
         if new:
-            held = self._held()
-            self.rows.appendList([(int(us), int(value)) for us, value in new])
-            self._wake(self._sessions(held + new))
+            self.rows.appendList([piece.stored() for piece in new])
+            self._wake(min(int(piece.flat[:, 0].min()) for piece in new) + self.gap, only_earlier=True)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        closed, kept = [], []
-        for session in self._sessions(self._held()):
-            (closed if session[-1][0] + self.gap <= now else kept).append(session)
-        rows = [row for session in kept for row in session]
-        if rows:
-            self.rows.put(rows)
+        held = self.rows.get() if self.rows.exists() else ()
+        rows = Rows.joined((Rows.loaded(*piece, width=3) for piece in held), width=3)
+        if not len(rows.flat):
+            return
+        rows.flat = rows.flat[np.lexsort((rows.flat[:, 1], rows.flat[:, 0], rows.flat[:, 2]))]
+        us, value, own = rows.flat.T
+        starts = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (us[1:] - us[:-1] >= self.gap)])
+        counts = np.diff(np.r_[starts, len(us)])
+        ends = us[starts + counts - 1]
+        closed = ends + self.gap <= now
+        left = rows.where(~np.repeat(closed, counts))
+        if len(left.flat):
+            self.rows.put([left.stored()])
+            self._wake(int(ends[~closed].min()) + self.gap, only_earlier=False)
         else:
             self.rows.clear()
-        self._wake(kept)
-        if closed:
-            made = pd.DataFrame(
-                [(s[0][0], s[-1][0], len(s), sum(v for _, v in s)) for s in closed],
-                columns=["first_us", "last_us", "count", "sum"],
-            )
-            for position, (name, value) in enumerate(zip(self.keys, key)):
-                made.insert(position, name, [value] * len(made))
-            yield made
+        columns = (us[starts], ends, counts, np.add.reduceat(value, starts), own[starts])
+        out = [(*rows.keys[place], *numbers) for *numbers, place in zip(*(c[closed].tolist() for c in columns))]
+        if out:
+            yield framed(out, self.fields)
 
     def close(self) -> None:
         pass
@@ -86,20 +78,22 @@ def sessions(df: DataFrame, keys: list[str], ts: str, value: Column, gap: timede
     """Count and sum per session: a key's rows with less than ``gap`` between one and the next.
 
     A session comes out, and its rows leave the state, once the watermark has passed its last row by ``gap``.
-    A key's open sessions lie in one task's list.
+    The open sessions of a bucket of keys lie in one task's list.
     """
     rows = df.withWatermark(ts, f"{micros(delay)} microseconds").select(
         *keys, ts, F.unix_micros(ts).alias("at_us"), value.cast("bigint").alias("at_value")
     )
+    own = [df.schema[k] for k in keys]
+    rows, key_fields = keyed(rows, keys)
     fields = T.StructType.fromDDL("first_us bigint, last_us bigint, count bigint, sum bigint").fields
-    out = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Sessions(micros(gap), keys),
-        outputStructType=T.StructType([*(rows.schema[k] for k in keys), *fields]),
+    out = rows.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=_Sessions(micros(gap), key_fields, fields),
+        outputStructType=T.StructType([*key_fields, *fields]),
         outputMode="append",
         timeMode="EventTime",
     )
     first, last = (F.timestamp_micros(c) for c in ("first_us", "last_us"))
-    return out.select(*keys, first.alias("first_ts"), last.alias("last_ts"), "count", "sum")
+    return out.select(*unpacked(out, own), first.alias("first_ts"), last.alias("last_ts"), "count", "sum")
 
 
 class _Unseen(StatefulProcessor):

@@ -5,15 +5,16 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from conftest import ordered, values
 from rivulet.operators import joins, machine, patterns, rolling, timers, windows
 from rivulet.sinks import keyed
 from rivulet.sinks import rows as row_sinks
 from rivulet.sources import files
-from rivulet.streaming import carried, jobs, run, sessions, steps
+from rivulet.streaming import carried, jobs, ordered as ordered_steps, run, sessions, steps
 
 EPOCH = datetime(1970, 1, 1)
 SCHEMA = "seq long, ms long, k string, kind string, v long"
@@ -215,6 +216,125 @@ def test_values_are_forgotten_after_a_time(spark, tmp_path):
             query.stop()
 
 
+class _Cell:
+    """Value and list state without a store."""
+
+    def __init__(self, store):
+        self.store, self.value = store, None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.store.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.store.calls += 1
+        self.value = value
+
+    put = update
+
+    def appendList(self, values):
+        self.update([*(self.value or []), *values])
+
+    def clear(self):
+        self.value = None
+
+
+class _Cells:
+    def __init__(self, store):
+        self.store, self.values = store, {}
+
+    def keys(self):
+        return list(self.values)
+
+    def getValue(self, key):
+        self.store.calls += 1
+        return self.values[key]
+
+    def updateValue(self, key, value):
+        self.store.calls += 1
+        self.values[key] = value
+
+    def removeKey(self, key):
+        del self.values[key]
+
+
+class _Store:
+    """Counts what a processor asks of the state store."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def getValueState(self, name, schema):
+        return _Cell(self)
+
+    getListState = getValueState
+
+    def getMapState(self, name, key, value):
+        return _Cells(self)
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.timers.remove(ms)
+
+
+class _Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _by_bucket(processor, keys, rows):
+    """A bucket's rows (time in ms, key, number, value), watermark after them: calls to the store, frames."""
+    store = _Store()
+    processor.init(store)
+    pdf = pd.DataFrame([(ms * 1000, n, v, k, False) for ms, k, n, v in rows], columns=["at_us", "at_number", "at_value", *keys])
+    assert list(processor.handleInputRows((0,), iter([pdf]), _Clock(0))) == []
+    frames = []
+    while store.timers and min(store.timers) < 10**9:
+        due = min(store.timers)
+        frames += processor.handleExpiredTimer((0,), _Clock(10**9), None)
+        store.timers.discard(due)
+    return store.calls, frames
+
+
+def test_a_bucket_of_keys_costs_a_few_calls_and_frames():
+    """A call to the state store or a frame for each key, or for each ten minutes of it, takes longer than all its rows."""
+    key = T.StructType.fromDDL("_key0 bigint, _null0 boolean").fields
+    names = ["at_key0", "at_null0"]
+    rows = [(hour * 3_600_000, user, hour * 300 + user, hour) for hour in range(20) for user in range(300)]
+    processor = ordered_steps._Processor(steps._RunningTotals(), key, T.StructType.fromDDL(steps._RunningTotals.schema).fields, 600_000_000)
+    calls, frames = _by_bucket(processor, names, rows)
+    got = pd.concat(frames)
+    assert calls < 20 and len(frames) == 1
+    assert sorted(zip(got["number"], got["sum"])) == [(n, hour * (hour + 1) // 2) for hour in range(20) for n in range(hour * 300, hour * 300 + 300)]
+    closing = T.StructType.fromDDL("first_us bigint, last_us bigint, count bigint, sum bigint").fields
+    calls, frames = _by_bucket(sessions._Sessions(3_600_000_000, key, closing), names, rows)
+    assert calls < 20 and len(frames) == 1 and len(frames[0]) == len(rows)
+
+
+def test_null_and_wide_keys(spark, tmp_path):
+    """As floats, 2^53 and 2^53 + 1 would be one key; before, a null key was an error."""
+    wide = 2**53
+    rows = [(i, 1000 + i * 1000, (wide, wide + 1, None)[i % 3], i) for i in range(30)] + [(99, 10_000_000, -1, 0)]
+    schema = "seq long, ms long, k long, v long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in").withColumn("ts", F.timestamp_millis("ms"))
+    got = run.drained(steps.running_totals(stream, ["k"], "ts", "seq", "v", DELAY), "t").where("k IS NULL OR k > 0")
+    want = [(k, i, sum(range(at, i + 1, 3)), i // 3 + 1) for at, k in enumerate((wide, wide + 1, None)) for i in range(at, 30, 3)]
+    assert got.schema["k"].dataType.simpleString() == "bigint"
+    assert values(got, "k", "seq", "sum", "count") == ordered(want)
+    got = run.drained(sessions.sessions(stream, ["k"], "ts", F.col("v"), 5 * SECOND, DELAY), "t").where("k IS NULL OR k > 0")
+    want = [(k, 10, sum(range(at, 30, 3))) for at, k in enumerate((wide, wide + 1, None))]
+    assert values(got, "k", "count", "sum") == ordered(want)
+
+
 def test_inner_join(stream, table):
     def sides(df):
         return [
