@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: prefixes of rare shingles and of combinations of frequent ones, then exact checks."""
+"""N-gram Jaccard join: prefixes of the rarest shingles and of combinations of frequent ones, then exact checks."""
 
 from __future__ import annotations
 
@@ -20,8 +20,8 @@ _STEP, _COMBINED, _SAME = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3
 
 @dataclass(frozen=True)
 class Join:
-    """``words`` in a shingle; documents link from ``percent`` on. A shingle is frequent if its cell of a counting sketch
-    (``cells`` cells) exceeds the mean by ``frequent`` and by four standard deviations. Combinations are used up to ``combined`` shingles in a
+    """``words`` in a shingle; documents link from ``percent`` on. A shingle counts as often as its cell of a counting sketch
+    (``cells`` cells), and is frequent if that exceeds the mean by ``frequent`` and by four standard deviations. Combinations are used up to ``combined`` shingles in a
     document. ``small``: groups of so many documents, in the first round and in later ones, are compared pair by pair. ``outline``: cells of
     a document's outline."""
 
@@ -55,6 +55,14 @@ def _cell(value: np.ndarray, cells: int) -> np.ndarray:
     return (value >> np.uint64(20)).astype(np.int64) & (cells - 1)
 
 
+@dataclass(frozen=True)
+class Sketch:
+    """How many shingles fell into each cell; above ``most`` they are frequent."""
+
+    counts: np.ndarray
+    most: float
+
+
 class Sets:
     """The shingle set of every document of a block: distinct hashes, documents one after the other."""
 
@@ -90,11 +98,11 @@ class Sets:
         np.minimum.at(least, inverse, self.block.ids[self.some])
         return unique, least, inverse
 
-    def keys(self, frequent: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def keys(self, sketch: Sketch, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, key, room) for the given documents: what any document that links with it shares at least once.
 
-        A link leaves at most e = n - ceil(percent * n / 100) of its n shingles unshared. In a fixed order with frequent shingles last, either one
-        of the first e + 1 is shared and rare, or the first two shared ones are both frequent and among the first e + 2:
+        A link leaves at most e = n - ceil(percent * n / 100) of its n shingles unshared. In a fixed order, the rarest cells first and so the
+        frequent shingles last, either one of the first e + 1 is shared and rare, or the first two shared ones are both frequent and among the first e + 2:
         so rare shingles of the prefix are keys alone, and frequent ones in pairs. In long documents, which would have
         many pairs, all are keys alone; lengths near the border have both kinds.
 
@@ -106,9 +114,9 @@ class Sets:
         wanted[docs] = True
         at = np.flatnonzero(wanted[self.doc])
         value, doc = self.value[at], self.doc[at]
-        often = frequent[_cell(value, j.cells)]
-        order = np.lexsort((mix(value + _STEP), often, doc))
-        value, doc, often = value[order], doc[order], often[order]
+        count = sketch.counts[_cell(value, j.cells)]
+        order = np.lexsort((mix(value + _STEP), count, doc))
+        value, doc, often = value[order], doc[order], count[order] > sketch.most
         n = self.sizes[doc]
         rank = np.arange(len(doc)) - np.searchsorted(doc, doc, "left")
         unshared = n + (-j.percent * n) // 100
@@ -127,9 +135,8 @@ class Sets:
         return np.concatenate(out_doc), np.concatenate(out_key), np.concatenate(out_room)
 
 
-def _frequent(blocks: DataFrame, join: Join) -> np.ndarray:
-    """Cells of the counting sketch that are well above the mean. The sketches add up in the tasks and by parts;
-    the driver gets one number per cell."""
+def _sketch(blocks: DataFrame, join: Join) -> Sketch:
+    """The counting sketch. The sketches add up in the tasks and by parts; the driver gets one number per cell."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(join.cells, np.int64)
@@ -149,9 +156,9 @@ def _frequent(blocks: DataFrame, join: Join) -> np.ndarray:
     schema = "part int, cells binary"
     rows = blocks.mapInArrow(counted, schema).groupBy("part").applyInArrow(added, schema).orderBy("part").collect()
     if not rows:
-        return np.zeros(join.cells, bool)
+        return Sketch(np.zeros(join.cells, np.uint8), 0)
     cells = np.concatenate([np.frombuffer(opened(bytes(r.cells)), np.int64) for r in rows])
-    return cells > cells.mean() + max(join.frequent, 4 * cells.mean() ** 0.5)
+    return Sketch(cells.astype(np.min_scalar_type(cells.max())), cells.mean() + max(join.frequent, 4 * cells.mean() ** 0.5))
 
 
 def _least(digests: np.ndarray, ids: np.ndarray, _: np.ndarray) -> np.ndarray:
@@ -174,7 +181,7 @@ def features(blocks: DataFrame, join: Join) -> DataFrame:
     representative has too, and if there are any, its outline; ``block`` and ``at`` say where its text is.
     """
     buckets = partitions(blocks)
-    sent = blocks.sparkSession.sparkContext.broadcast(_frequent(blocks, join))
+    sent = blocks.sparkSession.sparkContext.broadcast(_sketch(blocks, join))
 
     def ask_same(block: Block, got: dict) -> Iterator[tuple[int, bytes]]:
         unique, least, _ = Sets(block, join).representatives()

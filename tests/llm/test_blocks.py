@@ -6,8 +6,9 @@ import math
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from rivulet.llm import jaccard, suffix_tree, windows
+from rivulet.llm import blocks, jaccard, suffix_tree, windows
 
 from .data import documents, words
 
@@ -165,3 +166,20 @@ def test_without_training_rows(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
     got = suffix_tree.scored(documents(spark, [(i, "a b", "s") for i in held])).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(3, 0, 0)] * 3 and all(r.base_score == r.score == 0 for r in got)
+
+
+def test_jaccard_keys_are_the_rarest_shingles(spark):
+    rows = []
+    for i in range(60):  # a third of each text is a passage that others have too, too few for it to be frequent
+        passage = " ".join(f"p{i % 4}w{j}" for j in range(20))
+        rows.append((i, " ".join(f"d{i}w{j}" for j in range(40)) + " " + passage, "s"))
+    rows.append((60, rows[0][1].replace("d0w39", "other"), "s"))
+    docs, join = documents(spark, rows), jaccard.Join()
+    found = jaccard.features(blocks.packed(docs, join.block_bytes), join)
+    assert {r.doc_id for r in found.where(F.size("keys") > 0).collect()} == {0, 60}
+    assert {r.doc_id: r.component_id for r in jaccard.joined(docs, join).collect()} == {**{i: i for i in range(60)}, 60: 60 if jaccard_of(rows[0][1], rows[60][1]) < 0.9 else 0}
+
+
+def jaccard_of(a, b):
+    a, b = ({tuple(w[j : j + 3]) for j in range(len(w) - 2)} for w in (words(a), words(b)))
+    return len(a & b) / len(a | b)
