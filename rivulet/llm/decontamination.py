@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.llm.common import id_and_text
 
@@ -201,10 +202,10 @@ def _searched(texts: list[bytes], patterns: Patterns) -> tuple[list[tuple[int, i
     return patterns.search(data, starts), starts
 
 
-def _in_blocks(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[int, list[bytes]]]:
-    """The texts of a batch in lists of about ``most`` bytes, each with the row that it begins at."""
+def _in_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a column in lists of about ``most`` bytes, each with the row that it begins at."""
     at, texts, size = 0, [], 0
-    for i, text in enumerate(batch.column(column)):
+    for i, text in enumerate(column):
         texts.append(text.as_py().encode())
         size += len(texts[-1])
         if size >= most:
@@ -219,7 +220,7 @@ def _matches(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], bu
     names, kinds = ["doc_id", "item_id", "start", "stop", "edits"], [pa.int64()] * 4 + [pa.int32()]
     for batch in batches:
         rows = []
-        for at, texts in _in_blocks(batch, 1, budget.block_bytes):
+        for at, texts in _in_blocks(batch.column(1), budget.block_bytes):
             found, starts = _searched(texts, patterns)
             for k, item, a, b, cost in found:
                 text, base = texts[k], int(starts[k])
@@ -229,13 +230,18 @@ def _matches(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], bu
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
-def _untouched(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], budget: Budget) -> Iterator[pa.RecordBatch]:
-    patterns = Patterns(items, budget)
-    for batch in batches:
-        clean = np.ones(len(batch), bool)
-        for at, texts in _in_blocks(batch, 1, budget.block_bytes):
-            clean[[at + f[0] for f in _searched(texts, patterns)[0]]] = False
-        yield batch.filter(pa.array(clean)).select([0])
+def _untouched(text: Column, items: Broadcast, budget: Budget) -> Column:
+    """Whether the text holds none of the items. Only texts go to Python and only marks come back: the rows stay in Spark."""
+
+    def marks(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        patterns = Patterns(items.value, budget)
+        for column in columns:
+            clean = np.ones(len(column), bool)
+            for at, texts in _in_blocks(column, budget.block_bytes):
+                clean[[at + f[0] for f in _searched(texts, patterns)[0]]] = False
+            yield pa.array(clean)
+
+    return F.arrow_udf(marks, "boolean")(text)
 
 
 def _passes(benchmark: DataFrame, item_col: str, text_col: str, most_items: int, most_bytes: int) -> list[list[tuple[int, str]]]:
@@ -259,9 +265,7 @@ def clean(
     """The rows of ``docs``, all columns, whose text repeats no passage of the benchmark (see ``contamination``)."""
     for some in _passes(benchmark, item_col, item_text_col, items_per_pass, pass_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(some)
-        rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-        schema = T.StructType([T.StructField("row", docs.schema)])
-        docs = rows.mapInArrow(lambda batches, sent=sent: _untouched(batches, sent.value, budget), schema).select("row.*")
+        docs = docs.where(_untouched(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), sent, budget))
     return docs
 
 

@@ -94,6 +94,14 @@ def test_decontamination(spark):
     assert decontamination.clean(documents(spark, []), bench).collect() == []
 
 
+def test_decontamination_sends_only_texts_to_python(spark):
+    item = "a passage of the benchmark that nobody should learn from"
+    docs = spark.createDataFrame([(1, f"before {item} after"), (2, "nothing of it"), (3, None)], "doc_id bigint, text string")
+    docs = docs.withColumn("span", F.make_interval(days=F.lit(3)))  # a column that Arrow has no batches for
+    kept = decontamination.clean(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.select("doc_id", F.col("span").cast("string")).collect()) == [2, 3]
+
+
 def near_copies(rows):
     """Ids that are not the smallest of their group: five words, similarity 0.8 or more."""
     sets = []
