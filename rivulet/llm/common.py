@@ -6,16 +6,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.session import scratch_path
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: A word: a longest run of anything but white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared scratch folder and read back: later steps neither
-    repeat the work nor depend on the executors that did it."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    repeat the work nor depend on the executors that did it. So its shuffle files go as soon as it is written,
+    not when the driver happens to collect its garbage."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,12 +3,14 @@
 import collections
 import hashlib
 import math
+import time
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.llm import blocks, jaccard, suffix_tree, windows
+from rivulet.llm.common import stored
 
 from .data import documents, words
 
@@ -183,3 +185,15 @@ def test_jaccard_keys_are_the_rarest_shingles(spark):
 def jaccard_of(a, b):
     a, b = ({tuple(w[j : j + 3]) for j in range(len(w) - 2)} for w in (words(a), words(b)))
     return len(a & b) / len(a | b)
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    files = lambda: {x for x in spark._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(name)
+    rows = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).applyInArrow(lambda t: t.select(["id"]), "id bigint"), "rows")
+    for _ in range(100):  # they go in the background
+        if left := files() - before:
+            time.sleep(0.1)
+    assert not left and spark.conf.get(name) == was
+    assert sorted(r.id for r in rows.collect()) == list(range(1000))
