@@ -24,10 +24,6 @@ BLOCKS = "block bigint, ids array<bigint>, lens array<bigint>, data binary"
 ASKED = "bucket int, block bigint, payload binary"
 ANSWERED = "block bigint, bucket int, payload binary"
 
-_WALK = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(int(_WALK), -1, 1 << 64))
-_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit numbers over all bits."""
@@ -36,27 +32,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class Rolling:
-    """Hashes of any stretches of a text, from sums over its beginning."""
-
-    def __init__(self, data: np.ndarray) -> None:
-        power = np.full(len(data) + 1, _WALK)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * power[:-1], out=self.sums[1:])
-        self.back = np.full(len(data) + 1, _BACK)
-        self.back[0] = 1
-        np.multiply.accumulate(self.back, out=self.back)
-
-    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * self.back[start] + (stop - start).astype(np.uint64))
-
-    def grams(self, size: int) -> np.ndarray:
-        n = len(self.sums) - size
-        return mix((self.sums[size:] - self.sums[:-size]) * self.back[:n] + np.uint64(size)) if n > 0 else np.zeros(0, np.uint64)
-
-
 class Block:
     """One block: ids (null: the greatest number), texts one after the other, and where each begins."""
 
@@ -126,11 +101,11 @@ def read(row: dict | pa.Table) -> Block:
 
 
 class Deal:
-    """How distinct digests go to buckets: the order within each bucket is that of the sorted digests."""
+    """How distinct digests go to buckets: the order within each bucket is that in which they are given."""
 
     def __init__(self, digests: np.ndarray, buckets: int) -> None:
         self.buckets = buckets
-        self.bucket = ((digests >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+        self.bucket = ((digests >> np.uint64(40)) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
         self.order = np.argsort(self.bucket, kind="stable")
         self.cuts = np.searchsorted(self.bucket[self.order], np.arange(buckets + 1))
 

@@ -7,14 +7,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rivulet.llm.blocks import Block, Deal, Rolling, answered, asked, packed, with_answers
+from rivulet.llm.blocks import Block, Deal, answered, asked, mix, packed, with_answers
 from rivulet.llm.common import partitions
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 _NONE = np.zeros(0, np.int64)
+_PIECE, _TIMES = 1 << 15, np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -30,37 +32,52 @@ class Suffixes:
     """The windows of a block, dealt to heads.
 
     A window's head is the place of the least hashed digit (``digit`` bytes) in it. Equal windows have their heads at the
-    same distance, so suffixes need only be compared from heads on, and one head serves about a dozen windows.
+    same distance, so suffixes need only be compared from heads on, and one head serves about a dozen windows. Digits are
+    hashed and compared in pieces of the block that stay in a core's cache; only heads are kept.
     """
 
     def __init__(self, block: Block, depth: Depth) -> None:
         self.depth, size = depth, depth.window
-        self.docs = block.ids
-        self.hash = Rolling(block.data)
-        lens = np.diff(block.starts)
-        doc = np.repeat(np.arange(len(lens)), np.maximum(lens - size + 1, 0))
-        begin = np.concatenate([[0], np.cumsum(np.maximum(lens - size + 1, 0))])[:-1]
-        at = np.arange(len(doc)) - begin[doc] + block.starts[:-1][doc] if len(doc) else _NONE
-        g = self.hash.grams(depth.digit)
-        key = (g >> np.uint64(31) << np.uint64(31)) | np.arange(len(g), dtype=np.uint64)
-        cover, span = 1, size - depth.digit + 1
-        while cover < span and len(key) > cover:
-            step = min(cover, span - cover)
-            key = np.minimum(key[:-step], key[step:])
-            cover += step
-        head = (key & np.uint64((1 << 31) - 1)).astype(np.int64)[at] if len(at) else _NONE
-        new = np.ones(len(at), bool)
-        new[1:] = (head[1:] != head[:-1]) | (doc[1:] != doc[:-1])
-        i = np.flatnonzero(new)
-        self.low, self.head, self.doc = at[i], head[i], doc[i]
-        self.high = at[np.append(i[1:], len(at)) - 1] if len(at) else _NONE
-        self.id = self.docs[self.doc] if len(i) else _NONE
-        self.first = g[self.head] if len(i) else np.zeros(0, np.uint64)
+        self.digits = Digits(block.data, depth.digit)
+        low, head, first = self._heads(len(block.data))
+        long = np.flatnonzero(np.diff(block.starts) >= size)
+        begin, last = block.starts[long], block.starts[long + 1] - size
+        cuts = np.sort(np.concatenate([low, begin]))
+        cuts = cuts[np.diff(cuts, prepend=-1) > 0]
+        of = np.searchsorted(begin, cuts, "right") - 1
+        fine = of >= 0
+        fine[fine] = cuts[fine] <= last[of[fine]]
+        until = np.append(cuts, len(block.data))[1:] - 1
+        self.low, of = cuts[fine], of[fine]
+        run = np.searchsorted(low, self.low, "right") - 1
+        self.head, self.first = head[run], first[run]
+        self.high = np.minimum(until[fine], last[of])
+        self.doc = long[of]
+        self.id = block.ids[self.doc]
+
+    def _heads(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where a new head begins to serve, as if the block were one text, the head, and its digit's hash."""
+        span = self.depth.window - self.depth.digit + 1
+        place = np.uint64((1 << (_PIECE + span).bit_length()) - 1)
+        before, out = -1, [(_NONE, _NONE, np.zeros(0, np.uint64))]
+        for a in range(0, length - self.depth.window + 1, _PIECE):
+            g = self.digits.between(a, min(a + _PIECE + span - 1, length - self.depth.digit + 1))
+            key, cover = (g & ~place) | np.arange(len(g), dtype=np.uint64), 1
+            while cover < span:
+                step = min(cover, span - cover)
+                key = np.minimum(key[:-step], key[step:])
+                cover += step
+            head = (key & place).astype(np.int64)
+            new = np.flatnonzero(np.diff(head, prepend=before - a))
+            before = int(head[-1]) + a
+            out.append((new + a, head[new] + a, g[head[new]]))
+        low, head, first = (np.concatenate(c) for c in zip(*out))
+        return low, head, first
 
     # First digit: is it in another block, or in two documents of this one?
 
     def ask_first(self, buckets: int) -> tuple[np.ndarray, np.ndarray, Deal]:
-        digits, inverse = np.unique(self.first, return_inverse=True)
+        inverse, digits = pd.factorize(self.first)
         return digits, inverse, Deal(digits, buckets)
 
     def shared(self, got: dict[int, bytes], buckets: int) -> np.ndarray:
@@ -72,13 +89,12 @@ class Suffixes:
     # Further digits up to the threshold on both sides of the head: all windows of a head at once.
 
     def ask_rest(self, some: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Deal]:
-        rest = self.hash(self.low[some], self.high[some] + self.depth.window)
-        rest = (rest + (self.head[some] - self.low[some]).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-        both = np.stack([self.first[some], rest], 1)
-        both, inverse = np.unique(both, axis=0, return_inverse=True) if len(some) else (both, _NONE)
-        inverse = inverse.reshape(-1)
-        least = _extremes(inverse, self.id[some], len(both))[0]
-        return both[:, 0], both[:, 1], inverse, least, Deal(both[:, 0], buckets)
+        low, stop = self.low[some], self.high[some] + self.depth.window
+        rest = mix(self.digits.stretches(low, stop, 2 * self.depth.window) + (self.head[some] - low).astype(np.uint64))
+        inverse, rest = pd.factorize(rest)
+        first = np.empty(len(rest), np.uint64)
+        first[inverse] = self.first[some]
+        return first, rest, inverse, _extremes(inverse, self.id[some], len(rest))[0], Deal(first, buckets)
 
     def open(self, some: np.ndarray, got: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Heads all of whose windows are in a smaller document, and heads whose windows must be looked at one by one."""
@@ -95,25 +111,60 @@ class Suffixes:
         return at, np.repeat(self.id[heads], many)
 
     def ask_windows(self, at: np.ndarray, ids: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Deal]:
-        digests, inverse = np.unique(self.hash(at, at + self.depth.window), return_inverse=True)
+        inverse, digests = pd.factorize(self.digits.stretches(at, at + self.depth.window, self.depth.window))
         return digests, inverse, _extremes(inverse, ids, len(digests))[0], Deal(digests, buckets)
 
 
+class Digits:
+    """Hashes of the digits of a block's bytes, and of longer stretches as those of the digits that cover them."""
+
+    def __init__(self, data: np.ndarray, size: int) -> None:
+        self.size = size
+        self.eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+        self.steps = [min(k, max(size - 8, 0)) for k in range(0, size, 8)]
+        self.mask = np.uint64((1 << 8 * size) - 1) if size < 8 else None
+
+    def _hashed(self, eights: Iterator[np.ndarray], many: int) -> np.ndarray:
+        """``mix`` after every eight bytes, in place."""
+        out = np.zeros(many, np.uint64)
+        for eight in eights:
+            out ^= eight if self.mask is None else eight & self.mask
+            out ^= out >> np.uint64(32)
+            out *= _TIMES
+            out ^= out >> np.uint64(32)
+            out *= _TIMES
+        out ^= out >> np.uint64(32)
+        return out
+
+    def between(self, start: int, stop: int) -> np.ndarray:
+        """The digits that begin in that range."""
+        return self._hashed((self.eight[start + k : stop + k] for k in self.steps), stop - start)
+
+    def stretches(self, start: np.ndarray, stop: np.ndarray, most: int) -> np.ndarray:
+        """Stretches of at least a digit and at most ``most`` bytes."""
+        out = np.empty(len(start), np.uint64)
+        for a in range(0, len(start), _PIECE):
+            at, size = start[a : a + _PIECE], stop[a : a + _PIECE] - start[a : a + _PIECE]
+            h = size.astype(np.uint64)
+            for k in range(0, most, self.size):
+                place = at + np.minimum(k, size - self.size)
+                h = mix(h * _TIMES ^ self._hashed((self.eight[place + j] for j in self.steps), len(place)))
+            out[a : a + _PIECE] = h
+        return out
+
+
 def _extremes(group: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     low = np.full(size, np.iinfo(np.int64).max)
     high = np.full(size, np.iinfo(np.int64).min)
-    if len(group):
-        order = np.argsort(group, kind="stable")
-        g, v = group[order], values[order]
-        at = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        low[g[at]], high[g[at]] = np.minimum.reduceat(v, at), np.maximum.reduceat(v, at)
+    np.minimum.at(low, group, values)
+    np.maximum.at(high, group, values)
     return low, high
 
 
 def _in_two_blocks(digits: np.ndarray, _: np.ndarray) -> np.ndarray:
     """1 for a digit that more than one block asked about; a block asks once."""
-    _, inverse, count = np.unique(digits, return_inverse=True, return_counts=True)
-    return (count[inverse] > 1).astype(np.uint8)
+    code, _ = pd.factorize(digits)
+    return (np.bincount(code)[code] > 1).astype(np.uint8)
 
 
 def _rest(first: np.ndarray, rest: np.ndarray, ids: np.ndarray, _: np.ndarray) -> np.ndarray:
@@ -132,22 +183,33 @@ def _rest(first: np.ndarray, rest: np.ndarray, ids: np.ndarray, _: np.ndarray) -
 
 def _smaller(digests: np.ndarray, ids: np.ndarray, _: np.ndarray) -> np.ndarray:
     """1 where a smaller document has the window."""
-    _, inverse = np.unique(digests, return_inverse=True)
-    return (ids > _extremes(inverse, ids, inverse.max() + 1)[0][inverse]).astype(np.uint8)
+    inverse, unique = pd.factorize(digests)
+    return (ids > _extremes(inverse, ids, len(unique))[0][inverse]).astype(np.uint8)
 
 
-def _result(block: Block, s: Suffixes, starts: np.ndarray) -> pa.Table:
-    """Removes the bytes that the windows cover."""
+def _result(block: Block, s: Suffixes, heads: np.ndarray, starts: np.ndarray) -> pa.Table:
+    """Removes the bytes that all windows of the heads and the windows at ``starts`` cover."""
     size, n = s.depth.window, len(block.data)
-    edge = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(starts + size, minlength=n + 1)[: n + 1] if len(starts) else np.zeros(n + 1, np.int64)
-    gone = np.cumsum(edge)[:n] > 0
+    start, stop = np.concatenate([s.low[heads], starts]), np.concatenate([s.high[heads], starts]) + size
+    order = np.argsort(start, kind="stable")
+    start, stop = start[order], np.maximum.accumulate(stop[order])
+    doc = np.searchsorted(block.starts, start, "right") - 1
+    new = np.ones(len(start), bool)
+    new[1:] = (start[1:] > stop[:-1]) | (doc[1:] != doc[:-1])
+    i = np.flatnonzero(new)
+    start, stop, doc = start[i], stop[np.append(i[1:], len(stop))[: len(i)] - 1], doc[i]
+    edge = np.zeros(n + 1, np.int8)
+    edge[start] += 1
+    edge[stop] -= 1
+    stays = np.cumsum(edge[:n], dtype=np.int8) == 0
+    runs = np.bincount(doc, minlength=len(block.ids))
+    removed = np.zeros(len(block.ids), np.int64)
+    np.add.at(removed, doc, stop - start)
     rows = []
     for k in range(len(block.ids)):
         a, b = block.starts[k], block.starts[k + 1]
-        g = gone[a:b]
-        runs = int(np.count_nonzero(g[1:] & ~g[:-1])) + int(len(g) > 0 and g[0])
-        kept = block.data[a:b] if not runs else block.data[a:b][~g]
-        rows.append((int(block.ids[k]) if block.known[k] else None, int(b - a), int(np.count_nonzero(g)), runs, hashlib.sha256(kept.tobytes()).hexdigest()))
+        kept = block.data[a:b] if not runs[k] else block.data[a:b][stays[a:b]]
+        rows.append((int(block.ids[k]) if block.known[k] else None, int(b - a), int(removed[k]), int(runs[k]), hashlib.sha256(kept.tobytes()).hexdigest()))
     kinds = [pa.int64()] * 4 + [pa.string()]
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     return pa.table({n: pa.array(c, t) for n, c, t in zip(names, zip(*rows), kinds)})
@@ -194,7 +256,7 @@ def deduplicated(docs: DataFrame, depth: Depth = Depth(), id_col: str = "doc_id"
         _, inverse, least, deal = s.ask_windows(at, ids, buckets)
         elsewhere = deal.gathered(got.get(3, {}), np.uint8) > 0
         gone = at[(ids > least[inverse]) | elsewhere[inverse]] if len(at) else at
-        return _result(block, s, np.concatenate([s.windows(done)[0], gone]).astype(np.int64))
+        return _result(block, s, done, gone)
 
     one, _ = answered(asked(blocks, ask_first), [np.uint64], _in_two_blocks, 1)
     two, _ = answered(asked(blocks, ask_rest, one), [np.uint64, np.uint64, np.int64], _rest, 2)

@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import math
+import random
 import time
+import tracemalloc
 import zlib
 
 import pytest
@@ -55,6 +57,46 @@ def test_windows_of_one_long_repeat(spark):
     assert collections.Counter(tuple(r) for r in got) == brute_windows([r[:2] for r in rows])
 
 
+def test_windows_of_bit_parities_are_told_apart(spark):
+    """Hashes of a polynomial modulo 2^64 cannot tell these two windows apart."""
+    size = 2048
+    one = "".join("ab"[i.bit_count() % 2] for i in range(size))
+    rows = [(1, one, "s"), (2, one.translate(str.maketrans("ab", "ba")), "s"), (3, "x" + one, "s")]
+    got = windows.deduplicated(documents(spark, rows), windows.Depth(window=size, block_bytes=3 * size)).collect()
+    assert collections.Counter(tuple(r) for r in got) == brute_windows([r[:2] for r in rows], size)
+
+
+@pytest.mark.parametrize("window, digit", [(50, 24), (9, 5), (12, 12), (30, 8)])
+def test_windows_of_pieces(spark, monkeypatch, window, digit):
+    """Texts that are longer and shorter than the pieces in which digits are hashed."""
+    monkeypatch.setattr(windows, "_PIECE", 64)
+    docs = [(i, t) for i, t in plain(documents(spark)) if len(t or "") < 9000]
+    lens, data = [len((t or "").encode()) for _, t in docs], "".join(t or "" for _, t in docs).encode()
+    block = blocks.Block(0, [i for i, _ in docs], lens, blocks.squeezed(data))
+    s = windows.Suffixes(block, windows.Depth(window, digit))
+    at, ids = s.windows(range(len(s.low)))
+    want = [(a + k, n) for a, n in zip(block.starts.tolist(), lens) for k in range(n - window + 1)]
+    assert at.tolist() == [p for p, _ in want] and (s.head >= s.low).all() and (s.high - s.head <= window - digit).all()
+    assert ids.tolist() == [block.ids[k] for k, n in enumerate(lens) for _ in range(max(0, n - window + 1))]
+    head = dict(zip(at.tolist(), [h for h, a, b in zip(s.head.tolist(), s.low, s.high) for _ in range(b - a + 1)]))
+    steps = collections.defaultdict(set)
+    for p, h in head.items():
+        steps[data[p : p + window]].add(h - p)
+    assert all(len(x) == 1 for x in steps.values())
+
+
+def test_windows_need_little_more_than_the_text():
+    """Digits and heads of a block are found without arrays of numbers as long as its text; those cost most of the CPU seconds."""
+    data = random.Random(1).randbytes(1 << 21)
+    block = blocks.Block(0, [1, 2], [1 << 20, 1 << 20], blocks.squeezed(data))
+    tracemalloc.start()
+    try:
+        windows.Suffixes(block, windows.Depth())
+        assert tracemalloc.get_traced_memory()[1] < 16 * len(data)
+    finally:
+        tracemalloc.stop()
+
+
 def brute_base(rows):
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
     count = collections.Counter()
