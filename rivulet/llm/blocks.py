@@ -15,14 +15,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rivulet.llm.common import id_and_text, partitions, stored
 from rivulet.session import scratch_path
 
 BLOCKS = "block bigint, ids array<bigint>, lens array<bigint>, data binary"
 ASKED = "bucket int, block bigint, payload binary"
-ANSWERED = "block bigint, bucket int, payload binary"
+ANSWERED = "block bigint, bucket int, payload binary, question int"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -110,10 +110,12 @@ class Deal:
         self.cuts = np.searchsorted(self.bucket[self.order], np.arange(buckets + 1))
 
     def shares(self, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """(bucket, the columns' values one after the other); every column is a number per digest."""
+        """(bucket, the columns' values one after the other); every column is a number per digest. Each is compressed on its own: random
+        bytes would spoil the code that compression finds for small numbers."""
         dealt = [c[self.order] for c in columns]
         for b in np.flatnonzero(np.diff(self.cuts)).tolist():
-            yield b, squeezed(b"".join(c[self.cuts[b] : self.cuts[b + 1]].tobytes() for c in dealt))
+            parts = [squeezed(c[self.cuts[b] : self.cuts[b + 1]].tobytes()) for c in dealt]
+            yield b, b"".join([np.array([len(p) for p in parts], "<u4").tobytes(), *parts])
 
     def gathered(self, answers: dict[int, bytes], kind: type, planes: bool = False) -> np.ndarray:
         """The answers in the order of the digests; ``planes`` as in ``answered``."""
@@ -142,13 +144,8 @@ def opened(data: bytes) -> bytes:
 
 
 def columns(payload: bytes, kinds: list[type]) -> list[np.ndarray]:
-    payload = opened(payload)
-    size = len(payload) // sum(np.dtype(k).itemsize for k in kinds)
-    out, at = [], 0
-    for k in kinds:
-        out.append(np.frombuffer(payload, k, size, at))
-        at += size * np.dtype(k).itemsize
-    return out
+    ends = np.cumsum(np.frombuffer(payload, "<u4", len(kinds)), dtype=np.int64) + 4 * len(kinds)
+    return [np.frombuffer(opened(payload[a:b]), k) for k, a, b in zip(kinds, [4 * len(kinds), *ends[:-1].tolist()], ends.tolist())]
 
 
 def asked(blocks: DataFrame, ask: Callable[[Block, dict], Iterator[tuple[int, bytes]]], answers: DataFrame | None = None) -> DataFrame:
@@ -191,7 +188,8 @@ def answered(
     """Each bucket's answers, written once, and the buckets' summaries (a few numbers each).
 
     ``answer`` and ``summary`` get the columns of all blocks' digests in a bucket, then the block that each came from;
-    ``answer`` returns one number per digest, which ``planes`` writes byte by byte.
+    ``answer`` returns one number per digest, which ``planes`` writes byte by byte. It may return a pair of them; the second ones are
+    answers to the question ``-number``, so that a later step can go without.
     """
 
     def group(rows: pa.Table) -> pa.Table:
@@ -200,14 +198,22 @@ def answered(
         sizes = [len(p[0]) for p in parts]
         joined = [np.concatenate(c) for c in zip(*parts)]
         asker = np.repeat(np.arange(len(parts)), sizes)
-        out = np.split(answer(*joined, asker), np.cumsum(sizes)[:-1])
-        block, bucket = rows.column("block").to_pylist(), rows.column("bucket").to_pylist()
-        payload = [squeezed(planed(x) if planes else x.tobytes()) for x in out]
+        told = answer(*joined, asker)
+        told = {number: told[0], -number: told[1]} if isinstance(told, tuple) else {number: told}
+        bucket = rows.column("bucket")[0].as_py()
+        out = [
+            (block, squeezed(planed(x) if planes else x.tobytes()), question)
+            for question, numbers in told.items()
+            for block, x in zip(rows.column("block").to_pylist(), np.split(numbers, np.cumsum(sizes)[:-1]))
+        ]
         if summary:
-            block, bucket = [*block, -1], [*bucket, bucket[0]]
-            payload.append(squeezed(np.array(summary(*joined, asker), np.int64).tobytes()))
-        return pa.table({"block": pa.array(block, pa.int64()), "bucket": pa.array(bucket, pa.int32()), "payload": pa.array(payload, pa.binary())})
-
-    done = stored(questions.groupBy("bucket").applyInArrow(group, ANSWERED).withColumn("question", F.lit(number)), f"answers-{number}")
+            out.append((-1, squeezed(np.array(summary(*joined, asker), np.int64).tobytes()), number))
+        block, payload, question = zip(*out)
+        return pa.table(
+            {"block": pa.array(block, pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int32()), "payload": pa.array(payload, pa.binary()),
+             "question": pa.array(question, pa.int32())}
+        )
+
+    done = stored(questions.groupBy("bucket").applyInArrow(group, ANSWERED), f"answers-{number}")
     sums = [np.frombuffer(opened(bytes(r.payload)), np.int64).tolist() for r in done.where("block < 0").collect()] if summary else []
     return done.where("block >= 0"), sums

@@ -22,6 +22,8 @@ _THEN = np.uint64(0xC2B2AE3D27D4EB4F)
 _KEY, _LOW = 5, np.uint64((1 << 40) - 1)
 #: Columns of a payload, all of them bytes: of a key, of what a word's digest has besides, of a count, of a gain.
 WORDS, GRAMS, GAINS = ([np.uint8] * (_KEY + n) for n in (3 + 8, 4, 3))
+#: Contexts of one more word are named by greater numbers.
+_LEVEL = np.uint64(1 << 36)
 
 
 @dataclass(frozen=True)
@@ -74,8 +76,8 @@ def _number(parts: tuple[np.ndarray, ...]) -> np.ndarray:
 
 
 def _in_order(digests: np.ndarray, buckets: int) -> np.ndarray:
-    """The order by bucket, then by the lower 40 bits, which tell digests of a bucket apart."""
-    order = np.argsort(digests & _LOW)
+    """The order by bucket, then by the lower 40 bits, which tell digests of a bucket apart; those of words need all bits."""
+    order = np.argsort(digests << np.uint64(24) | digests >> np.uint64(40))
     return order[np.argsort(Deal(digests[order], buckets).bucket.astype(np.min_scalar_type(buckets)), kind="stable")]
 
 
@@ -88,9 +90,8 @@ def _distinct(digests: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
     return unique[order], place[code]
 
 
-def _keys(deal: Deal, digests: np.ndarray) -> list[np.ndarray]:
-    """The lower 40 bits of each digest as steps from the one before in its bucket; digests are in the order above."""
-    low = digests & _LOW
+def _keys(deal: Deal, low: np.ndarray) -> list[np.ndarray]:
+    """Numbers of 40 bits as steps from the one before in its bucket; they ascend there."""
     steps = np.diff(low, prepend=np.uint64(0))
     first = deal.cuts[:-1][np.diff(deal.cuts) > 0]
     steps[first] = low[first]
@@ -98,13 +99,28 @@ def _keys(deal: Deal, digests: np.ndarray) -> list[np.ndarray]:
 
 
 def _told(parts: tuple[np.ndarray, ...], asker: np.ndarray) -> np.ndarray:
-    """The lower 40 bits again; each asker's steps begin anew."""
-    steps = _number(parts)
+    """The numbers again; each asker's steps begin anew."""
+    return _summed(_number(parts), np.flatnonzero(np.diff(asker, prepend=-1)))
+
+
+def _summed(steps: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the steps up to each, which begin anew at ``first``."""
     sums = np.cumsum(steps)
-    first = np.flatnonzero(np.diff(asker, prepend=-1))
     return sums - np.repeat((sums - steps)[first], np.diff(first, append=len(steps)))
 
 
+def _ranks(keys: np.ndarray, fine: np.ndarray, code: np.ndarray, asker: np.ndarray) -> np.ndarray:
+    """Numbers the distinct keys that are ``fine`` from 1, in order; for each key asked about (``code``), the step from the asker's last one
+    to it, or 0."""
+    some = np.flatnonzero(fine)
+    rank = np.zeros(len(keys), np.int64)
+    rank[some[np.argsort(keys[some])]] = np.arange(1, len(some) + 1)
+    at = np.flatnonzero(rank[code])
+    mine, out = rank[code[at]], np.zeros(len(code), np.int64)
+    out[at] = np.where(np.diff(asker[at], prepend=-1) != 0, mine, np.diff(mine, prepend=0))
+    return out
+
+
 class Tokens:
     """The tokens of a block: words, and an end after each text."""
 
@@ -134,7 +150,7 @@ class Tokens:
     def ask_words(self) -> Iterator[tuple[int, bytes]]:
         n = np.bincount(self.token[self.trains], minlength=self.known_words)[: self.known_words]
         deal = Deal(self.unique, self.buckets)
-        return deal.shares(*_keys(deal, self.unique), *_bytes(self.unique >> np.uint64(40), 3), *_bytes(n.astype(np.int64), 8))
+        return deal.shares(*_keys(deal, self.unique & _LOW), *_bytes(self.unique >> np.uint64(40), 3), *_bytes(n.astype(np.int64), 8))
 
     @cached_property
     def seen(self) -> np.ndarray:
@@ -177,7 +193,7 @@ class Tokens:
         level = self.level(words)
         n = np.bincount(level.inverse, self.trains[level.at], len(level.grams)).astype(np.uint32)
         deal = Deal(level.grams, self.buckets)
-        return deal.shares(*_keys(deal, level.grams), *_bytes(n, 4))
+        return deal.shares(*_keys(deal, level.grams & _LOW), *_bytes(n, 4))
 
     def smoothed(self, less: int) -> Iterator[tuple[Level, np.ndarray, np.ndarray]]:
         """For each level from the shortest contexts: P(token | context) and P(token | shorter context) at its places, with
@@ -193,35 +209,54 @@ class Tokens:
     # Divergence tests
 
     @cached_property
-    def tested(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The contexts of the block, and for each level where its places' are among them."""
-        names, of, size = [self.digest[:0]], [], 0
+    def tested(self) -> tuple[Deal, list[np.ndarray], list[np.ndarray]]:
+        """The contexts of the block by bucket, then length, then digest, but the beginning before all others: how they are dealt, for each length
+        where its names are among them (-1 if it does not occur), and where its places' contexts are."""
+        names, used, size = [self.digest[:0]], [], 0
         for n in range(len(self.tree.least)):
             level = self.level(n + 1)
-            used = np.bincount(level.context, minlength=len(level.names)) > 0
-            of.append((np.cumsum(used) - 1 + size)[level.context])
-            names.append(level.names[used])
-            size += len(names[-1])
+            some = np.flatnonzero(np.bincount(level.context, minlength=len(level.names)))
+            if not n:
+                some = np.concatenate([some[some > self.known_words], some[some <= self.known_words]])
+            used.append(some)
+            names.append(level.names[some])
+            size += len(some)
         names = np.concatenate(names)
-        order = _in_order(names, self.buckets)
+        order = Deal(names, self.buckets).order
         place = np.empty(size, np.int64)
         place[order] = np.arange(size)
-        return names[order], [place[x] for x in of]
+        where = []
+        for n, some in enumerate(used):
+            of = np.full(len(self.level(n + 1).names), -1)
+            of[some], place = place[: len(some)], place[len(some) :]
+            where.append(of)
+        return Deal(names[order], self.buckets), where, [of[self.level(n + 1).context] for n, of in enumerate(where)]
+
+    def names(self) -> np.ndarray:
+        """The numbers of these contexts in their buckets; the beginning has 0."""
+        deal, where, _ = self.tested
+        out = np.zeros(len(deal.order), np.uint64)
+        for n, of in enumerate(where):
+            asked = Deal(self.level(n).grams if n else self.unique, self.buckets)
+            ranks = asked.gathered(self.got.get(-n - 1, {}), np.uint64, planes=True)
+            ranks = _summed(ranks, asked.cuts[:-1][np.diff(asked.cuts) > 0])
+            some = np.flatnonzero(of[: len(ranks)] >= 0)
+            out[of[some]] = ranks[some] + np.uint64(n) * _LEVEL
+        return out
 
     def ask_gains(self) -> Iterator[tuple[int, bytes]]:
         """What each context's next-symbol distribution gains over the shorter context's, on this block's training tokens, as the
         upper 24 bits of a float."""
-        unique, of = self.tested
-        gains = np.zeros(len(unique))
+        deal, _, of = self.tested
+        gains = np.zeros(len(deal.order))
         for (level, longer, parent), context in zip(self.smoothed(1), of):
             trains = self.trains[level.at]
-            gains += np.bincount(context[trains], np.log(longer[trains] / parent[trains]), len(unique))
-        deal = Deal(unique, self.buckets)
-        return deal.shares(*_keys(deal, unique), *_bytes((gains.astype(np.float32).view(np.uint32) + np.uint32(128)) >> np.uint32(8), 3))
+            gains += np.bincount(context[trains], np.log(longer[trains] / parent[trains]), len(gains))
+        return deal.shares(*_keys(deal, self.names()), *_bytes((gains.astype(np.float32).view(np.uint32) + np.uint32(128)) >> np.uint32(8), 3))
 
     def scores(self) -> pa.Table:
-        unique, of = self.tested
-        kept = Deal(unique, self.buckets).gathered(self.got.get(len(self.tree.least) + 2, {}), np.uint8) > 0
+        deal, _, of = self.tested
+        kept = deal.gathered(self.got.get(len(self.tree.least) + 2, {}), np.uint8) > 0
         p = self.root.copy()
         for (level, longer, _), context in zip(self.smoothed(0), of):
             some = kept[context]
@@ -247,12 +282,13 @@ def _words(parts: tuple[np.ndarray, ...], asker: np.ndarray) -> tuple[np.ndarray
     return digest, _number(parts[_KEY + 3 :]).astype(np.int64)
 
 
-def _word_sums(*parts: np.ndarray) -> np.ndarray:
+def _word_sums(least: int, *parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts, and ranks of the words that are contexts."""
     digests, n = _words(parts[:-1], parts[-1])
     code, unique = pd.factorize(digests)
     out = np.zeros(len(unique), np.int64)
     np.add.at(out, code, n)
-    return out[code]
+    return out[code], _ranks(unique << np.uint64(24) | unique >> np.uint64(40), out >= least, code, parts[-1])
 
 
 def _word_totals(*parts: np.ndarray) -> list[int]:
@@ -260,9 +296,11 @@ def _word_totals(*parts: np.ndarray) -> list[int]:
     return [int(n.sum()), len(np.unique(digests[n > 0]))]
 
 
-def _sums(*parts: np.ndarray) -> np.ndarray:
+def _sums(least: int, *parts: np.ndarray) -> tuple[np.ndarray, np.ndarray] | np.ndarray:
+    """Training counts, and ranks of the grams that are contexts; without ``least`` there are none."""
     code, unique = pd.factorize(_told(parts[:_KEY], parts[-1]))
-    return np.bincount(code, _number(parts[_KEY:-1]), len(unique)).astype(np.int64)[code]
+    out = np.bincount(code, _number(parts[_KEY:-1]), len(unique)).astype(np.int64)
+    return (out[code], _ranks(unique, out >= least, code, parts[-1])) if least else out[code]
 
 
 def _stay(gain: float, *parts: np.ndarray) -> np.ndarray:
@@ -296,10 +334,14 @@ def scored(docs: DataFrame, tree: Tree = Tree(), id_col: str = "doc_id", text_co
     def ask(what: str, totals: Totals | None, *more: int):
         return lambda block, got: getattr(Tokens(block, tree, buckets, totals, got), what)(*more)
 
-    told, sums = answered(asked(blocks, ask("ask_words", None)), WORDS, _word_sums, 1, _word_totals, planes=True)
-    totals = Totals(sum(s[0] for s in sums) + texts, sum(s[1] for s in sums) + (texts > 0), texts)
     depth = len(tree.least)
+    least = [max(2, n) for n in tree.least] + [0]
+    told, sums = answered(asked(blocks, ask("ask_words", None)), WORDS, partial(_word_sums, least[0]), 1, _word_totals, planes=True)
+    totals = Totals(sum(s[0] for s in sums) + texts, sum(s[1] for s in sums) + (texts > 0), texts)
+    counts, ranks = told.where("question > 0"), told.where("question < 0")
     for n in range(1, depth + 1):
-        told = told.unionByName(answered(asked(blocks, ask("ask_grams", totals, n), told), GRAMS, _sums, n + 1, planes=True)[0])
+        told, _ = answered(asked(blocks, ask("ask_grams", totals, n), counts), GRAMS, partial(_sums, least[n]), n + 1, planes=True)
+        counts, ranks = counts.unionByName(told.where("question > 0")), ranks.unionByName(told.where("question < 0"))
+    told = counts.unionByName(ranks)
     gains, _ = answered(asked(blocks, ask("ask_gains", totals), told), GAINS, partial(_stay, tree.gain), depth + 2)
-    return with_answers(blocks, ask("scores", totals), SCHEMA, told.unionByName(gains))
+    return with_answers(blocks, ask("scores", totals), SCHEMA, counts.unionByName(gains))

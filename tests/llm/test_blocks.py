@@ -159,6 +159,27 @@ def brute_tree(rows, tree):
     return collections.Counter(out)
 
 
+def test_suffix_tree_names_contexts_by_short_numbers(spark, monkeypatch):
+    """The counts have told which contexts there are; gains need not name them by 40 bits again, nor keys spoil what small numbers compress to."""
+    sizes = {}
+
+    def sized(questions, kinds, answer, number, *more, **named):
+        sizes[number] = questions.agg(F.sum(F.length("payload"))).first()[0]
+        return blocks.answered(questions, kinds, answer, number, *more, **named)
+
+    monkeypatch.setattr(suffix_tree, "answered", sized)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{int(60 * rng.random() ** 2)}" for _ in range(100)), "s") for i in range(400)]
+    rows += [(i * 5, None, None) for i in range(3)]
+    tree = suffix_tree.Tree()
+    got = suffix_tree.scored(documents(spark, rows).coalesce(1), tree).collect()
+    assert collections.Counter((r.doc_id, round(r.score, 4)) for r in got) == brute_tree([r[:2] for r in rows], tree)
+    train = [("^", *words(t), "$") for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    count = [collections.Counter(s[a : a + k] for s in train for a in range(len(s) - k)) for k in (1, 2)]
+    contexts = sum(n >= least for c, least in zip(count, tree.least) for n in c.values())
+    assert contexts > 1500 and sizes[4] < 4.5 * contexts
+
+
 @pytest.mark.parametrize("least, gain", [((3, 2), 0.5), ((2, 2, 2), 0.3), ((9,), 0.5), ((4, 3, 2, 2), 3.0)])
 def test_suffix_tree_scores(spark, least, gain):
     docs = documents(spark).cache()
