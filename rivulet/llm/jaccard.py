@@ -240,19 +240,28 @@ def components(links: DataFrame) -> DataFrame:
     """``id, component`` of every end of a link (a, b): the smallest id that links lead to.
 
     Each round every node takes the smallest component among its own and its neighbours', then the component of that
-    component, until nothing changes.
+    component, until nothing changes. In the first round a component is a node itself.
     """
     both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "both-ways")
-    now = both.select(F.col("a").alias("id")).distinct().withColumn("component", F.col("id"))
+    least = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near"))
+    taken = stored(least.select("id", F.least("id", "near").alias("component")), "components")
     while True:
-        near = both.join(now.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
-        taken = now.join(near, "id").select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        taken = stored(taken, "components")
         jump = taken.select(F.col("id").alias("component"), F.col("component").alias("next"))
-        after = stored(taken.join(jump, "component").select("id", "old", F.least("component", "next").alias("component")), "components")
+        now = stored(taken.join(jump, "component").select("id", F.least("component", "next").alias("component")), "components")
+        near = both.join(now.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
+        after = now.join(near, "id").select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
+        after = stored(after, "components")
+        taken = after.select("id", "component")
         if after.where(F.col("component") != F.col("old")).isEmpty():
-            return after.select("id", "component")
-        now = after.select("id", "component")
+            return taken
+
+
+def _merged(now: DataFrame | None, step: DataFrame) -> DataFrame:
+    """``id, component`` after components, or documents that were alone, have joined as ``step`` (id, component) says."""
+    if now is None:
+        return step
+    known = now.join(step.toDF("component", "next"), "component", "left").select("id", F.coalesce("next", "component").alias("component"))
+    return stored(known.unionByName(step.join(now, "id", "left_anti")), "components")
 
 
 def _counts(outlines: pa.Array, cells: int) -> np.ndarray:
@@ -274,7 +283,7 @@ def _outlined(batches: Iterator[pa.RecordBatch], join: Join) -> Iterator[pa.Reco
             continue
         both = np.minimum(_counts(batch.column("o_a"), join.outline), _counts(batch.column("o_b"), join.outline)).sum(1)
         may = both * 100 >= (number("n_a") + number("n_b") - both) * join.percent
-        yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(may))
+        yield batch.select(["a", "b", "of_a", "of_b", "n_a", "n_b"]).filter(pa.array(may))
 
 
 def _sets(blocks: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
@@ -291,17 +300,17 @@ def _sets(blocks: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
 
 
 def _checked(pairs: DataFrame, nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) that link. Outlines leave out almost all that do not, without loss; only what remains moves its sets.
+    """The pairs (a, b) that link, given as their components (of_a, of_b). Outlines leave out almost all that do not, without loss; only what remains moves its sets.
     ``b`` may be in many pairs; its join comes last and is one that Spark can split."""
     side = lambda x: nodes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("outline").alias(f"o_{x}"))
     near = stored(
-        pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda x: _outlined(x, join), "a bigint, b bigint, n_a bigint, n_b bigint"), "near"
+        pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(lambda x: _outlined(x, join), "a bigint, b bigint, of_a bigint, of_b bigint, n_a bigint, n_b bigint"), "near"
     )
     wanted = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     sets = _sets(blocks, nodes.join(wanted, "id").select("id", "block", "at"), join)
     met = near.join(sets.toDF("a", "s_a"), "a").join(sets.toDF("b", "s_b"), "b")
     both = F.size(F.array_intersect("s_a", "s_b"))
-    return met.where(both * 100 >= (F.col("n_a") + F.col("n_b") - both) * join.percent).select("a", "b")
+    return met.where(both * 100 >= (F.col("n_a") + F.col("n_b") - both) * join.percent).select("of_a", "of_b").toDF("a", "b")
 
 
 def linked(nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame | None:
@@ -312,10 +321,13 @@ def linked(nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame | None:
     the smallest documents that have not yet been centres, first one and then each time eight times as many, are compared with those
     that are not yet in their components. Pairs of one component need no check, and a pair of two components has been checked once
     either was a centre; the group is done when it is one component or has no two left. So no link between two components is lost.
+
+    A round's links join components, so only they are followed, from one component to the other; links of former rounds and what they joined are
+    not gone through again, and a round without links leaves the components as they are.
     """
     members = nodes.select("id", "n", F.explode(F.arrays_zip("keys", "rooms")).alias("k")).select("id", "n", "k.keys", "k.rooms").toDF("id", "n", "key", "room")
     members = stored(members, "members")
-    links, now, limit, width = None, None, join.small[0], 1
+    now, limit, width = None, join.small[0], 1
     while True:
         current = members.withColumn("component", F.col("id")) if now is None else members.join(now, "id", "left").select(
             "id", "n", "key", "room", F.coalesce("component", "id").alias("component")
@@ -328,19 +340,18 @@ def linked(nodes: DataFrame, blocks: DataFrame, join: Join) -> DataFrame | None:
         left = stored(current.join(groups.select("key", "many"), "key"), "open")
         if left.isEmpty():
             return now
-        fits = F.least("room", "room_b") * (100 + join.percent) >= (F.col("n") + F.col("n_b")) * join.percent
-        few, many = left.where(F.col("many") <= limit), left.where(F.col("many") > limit)
         place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        centres = many.withColumn("place", place).where(F.col("place") <= width)
-        with_other = lambda rows, other: rows.join(
-            other.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("room").alias("room_b"), F.col("component").alias("of_b")), "key"
-        )
-        both = with_other(few, few).unionByName(with_other(many, centres))
-        pairs = both.where((F.col("b") < F.col("id")) & (F.col("component") != F.col("of_b")) & fits).select(F.col("id").alias("a"), "b")
-        more = stored(_checked(pairs.distinct(), nodes, blocks, join), "links")
-        links = more if links is None else links.unionByName(more)
-        now = components(links)
-        members = many.join(centres.select("key", "id"), ["key", "id"], "left_anti").select("id", "n", "key", "room")
+        # in a small group all are centres
+        some = left.withColumn("place", place).where(F.col("place") <= max(limit, width)).where((F.col("many") <= limit) | (F.col("place") <= width))
+        centres = stored(some.select("key", "id", "n", "room", "component").toDF("key", "b", "n_b", "room_b", "of_b"), "centres")
+        fits = F.least("room", "room_b") * (100 + join.percent) >= (F.col("n") + F.col("n_b")) * join.percent
+        both = left.join(centres, "key").where((F.col("b") < F.col("id")) & (F.col("component") != F.col("of_b")) & fits)
+        pairs = both.select(F.col("id").alias("a"), "b", F.col("component").alias("of_a"), "of_b").distinct()
+        links = stored(_checked(pairs, nodes, blocks, join), "links")
+        if not links.isEmpty():
+            now = _merged(now, components(links))
+        taken = centres.select("key", F.col("b").alias("id"))
+        members = left.where(F.col("many") > limit).join(taken, ["key", "id"], "left_anti").select("id", "n", "key", "room")
         limit, width = join.small[1], 8 * width
 
 

@@ -222,6 +222,29 @@ def test_jaccard_of_a_large_group_without_all_pairs(spark):
     assert got == brute_jaccard([r[:2] for r in rows], 1, 96)
 
 
+def test_jaccard_follows_each_link_in_one_round(spark, monkeypatch):
+    """Later rounds go through new links between components only, and a round without links through none."""
+    base, calls = [f"w{i}" for i in range(60)], []
+    rows = [(i * 7 % 20, " ".join([*(f"new{j}" for j in range(i)), *base[i:]]), "s") for i in range(20)]  # a chain
+    rows += [(100 + i, " ".join([*base[:30], *(f"x{i}y{j}" for j in range(30))]), "s") for i in range(20)]  # share words and link with none
+    find = jaccard.components
+
+    def watched(links):
+        calls.append({frozenset(r) for r in links.select("a", "b").collect()})
+        return find(links)
+
+    monkeypatch.setattr(jaccard, "components", watched)
+    got = collections.Counter(tuple(r) for r in jaccard.joined(documents(spark, rows), jaccard.Join(words=1, percent=96, small=(4, 8), cells=4096, frequent=2)).collect())
+    assert got == brute_jaccard([r[:2] for r in rows], 1, 96)
+    assert calls and all(calls) and sum(map(len, calls)) == len(set().union(*calls))
+
+
+@pytest.mark.parametrize("groups", [[[5, 3, 9, 1, 7, 2, 8]], [[4, 2], [9, 6, 7, 11, 10, 8], [30, 20]], [list(range(40, 0, -1)), [50, 60, 45]]])
+def test_components_of_chains(spark, groups):
+    links = spark.createDataFrame([pair for g in groups for pair in zip(g, g[1:])], "a bigint, b bigint")
+    assert {tuple(r) for r in jaccard.components(links).collect()} == {(i, min(g)) for g in groups for i in g}
+
+
 @pytest.mark.parametrize("run", [windows.deduplicated, suffix_tree.scored, jaccard.joined])
 def test_empty(spark, run):
     assert run(documents(spark, [])).collect() == []
