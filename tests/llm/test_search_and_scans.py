@@ -58,6 +58,35 @@ def test_topk_scores_beyond_64_bits_are_an_error(spark):
         topk.nearest(vectors(spark, [(100, [1e15, 1e15]), (1, [1e15, 1e15])])).collect()
 
 
+def test_topk_in_many_cells_of_all_widths(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [float(x) * size for x in rng.normal(0, 1, 3)]) for i, size in zip(rng.integers(0, 900, 240), [1, 1, 1e4, 1e5] * 60)]
+    rows += [(100 * i, [float(i), 1.0, 0.0]) for i in range(12)]
+    rows += [(2001, [0.0, 0.0, 8e6]), (2003, [0.0, 0.0, -8e6]), (2007, [8e6, 8e6, 0.0])]
+    how = topk.Search(k=4, shard_rows=8, leaf_rows=3, block_queries=2, piece_rows=5, lane_bytes=300, cells=6)
+    assert found(vectors(spark, rows), how) == brute_topk(rows, 4)
+
+
+def test_topk_of_one_vector_goes_by_ids(spark):
+    rows = [(int(i), [0.5, -0.25]) for i in np.random.default_rng(6).integers(0, 1500, 1200)]
+    assert found(vectors(spark, rows), topk.Search(k=3, shard_rows=256, piece_rows=64)) == brute_topk(rows, 3)
+
+
+def test_topk_sends_shards_and_queries_but_no_pairs_of_them(spark):
+    rng = np.random.default_rng(7)
+    rows = [(10 * i, [float(x) for x in rng.normal(0, 1, 8)]) for i in range(400)]
+    how = topk.Search(k=2, shard_rows=10, block_queries=2, cells=4)
+    got = topk.nearest(vectors(spark, rows), how)
+    assert "Join" not in got._jdf.queryExecution().toString()
+    assert collections.Counter(tuple(r) for r in got.collect()) == brute_topk(rows, 2)
+    # 1 GB of shards, 10 MB of queries and as much for what is found: 16 lanes of 64 MB hold the shards, each is sent once
+    assert topk._grid(topk.Search(), 12, 1 << 30, 10 << 20, 10 << 20, 9000, 90) == (16, 1)
+    for gb in (1, 4, 8):  # with more tasks, and with more rows, what is sent stays a few times the shards, and a lane fits
+        lanes, groups = topk._grid(topk.Search(), 128, gb << 30, gb * 10 << 20, gb * 10 << 20, gb * 9000, gb * 90)
+        assert lanes * topk.Search().lane_bytes >= gb << 30
+        assert groups * gb * 1024 + lanes * gb * 20 <= 5 * gb * 1024
+
+
 def test_topk_empty(spark):
     assert topk.nearest(vectors(spark, [])).collect() == []
 
