@@ -156,10 +156,19 @@ class Tree:
         def reach(nodes: list[int]) -> np.ndarray:
             return self.high[nodes].astype(vectors.dtype) @ up + self.low[nodes].astype(vectors.dtype) @ down
 
+        at_least: list[np.ndarray] = []
+
         def least(first: int | np.ndarray) -> np.ndarray:
             """The score that a row needs if no id is less than ``first``; in floats rounded, which keeps the order."""
-            edge = np.clip(best.edge, _LOWEST, _LAST).astype(np.int64) if best.edge.dtype == object and kind is not object else best.edge
-            return (edge + ((first > best.edge_ids) & (edge < _LAST))).astype(kind)
+            if not at_least:
+                edge = np.clip(best.edge, _LOWEST, _LAST).astype(np.int64) if best.edge.dtype == object and kind is not object else best.edge
+                at_least.extend((edge.astype(kind), (edge + (edge < _LAST)).astype(kind)))
+            return np.where(first > best.edge_ids, at_least[1], at_least[0])
+
+        def offered() -> None:
+            best.offer(*(np.concatenate(x) for x in zip(*found)))
+            found.clear()
+            at_least.clear()
 
         nodes, reached = [0], reach([0])
         while True:
@@ -186,11 +195,11 @@ class Tree:
         room = np.empty(min(piece, len(vectors)) * q.shape[1], vectors.dtype)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for group in sorted(groups, key=lambda g: -float(reached[g].mean())):
-            alive = (reached[group] >= least(self.first[[nodes[i] for i in group]][:, None])).astype(bool)
+            alive = (reached[group] >= least(int(self.first[[nodes[i] for i in group]].min()))).astype(bool)
             any_ = alive.any(0)
             if not any_.any():
                 continue
-            if 2 * alive.sum() >= alive.size:
+            if 2 * np.count_nonzero(alive) >= alive.size:
                 spans = [(self.spans[nodes[group[0]]][0], self.spans[nodes[group[-1]]][1], any_)]
             else:
                 spans = [(*self.spans[nodes[i]], x) for i, x in zip(group, alive) if x.any()]
@@ -202,16 +211,17 @@ class Tree:
                     scores = np.matmul(vectors[c:d], columns, out=room[: (d - c) * len(at)].reshape(d - c, len(at)))
                     found.append(self._fit(c, scores, asked, at, best, least))
                     if sum(len(f[0]) for f in found) >= max(1024, len(best.edge)):
-                        best.offer(*(np.concatenate(x) for x in zip(*found)))
-                        found.clear()
+                        offered()
         if found:
-            best.offer(*(np.concatenate(x) for x in zip(*found)))
+            offered()
 
     def _fit(self, a: int, scores: np.ndarray, asked: Asked, at: np.ndarray, best: Best, least: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the rows from a on, with these scores for the queries ``at``: what may belong to their best."""
         ids, k = self.ids[a : a + len(scores)], len(best.scores)
         need = least(int(ids.min()))[at]
         some = np.flatnonzero(scores.max(0) >= need)
+        if not len(some):
+            return some, some, some
         if 8 * len(some) <= len(at):
             scores, at, need = scores[:, some], at[some], need[some]
         fit = (scores >= need).astype(bool)
